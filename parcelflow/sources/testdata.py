@@ -178,9 +178,10 @@ def raw_dangerous_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey").cast("string")
     lat, lng = _coord_text("o_orderkey")
     first = F.col("_listing") == 1
-    opened = F.when(first | (F.col("o_orderkey") % 2 == 0), F.col("o_orderdate")) \
-        .otherwise(F.date_add(F.col("o_orderdate").cast("date"), -365).cast("timestamp"))
-    day = F.date_add(opened.cast("date"), DATE_SHIFT_DAYS)
+    ordered = F.col("o_orderdate").cast("date")
+    opened = F.when(first | (F.col("o_orderkey") % 2 == 0), ordered) \
+        .otherwise(F.date_add(ordered, -365))
+    day = F.date_add(opened, DATE_SHIFT_DAYS)
     status = (F.when(~first, F.lit("To DEMOLISH"))
               .when(F.col("o_orderstatus") == "P", F.lit("Pending demolition"))
               .when(F.col("o_orderstatus") == "F", F.lit("Closed - repaired"))
