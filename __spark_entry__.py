@@ -7,14 +7,17 @@ nothing is sampled or capped except where a top-k is the feature.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow import oracle
+from parcelflow.operators import checks
+from parcelflow.plans import serving
 from parcelflow.functions import AS_OF_DEFAULT
-from parcelflow.plans.build import Models
-from parcelflow.session import apply_engine_conf
+from parcelflow.plans.build import Models, TableStore
+from parcelflow.session import apply_engine_conf, scratch_path
 from parcelflow.sources import testdata
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -49,12 +52,91 @@ def _model_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return run
 
 
+# Live dashboard metrics (L1-L9): key -> (serving function, oracle kind, district).
+DASHBOARD_QUERIES = {
+    "dashboard_funnel": (serving.live_funnel, "funnel", None),
+    "dashboard_funnel_district_3": (serving.live_funnel, "funnel", "3"),
+    "dashboard_kpis": (serving.live_kpis, "kpis", None),
+    "dashboard_kpis_district_2": (serving.live_kpis, "kpis", "2"),
+    "dashboard_trend": (serving.live_trend, "trend", None),
+    "dashboard_top_types": (serving.live_top_types, "top_types", None),
+    "dashboard_resolution": (serving.live_resolution, "resolution", None),
+    "dashboard_heatmap": (serving.live_heatmap, "heatmap", None),
+    "dashboard_stages": (serving.live_stage_distribution, "stages", None),
+    "dashboard_stages_district_5": (serving.live_stage_distribution, "stages", "5"),
+}
+
+# Generic column tests, grouped by layer (Q1-Q4).
+TEST_GROUPS = {
+    "dq_staging": ["stg_violations_current", "stg_violations_historical",
+                   "stg_dangerous_buildings"],
+    "dq_dimensions": ["dim_property", "dim_council_district", "dim_violation_type", "dim_date"],
+    "dq_facts": ["fact_violation", "fact_property_lifecycle"],
+    "dq_marts": ["mart_blight_funnel", "mart_council_district", "mart_top_violation_types",
+                 "mart_property_points", "mart_dashboard"],
+}
+
+# Singular assertions (Q5-Q7): key -> (model, oracle WHERE clause).
+SINGULAR_WHERE = {
+    "assert_no_negative_days_open": "days_open < 0",
+    "assert_resolved_after_found": ("date_resolved IS NOT NULL AND date_found IS NOT NULL "
+                                    "AND date_resolved < date_found"),
+    "assert_dangerous_after_first_violation": (
+        "dangerous_building_date IS NOT NULL AND first_violation_date IS NOT NULL "
+        "AND dangerous_building_date < first_violation_date"),
+}
+
+
+def _dashboard_query(fn, district):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(models(spark, sf_dir).mart_dashboard, district)
+    return run
+
+
+def _scorecards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = models(spark, sf_dir)
+    return serving.scorecards(m.mart_blight_funnel, m.mart_council_district)
+
+
+def _test_group(names):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Tests read each model several times: write the models once into the
+        # shared checkpoint folder and test the written tables.
+        apply_engine_conf(spark)
+        store = TableStore(spark, scratch_path(spark, "dq", uuid.uuid4().hex))
+        m = Models(testdata.raw_feeds(spark, sf_dir), AS_OF_DEFAULT, store=store)
+        return checks.test_summary(lambda n: getattr(m, n), models=names)
+    return run
+
+
+def _singular(key):
+    model_name, fn, _ = checks.SINGULAR[key]
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(getattr(models(spark, sf_dir), model_name))
+    return run
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _model_query(name) for name in MODEL_QUERIES}
+    for key, (fn, _, district) in DASHBOARD_QUERIES.items():
+        out[key] = _dashboard_query(fn, district)
+    out["dashboard_scorecards"] = _scorecards
+    for key, names in TEST_GROUPS.items():
+        out[key] = _test_group(names)
+    for key in SINGULAR_WHERE:
+        out[key] = _singular(key)
     return out
 
 
 def oracle_sql() -> dict[str, str]:
     out = {name: oracle.sql_for(name) for name in MODEL_QUERIES}
+    for key, (_, kind, district) in DASHBOARD_QUERIES.items():
+        out[key] = oracle.live_sql(kind, district)
+    out["dashboard_scorecards"] = oracle.scorecards_sql()
+    for key, names in TEST_GROUPS.items():
+        out[key] = oracle.test_summary_sql([t for t in checks.COLUMN_TESTS if t.model in names])
+    for key, where in SINGULAR_WHERE.items():
+        out[key] = oracle.singular_sql(checks.SINGULAR[key][0], where)
     return out

@@ -495,3 +495,77 @@ def sql_for(names: str | list[str], select: str | None = None) -> str:
         _order(name, seen)
     ctes = ",\n".join(f"{n} AS ({MODELS[n][1]}\n)" for n in seen)
     return f"WITH {ctes}\n{select or f'SELECT * FROM {names[0]}'}"
+
+
+# ---- dashboard metrics on the wide table (L1-L10) -------------------------------
+def _scope(district: str | None) -> str:
+    return "" if district is None else f"WHERE council_district = '{district}'"
+
+
+def live_sql(kind: str, district: str | None = None) -> str:
+    w = f"(SELECT * FROM mart_dashboard {_scope(district)})"
+    cd = "COUNT(DISTINCT {})".format
+    if kind == "funnel":
+        sel = f"""
+SELECT CAST(1 AS BIGINT) AS stage_order, 'Any violation' AS stage, {cd('pin')} AS property_count FROM {w}
+UNION ALL SELECT 2, 'Repeat violations', {cd('CASE WHEN total_violations >= 2 THEN pin END')} FROM {w}
+UNION ALL SELECT 3, 'Dangerous building', {cd('CASE WHEN ever_dangerous_building THEN pin END')} FROM {w}
+UNION ALL SELECT 4, 'Demolition', {cd("CASE WHEN current_stage = 'demolition' THEN pin END")} FROM {w}"""
+    elif kind == "kpis":
+        sel = f"""
+SELECT {cd('pin')} AS properties,
+  {div(cd('CASE WHEN ever_dangerous_building THEN pin END'), cd('pin'))} AS pct_escalated,
+  CAST(COUNT(*) AS BIGINT) AS total_violations FROM {w}"""
+    elif kind == "trend":
+        sel = f"SELECT year, CAST(COUNT(*) AS BIGINT) AS violations FROM {w} GROUP BY year"
+    elif kind == "top_types":
+        sel = f"""SELECT short_label, CAST(COUNT(*) AS BIGINT) AS violations FROM {w}
+GROUP BY short_label ORDER BY violations DESC, short_label ASC NULLS FIRST LIMIT 20"""
+    elif kind == "resolution":
+        sel = f"SELECT year, median(days_open) AS median_days_open FROM {w} GROUP BY year"
+    elif kind == "heatmap":
+        sel = f"""SELECT lat_lng, CAST(COUNT(*) AS BIGINT) AS violations, {cd('pin')} AS properties
+FROM {w} GROUP BY lat_lng"""
+    elif kind == "stages":
+        sel = f"""SELECT current_stage, {cd('pin')} AS properties FROM {w}
+WHERE pin IS NOT NULL GROUP BY current_stage"""
+    else:
+        raise ValueError(kind)
+    return sql_for("mart_dashboard", sel)
+
+
+def scorecards_sql() -> str:
+    return sql_for(["mart_blight_funnel", "mart_council_district"], """
+SELECT (SELECT property_count FROM mart_blight_funnel WHERE stage_order = 1) AS properties_cited,
+  (SELECT pct_of_violation_properties FROM mart_blight_funnel
+   WHERE stage = 'Repeat violations') AS repeat_rate,
+  (SELECT pct_of_violation_properties FROM mart_blight_funnel
+   WHERE stage = 'Dangerous building') AS pct_escalated,
+  (SELECT CAST(SUM(total_violations) AS BIGINT) FROM mart_council_district) AS total_violations""")
+
+
+# ---- data-quality checks (Q1-Q7) ------------------------------------------------
+def _test_sql(t) -> str:
+    if t.kind == "not_null":
+        q = f"SELECT COUNT(*) FROM {t.model} WHERE {t.column} IS NULL"
+    elif t.kind == "accepted_values":
+        vals = ", ".join(f"'{v}'" for v in t.values)
+        q = f"SELECT COUNT(*) FROM {t.model} WHERE {t.column} IS NOT NULL AND {t.column} NOT IN ({vals})"
+    elif t.kind == "unique":
+        q = (f"SELECT COUNT(*) FROM (SELECT {t.column} FROM {t.model} WHERE {t.column} IS NOT NULL "
+             f"GROUP BY {t.column} HAVING COUNT(*) > 1)")
+    else:
+        pm, pc = t.parent
+        q = (f"SELECT COUNT(*) FROM {t.model} c WHERE c.{t.column} IS NOT NULL AND NOT EXISTS "
+             f"(SELECT 1 FROM {pm} p WHERE p.{pc} = c.{t.column})")
+    return (f"SELECT '{t.model}' AS model, '{t.column}' AS column_name, '{t.kind}' AS test, "
+            f"'{t.severity}' AS severity, CAST(({q}) AS BIGINT) AS failures")
+
+
+def test_summary_sql(tests) -> str:
+    names = sorted({t.model for t in tests} | {t.parent[0] for t in tests if t.parent})
+    return sql_for(names, "\nUNION ALL\n".join(_test_sql(t) for t in tests))
+
+
+def singular_sql(model_name: str, where: str) -> str:
+    return sql_for(model_name, f"SELECT * FROM {model_name} WHERE {where}")
