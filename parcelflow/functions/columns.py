@@ -68,10 +68,25 @@ def safe_double(c: Column | str) -> Column:
 
 
 def json_coord(point: Column | str, index: int) -> Column:
-    """Coordinate ``index`` (0 = lng, 1 = lat) of a JSON point text."""
+    """Coordinate ``index`` (0 = lng, 1 = lat) of a JSON point text.
+
+    For one coordinate.  To read both, parse once with ``point_coordinates``
+    in its own projection and take ``coord_at`` of the parsed column.
+    """
     return safe_double(F.get_json_object(col_of(point), f"$.coordinates[{index}]"))
 
 
+def point_coordinates(point: Column | str) -> Column:
+    """The ``coordinates`` array of a JSON point text as texts; NULL when the
+    text is not an object with such an array.  Parses the JSON once."""
+    return F.from_json(col_of(point), "coordinates array<string>").getField("coordinates")
+
+
+def coord_at(coords: Column | str, index: int) -> Column:
+    """Coordinate ``index`` (0 = lng, 1 = lat) of a parsed coordinates array."""
+    return safe_double(F.try_element_at(col_of(coords), F.lit(index + 1)))
+
+
 def normalize_code(c: Column | str) -> Column:
     """Unify an ordinance across eras: drop the suffixes, trim, blank→NULL."""
     out = col_of(c)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import (
-    clean_trim, json_coord, normalize_code, null_as, safe_date, safe_double,
+    clean_trim, coord_at, json_coord, normalize_code, null_as, point_coordinates, safe_date,
+    safe_double,
 )
 from parcelflow.functions.columns import DEMOLITION_WORDS
 from parcelflow.operators import latest_per_key
@@ -46,7 +47,9 @@ def conform_raw(raw: DataFrame, needed: Iterable[str]) -> DataFrame:
 
 def stg_violations_current(raw: DataFrame) -> DataFrame:
     """Live feed conformed to the unified shape (K1)."""
-    r = conform_raw(raw, CURRENT_RAW)
+    # The point is parsed once, in its own projection (Catalyst keeps a
+    # non-trivial expression from being duplicated into both coordinates).
+    r = conform_raw(raw, CURRENT_RAW).withColumn("_coords", point_coordinates("incident_location"))
     resolved = safe_date("date_resolved")
     return r.where(F.col("violationid").isNotNull()).select(
         F.col("violationid").cast("string").alias("violation_id"),
@@ -58,8 +61,8 @@ def stg_violations_current(raw: DataFrame) -> DataFrame:
         F.col("postalcode").alias("zip_code"),
         clean_trim("computed_region_9t2m_phkm").alias("council_district"),
         null_as("string").alias("neighborhood"),
-        json_coord("incident_location", 1).alias("latitude"),
-        json_coord("incident_location", 0).alias("longitude"),
+        coord_at("_coords", 1).alias("latitude"),
+        coord_at("_coords", 0).alias("longitude"),
         F.col("chapter"),
         F.col("ordinance"),
         normalize_code("ordinance").alias("violation_code"),
@@ -111,7 +114,7 @@ def stg_dangerous_buildings(raw: DataFrame) -> DataFrame:
     Newest = latest ``case_opened``, then the larger case number as text;
     the remaining columns close the order so the pick is deterministic.
     """
-    r = conform_raw(raw, DANGEROUS_RAW)
+    r = conform_raw(raw, DANGEROUS_RAW).withColumn("_coords", point_coordinates("case_location"))
     pin = clean_trim("pin")
     typed = r.where(F.col("pin").isNotNull() & (pin != "")).select(
         pin.alias("pin"),
@@ -120,8 +123,8 @@ def stg_dangerous_buildings(raw: DataFrame) -> DataFrame:
         F.col("location").alias("full_address"),
         F.col("zip_code"),
         clean_trim("council_district").alias("council_district"),
-        json_coord("case_location", 1).alias("latitude"),
-        json_coord("case_location", 0).alias("longitude"),
+        coord_at("_coords", 1).alias("latitude"),
+        coord_at("_coords", 0).alias("longitude"),
         safe_date("case_opened").alias("case_opened"),
         F.col("statusofcase").alias("status_of_case"),
     )
