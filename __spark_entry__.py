@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow import oracle
 from parcelflow.operators import checks
-from parcelflow.plans import serving
+from parcelflow.plans import events, serving
 from parcelflow.functions import AS_OF_DEFAULT
 from parcelflow.plans.build import Models, TableStore
 from parcelflow.session import apply_engine_conf, scratch_path
@@ -117,6 +117,44 @@ def _singular(key):
     return run
 
 
+def _land_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing (A2-A6) on the live feed derived from the given tables.
+
+    The feed is written as NDJSON (NULL fields are omitted, so keys vary by
+    record; the district key carries its raw ``:@`` spelling), then landed
+    back as an all-text table by the two-pass reader.
+    """
+    from pyspark.sql import functions as F
+
+    from parcelflow.sources.landing import read_all_text
+
+    apply_engine_conf(spark)
+    feed = testdata.raw_npd_violations(spark, sf_dir).withColumnRenamed(
+        "computed_region_9t2m_phkm", ":@computed_region_9t2m_phkm")
+    path = scratch_path(spark, "landing", uuid.uuid4().hex)
+    feed.select(*[F.col(f"`{c}`") for c in feed.columns]).write.json(path)
+    return read_all_text(spark, path)
+
+
+def _events_query(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_engine_conf(spark)
+        return fn(testdata.read_table(spark, sf_dir, "events"))
+    return run
+
+
+def _listed_without_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = models(spark, sf_dir)
+    return events.listed_without_violations(m.stg_dangerous_buildings, m.int_property_rollup)
+
+
+EVENT_QUERIES = {
+    "latest_event_per_user": events.latest_event_per_user,
+    "event_prop_scalar": events.event_prop_scalar,
+    "events_by_month": events.events_by_month,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         name: _model_query(name) for name in MODEL_QUERIES}
@@ -127,6 +165,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         out[key] = _test_group(names)
     for key in SINGULAR_WHERE:
         out[key] = _singular(key)
+    out["land_all_text"] = _land_all_text
+    for key, fn in EVENT_QUERIES.items():
+        out[key] = _events_query(fn)
+    out["listed_without_violations"] = _listed_without_violations
     return out
 
 
@@ -139,4 +181,7 @@ def oracle_sql() -> dict[str, str]:
         out[key] = oracle.test_summary_sql([t for t in checks.COLUMN_TESTS if t.model in names])
     for key, where in SINGULAR_WHERE.items():
         out[key] = oracle.singular_sql(checks.SINGULAR[key][0], where)
+    out["land_all_text"] = oracle.sql_for("npd_violations")
+    out.update(oracle.EVENTS_SQL)
+    out["listed_without_violations"] = oracle.listed_without_violations_sql()
     return out

@@ -131,7 +131,7 @@ def safe_divide(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(col_of(num).cast("double"), col_of(den))
 
 
-def median_disc(sql_expr: str) -> Column:
+def median_disc(sql_expr: str, as_type: str | None = "bigint") -> Column:
     """Median that is an element of the input, NULLs ignored.
 
     Takes a SQL expression over column names (``WITHIN GROUP`` has no
@@ -139,7 +139,8 @@ def median_disc(sql_expr: str) -> Column:
     side; its buffer is a value->count map, bounded by the number of distinct
     day counts, so hot groups cost no more than small ones.
     """
-    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {sql_expr})").cast("bigint")
+    m = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {sql_expr})")
+    return m.cast(as_type) if as_type else m
 
 
 def year_of(c: Column | str) -> Column:

@@ -569,3 +569,27 @@ def test_summary_sql(tests) -> str:
 
 def singular_sql(model_name: str, where: str) -> str:
     return sql_for(model_name, f"SELECT * FROM {model_name} WHERE {where}")
+
+
+# ---- the operators on the events table -------------------------------------------
+EVENTS_SQL = {
+    "latest_event_per_user": """
+SELECT user_id, ts, event_id, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST,
+    event_id DESC NULLS LAST, event_type DESC NULLS LAST, value DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1""",
+    "event_prop_scalar": f"""
+SELECT event_id, {to_double("json_extract_string(props, '$.k')")} AS prop_k FROM events""",
+    "events_by_month": """
+SELECT CAST(year(ts) AS BIGINT) AS year, CAST(month(ts) AS BIGINT) AS month, event_type,
+  CAST(COUNT(*) AS BIGINT) AS events, COUNT(CASE WHEN value > 10 THEN 1 END) AS events_over_10,
+  quantile_disc(value, 0.5) AS median_value
+FROM events GROUP BY 1, 2, 3""",
+}
+
+
+def listed_without_violations_sql() -> str:
+    return sql_for(["stg_dangerous_buildings", "int_property_rollup"], """
+SELECT d.pin, d.case_number, d.case_opened, d.status_of_case, d.is_demolition_status
+FROM stg_dangerous_buildings d LEFT JOIN int_property_rollup p USING (pin)
+WHERE p.pin IS NULL""")
