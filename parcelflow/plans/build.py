@@ -39,6 +39,15 @@ LAYERS = {
 }
 
 
+# Directory partitioning of stored tables.  The wide serving table is read
+# with a council-district filter on every dashboard interaction; partitioning
+# by it turns that filter into partition pruning.  District cardinality is
+# small and fixed, and rows are not repartitioned before the write (a hot
+# district would become one task): each write task emits one file per
+# district it holds.
+PARTITIONING = {"mart_dashboard": ["council_district"]}
+
+
 class TableStore:
     """Parquet tables under ``root/<target>/<layer>/<name>``."""
 
@@ -49,8 +58,14 @@ class TableStore:
         return f"{self.root}/{self.target}/{LAYERS.get(name, 'misc')}/{name}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.parquet(self.path(name))
+        w = df.write.mode("overwrite")
+        parts = PARTITIONING.get(name)
+        if parts:
+            w = w.partitionBy(*parts)
+        w.parquet(self.path(name))
+        # Read back with the written schema: partition values keep their
+        # type (no inference) and the column order is the model's.
+        return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
 
 class Models:
