@@ -109,18 +109,16 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
 # Presentation order of the stored marts (F4): applied when a mart is read for
 # display, not before writing it, so no range shuffle is spent on storage.
 PRESENTATION_ORDER = {
-    "mart_council_district": [F.col("total_violations").desc_nulls_last(),
-                              F.col("council_district").asc()],
-    "mart_resolution_time": [F.col("year").asc(), F.col("council_district").asc()],
-    "mart_violations_trend": [F.col("year").asc(), F.col("source_system").asc()],
-    "mart_blight_funnel": [F.col("stage_order").asc()],
-    "mart_blight_hotspots": [F.col("total_violations").desc(), F.col("pin").asc()],
-    "mart_top_violation_types": [F.col("violation_count").desc(),
-                                 F.col("violation_code").asc()],
+    "mart_council_district": ["total_violations DESC NULLS LAST", "council_district"],
+    "mart_resolution_time": ["year", "council_district"],
+    "mart_violations_trend": ["year", "source_system"],
+    "mart_blight_funnel": ["stage_order"],
+    "mart_blight_hotspots": ["total_violations DESC", "pin"],
+    "mart_top_violation_types": ["violation_count DESC", "violation_code"],
 }
 
 
 def presented(name: str, mart: DataFrame) -> DataFrame:
     """A stored mart in its display order."""
     order = PRESENTATION_ORDER.get(name)
-    return mart.orderBy(*order) if order else mart
+    return mart.orderBy(*[F.expr(o) for o in order]) if order else mart
