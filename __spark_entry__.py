@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow import oracle
 from parcelflow.operators import checks
-from parcelflow.plans import events, serving
+from parcelflow.plans import cleaning, events, serving
 from parcelflow.functions import AS_OF_DEFAULT
 from parcelflow.plans.build import Models, TableStore
 from parcelflow.session import apply_engine_conf, scratch_path
@@ -148,6 +148,19 @@ def _listed_without_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.listed_without_violations(m.stg_dangerous_buildings, m.int_property_rollup)
 
 
+def _cleaning(kind):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        apply_engine_conf(spark)
+        raw = testdata.raw_feeds(spark, sf_dir)
+        if kind == "ordinance_codes":
+            return cleaning.ordinance_codes(raw["npd_violations"], raw["historical_violations"])
+        if kind == "point_coordinates":
+            return cleaning.point_coordinates_of(raw["npd_violations"],
+                                                 raw["dangerous_buildings"])
+        return cleaning.date_texts(raw["npd_violations"], raw["historical_violations"])
+    return run
+
+
 EVENT_QUERIES = {
     "latest_event_per_user": events.latest_event_per_user,
     "event_prop_scalar": events.event_prop_scalar,
@@ -169,6 +182,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for key, fn in EVENT_QUERIES.items():
         out[key] = _events_query(fn)
     out["listed_without_violations"] = _listed_without_violations
+    for key in ("ordinance_codes", "point_coordinates", "date_texts"):
+        out[key] = _cleaning(key)
     return out
 
 
@@ -184,4 +199,5 @@ def oracle_sql() -> dict[str, str]:
     out["land_all_text"] = oracle.sql_for("npd_violations")
     out.update(oracle.EVENTS_SQL)
     out["listed_without_violations"] = oracle.listed_without_violations_sql()
+    out.update(oracle.CLEANING_SQL)
     return out

@@ -593,3 +593,25 @@ def listed_without_violations_sql() -> str:
 SELECT d.pin, d.case_number, d.case_opened, d.status_of_case, d.is_demolition_status
 FROM stg_dangerous_buildings d LEFT JOIN int_property_rollup p USING (pin)
 WHERE p.pin IS NULL""")
+
+
+# ---- the cleaning helpers alone -------------------------------------------------
+CLEANING_SQL = {
+    "ordinance_codes": sql_for(["npd_violations", "historical_violations"], f"""
+SELECT ordinance, {norm_code('ordinance')} AS violation_code, CAST(COUNT(*) AS BIGINT) AS rows
+FROM (SELECT ordinance FROM npd_violations UNION ALL SELECT ordinance FROM historical_violations)
+GROUP BY ordinance"""),
+    "point_coordinates": sql_for(["npd_violations", "dangerous_buildings"], f"""
+SELECT point, {point_coord('point', 1)} AS latitude, {point_coord('point', 0)} AS longitude,
+  CAST(COUNT(*) AS BIGINT) AS rows
+FROM (SELECT incident_location AS point FROM npd_violations
+      UNION ALL SELECT case_location FROM dangerous_buildings)
+GROUP BY point"""),
+    "date_texts": sql_for(["npd_violations", "historical_violations"], f"""
+SELECT text, {to_date('text')} AS parsed, CAST(COUNT(*) AS BIGINT) AS rows
+FROM (SELECT date_found AS text FROM npd_violations
+      UNION ALL SELECT date_resolved FROM npd_violations
+      UNION ALL SELECT violation_entry_date FROM historical_violations
+      UNION ALL SELECT case_closed FROM historical_violations)
+GROUP BY text"""),
+}
