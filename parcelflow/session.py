@@ -50,13 +50,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem).  Only
     when it is unset (local tests) do we create one under the local temp dir.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Connect session has no SparkContext
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
     if not root:
         root = tempfile.mkdtemp(prefix="parcelflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -49,8 +49,12 @@ def spread(df: DataFrame) -> DataFrame:
     from concentrating, and Spark sorts before it so a retried task
     reproduces the same rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Connect session)
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
