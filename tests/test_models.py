@@ -193,3 +193,33 @@ def test_salted_join_equals_plain_join(spark, buckets):
     want = big.join(dim, "k", "left")
     assert got.count() == 2000
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_feed_keep_drop_counts(spark):
+    m = build(spark, [live(violationid="a"), live(violationid=None), live(violationid="b")],
+              [arch(id=None), arch(id="h9")],
+              [listed(pin="P1"), listed(pin=None), listed(pin=" \t"), listed(pin="P2")])
+    raw = m.raw
+    kept = m.stg_violations_current.count() + m.stg_violations_historical.count()
+    dropped = (raw["npd_violations"].where("violationid IS NULL").count()
+               + raw["historical_violations"].where("id IS NULL").count())
+    assert kept + dropped == raw["npd_violations"].count() + raw["historical_violations"].count()
+    assert (kept, dropped) == (3, 2)
+    assert m.stg_dangerous_buildings.count() == 2  # NULL and blank pins dropped
+
+
+def test_dashboard_metrics_for_an_empty_district(small_models):
+    from parcelflow.plans import serving
+    wide = small_models.mart_dashboard
+    f = serving.live_funnel(wide, "no-such-district").orderBy("stage_order").collect()
+    assert [r.property_count for r in f] == [0, 0, 0, 0]
+    k = serving.live_kpis(wide, "no-such-district").first()
+    assert (k.properties, k.pct_escalated, k.total_violations) == (0, None, 0)
+    assert serving.live_trend(wide, "no-such-district").count() == 0
+
+
+def test_presentation_order(small_models):
+    from parcelflow.plans.serving import presented
+    rows = presented("mart_violations_trend", small_models.mart_violations_trend).collect()
+    keys = [(r.year, r.source_system) for r in rows]
+    assert keys == sorted(keys)
