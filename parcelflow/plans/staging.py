@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import (
-    clean_trim, coord_at, json_coord, normalize_code, null_as, point_coordinates, safe_date,
+    clean_trim, coord_at, normalize_code, null_as, point_coordinates, safe_date,
     safe_double,
 )
 from parcelflow.functions.columns import DEMOLITION_WORDS
@@ -146,5 +146,5 @@ def stg_dangerous_buildings(raw: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["VIOLATION_COLUMNS", "DANGEROUS_COLUMNS", "conform_raw", "json_coord",
+__all__ = ["VIOLATION_COLUMNS", "DANGEROUS_COLUMNS", "conform_raw",
            "stg_violations_current", "stg_violations_historical", "stg_dangerous_buildings"]

@@ -18,6 +18,7 @@ def test_ordered_build_with_checks(spark, scratch):
         assert os.path.isdir(m.store.path(name)), name
         assert "/ci/" in m.store.path(name)
     names = {r[0] for r in report}
+    assert len(report) == 40  # 37 column tests + 3 singular assertions
     assert "assert_dangerous_after_first_violation" in names  # warn-only, reported
     assert all(n == 0 for key, sev, n in report if sev == "error")
     # the district filter on the stored wide table prunes partitions
