@@ -223,3 +223,31 @@ def test_presentation_order(small_models):
     rows = presented("mart_violations_trend", small_models.mart_violations_trend).collect()
     keys = [(r.year, r.source_system) for r in rows]
     assert keys == sorted(keys)
+
+
+def test_district_only_in_dropped_rows_has_null_volume(spark):
+    # D-12: the district appears only on a row the fact drops (found before 2005)
+    m = build(spark, [live(violationid="1"),
+                      live(violationid="2", pin="P9", computed_region_9t2m_phkm="7",
+                           date_found="2004-06-01")], [], [])
+    got = {r.council_district: (r.total_violations, r.median_days_to_resolve)
+           for r in m.mart_council_district.collect()}
+    assert got["7"] == (None, None)
+    assert got["3"][0] == 1
+
+
+def test_future_resolution_counts_as_resolved(spark):
+    # D-13: no upper bound on the resolution date
+    m = build(spark, [live(date_resolved="2030-01-01")], [], [])
+    r = m.fact_violation.first()
+    assert (r.is_resolved, r.days_open) == (True, (dt.date(2030, 1, 1) - dt.date(2020, 1, 2)).days)
+
+
+def test_violation_key_is_snapshot_scoped(spark):
+    # D-4: days_open is part of the row, so an open row's key moves with as_of
+    rows = [live(violationid="open"), live(violationid="done", date_resolved="2020-02-01")]
+    feeds = build(spark, rows, [], []).raw
+    a = {r.violation_id: r.violation_pk for r in Models(feeds, AS_OF).fact_violation.collect()}
+    b = {r.violation_id: r.violation_pk
+         for r in Models(feeds, dt.date(2021, 6, 1)).fact_violation.collect()}
+    assert a["done"] == b["done"] and a["open"] != b["open"]
