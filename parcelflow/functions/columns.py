@@ -18,7 +18,7 @@ SPINE_START = _dt.date(2005, 1, 1)
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 # Ordinance suffixes removed when unifying violation codes across eras.
 CODE_SUFFIXES = ("C.O.", "c.o.")
-# Kansas City bounding box (inclusive) used to clean geocodes.
+# City bounding box (inclusive) used to clean geocodes.
 LAT_RANGE = (38.8, 39.5)
 LNG_RANGE = (-94.9, -94.3)
 # Substrings (lower case) that mark a dangerous-building case as demolition.
