@@ -29,7 +29,7 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship: the blight funnel, raw feeds → history → rollup → snapshot."""
+    """Flagship: the property funnel, raw feeds → history → rollup → snapshot."""
     return models(spark, SMOKE_DIR).mart_blight_funnel
 
 
@@ -41,7 +41,7 @@ MODEL_QUERIES = [
     "fact_violation", "fact_property_lifecycle",
     "mart_blight_funnel", "mart_blight_hotspots", "mart_council_district", "mart_dashboard",
     "mart_property_points", "mart_resolution_time", "mart_top_violation_types",
-    "mart_violations_trend", "adhoc_repeat_offenders",
+    "mart_violations_trend", "adhoc_repeat_offenders", "calendar_violations",
 ]
 
 
@@ -188,7 +188,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {name: oracle.sql_for(name) for name in MODEL_QUERIES}
+    out = {name: oracle.sql_for(name) for name in MODEL_QUERIES if name in oracle.MODELS}
+    out["calendar_violations"] = oracle.calendar_violations_sql()
     for key, (_, kind, district) in DASHBOARD_QUERIES.items():
         out[key] = oracle.live_sql(kind, district)
     out["dashboard_scorecards"] = oracle.scorecards_sql()

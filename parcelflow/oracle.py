@@ -615,3 +615,12 @@ FROM (SELECT date_found AS text FROM npd_violations
       UNION ALL SELECT case_closed FROM historical_violations)
 GROUP BY text"""),
 }
+
+
+def calendar_violations_sql() -> str:
+    return sql_for(["dim_date", "fact_violation"], """
+SELECT d.date_sk, d.date_day, d.year, d.quarter, d.month, d.month_name,
+  CAST(COALESCE(c.violations, 0) AS BIGINT) AS violations
+FROM dim_date d
+LEFT JOIN (SELECT date_sk, COUNT(*) AS violations FROM fact_violation GROUP BY date_sk) c
+  ON d.date_sk = c.date_sk""")

@@ -199,6 +199,10 @@ class Models:
         return self._keep("mart_violations_trend",
                           marts.mart_violations_trend(self.fact_violation))
 
+    @cached_property
+    def calendar_violations(self) -> DataFrame:
+        return marts.calendar_violations(self.dim_date, self.fact_violation)
+
     @cached_property
     def adhoc_repeat_offenders(self) -> DataFrame:
         return marts.adhoc_repeat_offenders(self.fact_property_lifecycle, self.dim_property)

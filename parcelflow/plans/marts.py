@@ -184,3 +184,13 @@ def mart_dashboard(fact: DataFrame, dim_type: DataFrame, dim_district: DataFrame
                lat_lng("latitude", "longitude")).alias("lat_lng"),
         "current_stage", "ever_dangerous_building", "total_violations",
     )
+
+
+def calendar_violations(dim_date: DataFrame, fact: DataFrame) -> DataFrame:
+    """Every spine day with its calendar attributes and violations found that
+    day (0 when none): the date dimension joined to the fact on ``date_sk``
+    (K10).  The fact is aggregated per day before the join."""
+    per_day = fact.groupBy("date_sk").agg(F.count(F.lit(1)).alias("violations"))
+    return (dim_date.join(per_day, "date_sk", "left")
+            .select("date_sk", "date_day", "year", "quarter", "month", "month_name",
+                    F.coalesce("violations", F.lit(0)).cast("bigint").alias("violations")))
