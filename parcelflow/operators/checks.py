@@ -1,6 +1,7 @@
 """Data-quality checks (Q1-Q7).
 
-A check yields offending rows; zero rows passes.  ``warn`` failures are
+A check yields offending rows (for unique and accepted_values: one row per
+offending value); zero rows passes.  ``warn`` failures are
 reported, ``error`` failures stop a build.  For the summary, every
 not_null and accepted_values test of one table runs in one aggregate pass;
 unique is a grouped count; relationships is an anti join.
@@ -77,8 +78,9 @@ def failing_rows(test: ColumnTest, df: DataFrame, parent: DataFrame | None = Non
     c = F.col(test.column)
     if test.kind == "not_null":
         return df.where(c.isNull())
-    if test.kind == "accepted_values":
-        return df.where(c.isNotNull() & ~c.isin(*test.values))
+    if test.kind == "accepted_values":  # one row per distinct unexpected value
+        return (df.where(c.isNotNull() & ~c.isin(*test.values)).groupBy(test.column)
+                .agg(F.count(F.lit(1)).alias("n_records")))
     if test.kind == "unique":
         return (df.where(c.isNotNull()).groupBy(test.column)
                 .agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1"))
@@ -110,8 +112,10 @@ def test_summary(tables: Callable[[str], DataFrame], tests: list[ColumnTest] = C
             aggs = []
             for i, t in enumerate(scans):
                 c = F.col(t.column)
-                bad = c.isNull() if t.kind == "not_null" else (c.isNotNull() & ~c.isin(*t.values))
-                aggs.append(F.count_if(bad).alias(f"f{i}"))
+                if t.kind == "not_null":  # failing rows
+                    aggs.append(F.count_if(c.isNull()).alias(f"f{i}"))
+                else:  # failing distinct values
+                    aggs.append(F.count_distinct(F.when(~c.isin(*t.values), c)).alias(f"f{i}"))
             one = df.agg(*aggs)
             stack = unpivot_counts(one, len(scans))
             meta = df.sparkSession.createDataFrame(

@@ -550,7 +550,8 @@ def _test_sql(t) -> str:
         q = f"SELECT COUNT(*) FROM {t.model} WHERE {t.column} IS NULL"
     elif t.kind == "accepted_values":
         vals = ", ".join(f"'{v}'" for v in t.values)
-        q = f"SELECT COUNT(*) FROM {t.model} WHERE {t.column} IS NOT NULL AND {t.column} NOT IN ({vals})"
+        q = (f"SELECT COUNT(*) FROM (SELECT {t.column} FROM {t.model} GROUP BY {t.column}) "
+             f"WHERE {t.column} NOT IN ({vals})")
     elif t.kind == "unique":
         q = (f"SELECT COUNT(*) FROM (SELECT {t.column} FROM {t.model} WHERE {t.column} IS NOT NULL "
              f"GROUP BY {t.column} HAVING COUNT(*) > 1)")

@@ -251,3 +251,12 @@ def test_violation_key_is_snapshot_scoped(spark):
     b = {r.violation_id: r.violation_pk
          for r in Models(feeds, dt.date(2021, 6, 1)).fact_violation.collect()}
     assert a["done"] == b["done"] and a["open"] != b["open"]
+
+
+def test_accepted_values_counts_distinct_values(spark):
+    from parcelflow.operators.checks import ColumnTest, failing_rows, test_summary
+    df = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "v string")
+    t = ColumnTest("m", "v", "accepted_values", values=("a",))
+    assert failing_rows(t, df).count() == 2
+    s = test_summary(lambda _: df, [t, ColumnTest("m", "v", "not_null")]).collect()
+    assert {(r.test, r.failures) for r in s} == {("accepted_values", 2), ("not_null", 1)}
