@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from parcelflow.functions.columns import AS_OF_DEFAULT, SPINE_START, SURROGATE_NULL
 from parcelflow.sources.seeds import VIOLATION_LABELS
-from parcelflow.sources.testdata import DATE_SHIFT_DAYS
+from parcelflow.sources.testdata import DATE_SHIFT_DAYS, LISTED_MIN_PRICE
 
 AS_OF = f"DATE '{AS_OF_DEFAULT.isoformat()}'"
 START = f"DATE '{SPINE_START.isoformat()}'"
@@ -129,13 +129,13 @@ SELECT vid AS id, k_txt AS case_id,
   CASE l_returnflag WHEN 'R' THEN 'Closed' WHEN 'A' THEN 'CLOSED' ELSE 'Open' END AS status
 FROM vbase WHERE l_linestatus = 'F'""")
 
-model("dbase", [], """
+model("dbase", [], f"""
 SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_orderdate, c.c_name,
        c.c_mktsegment, n.n_name, n.n_regionkey, 1 AS listing
 FROM orders o
 JOIN customer c ON o.o_custkey = c.c_custkey
 JOIN nation n ON c.c_nationkey = n.n_nationkey
-WHERE o.o_orderpriority = '1-URGENT' AND o.o_orderkey % 7 = 0""")
+WHERE o.o_orderpriority = '1-URGENT' AND o.o_totalprice > {LISTED_MIN_PRICE}""")
 
 model("dangerous_buildings", ["dbase"], f"""
 SELECT ' ' || CAST(o_orderkey AS VARCHAR) AS pin,
