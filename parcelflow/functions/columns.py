@@ -137,7 +137,9 @@ def median_disc(sql_expr: str, as_type: str | None = "bigint") -> Column:
     Takes a SQL expression over column names (``WITHIN GROUP`` has no
     DataFrame wrapper).  ``percentile_disc`` aggregates partially on the map
     side; its buffer is a value->count map, bounded by the number of distinct
-    day counts, so hot groups cost no more than small ones.
+    day counts.  Its final merge for one group runs in one reducer, so the
+    marts use ``operators.median_by`` (a spread histogram) instead; this is
+    for groups that live in few tasks.
     """
     m = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {sql_expr})")
     return m.cast(as_type) if as_type else m

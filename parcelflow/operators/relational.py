@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -107,3 +107,39 @@ def salted_lookup_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame,
     dim_s = (dim.join(hot_tag, key, "left")
              .withColumn("_salt", F.explode(copies)).drop("_hot"))
     return big_s.join(dim_s, [key, "_salt"], how).drop("_salt")
+
+
+def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str,
+              interpolate: bool = False) -> DataFrame:
+    """Exact median of ``value`` per key, NULLs ignored, from a value histogram.
+
+    ``interpolate=False`` gives the middle element (``percentile_disc(0.5)``,
+    the lower one for an even count); ``True`` the mean of the two middle
+    elements (``median`` / ``percentile_cont(0.5)``).
+
+    Why not ``percentile_disc`` directly: its per-task value->count maps are
+    merged for one group in one reducer, so a group spanning every map task
+    (a district, a year) funnels every task's map into one place.  Here the
+    histogram ``(keys, value) -> count`` is aggregated partially and spread
+    over reducers by (key, value); only then does a window per key run over
+    its distinct values, which are bounded by the value domain (day counts),
+    not by the rows.  Keys whose values are all NULL are absent; left-join
+    the result.
+    """
+    v = F.col(value)
+    hist = (df.where(v.isNotNull()).groupBy(*keys, value)
+            .agg(F.count(F.lit(1)).alias("_c")))
+    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    h = hist.select(*keys, value, "_c", F.sum("_c").over(upto).alias("_cum"),
+                    F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
+    # The row covers 0-based positions [_cum - _c, _cum - 1]; the middle
+    # positions are floor((n-1)/2) and ceil((n-1)/2).
+    first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
+    lo = F.floor((F.col("_n") - 1) / 2)
+    hi = F.ceil((F.col("_n") - 1) / 2)
+    picked = h.groupBy(*keys).agg(
+        F.max(F.when((first <= lo) & (lo <= last), v)).alias("_lo"),
+        F.max(F.when((first <= hi) & (hi <= last), v)).alias("_hi"))
+    out = ((F.col("_lo") + F.col("_hi")) / 2) if interpolate else F.col("_lo")
+    return picked.select(*keys, out.alias(name))

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions import median_disc, safe_double
-from parcelflow.operators import anti_join, latest_per_key
+from parcelflow.functions import safe_double
+from parcelflow.operators import anti_join, latest_per_key, median_by
 
 
 def latest_event_per_user(events: DataFrame) -> DataFrame:
@@ -27,12 +27,13 @@ def event_prop_scalar(events: DataFrame, key: str = "k") -> DataFrame:
 
 def events_by_month(events: DataFrame) -> DataFrame:
     """Events per year, month and type with a discrete median value."""
-    return (events.select(F.year("ts").cast("bigint").alias("year"),
-                          F.month("ts").cast("bigint").alias("month"), "event_type", "value")
-            .groupBy("year", "month", "event_type").agg(
+    e = events.select(F.year("ts").cast("bigint").alias("year"),
+                      F.month("ts").cast("bigint").alias("month"), "event_type", "value")
+    keys = ["year", "month", "event_type"]
+    return (e.groupBy(*keys).agg(
                 F.count(F.lit(1)).alias("events"),
-                F.count_if(F.col("value") > 10).alias("events_over_10"),
-                median_disc("value", as_type=None).alias("median_value")))
+                F.count_if(F.col("value") > 10).alias("events_over_10"))
+            .join(median_by(e, keys, "value", "median_value"), keys, "left"))
 
 
 def listed_without_violations(dangerous: DataFrame, rollup: DataFrame) -> DataFrame:

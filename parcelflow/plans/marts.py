@@ -1,6 +1,7 @@
 """Analytic marts.
 
-Shapes chosen for scale: aggregate before joining to a dimension, take the
+Shapes chosen for scale: exact medians from a spread value histogram
+(``operators.median_by``), aggregate before joining to a dimension, take the
 top-k before joining its attributes (the k rows are then a broadcast of a
 proven size), join the two property-grain tables to each other before the
 violation fact meets them, and salt the fact's hot properties.
@@ -11,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions import lat_lng, median_disc, safe_divide, year_of
-from parcelflow.operators import hot_keys_by_share, salted_lookup_join, top_k, unpivot
+from parcelflow.functions import lat_lng, safe_divide, year_of
+from parcelflow.operators import hot_keys_by_share, median_by, salted_lookup_join, top_k, unpivot
 from parcelflow.functions.columns import surrogate_key
 
 
@@ -70,12 +71,13 @@ def adhoc_repeat_offenders(lifecycle: DataFrame, dim_property: DataFrame, n: int
 def mart_council_district(fact: DataFrame, lifecycle: DataFrame,
                           dim_district: DataFrame) -> DataFrame:
     """Volume, properties, escalation and resolution time per district."""
-    v = (fact.select("council_district_sk", "property_sk",
-                     F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
-         .groupBy("council_district_sk").agg(
+    f = fact.select("council_district_sk", "property_sk",
+                    F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
+    v = (f.groupBy("council_district_sk").agg(
              F.count(F.lit(1)).alias("total_violations"),
-             F.countDistinct("property_sk").alias("distinct_properties"),
-             median_disc("resolved_days").alias("median_days_to_resolve")))
+             F.countDistinct("property_sk").alias("distinct_properties"))
+         .join(median_by(f, ["council_district_sk"], "resolved_days", "median_days_to_resolve"),
+               "council_district_sk", "left"))
     lc = lifecycle.groupBy("council_district_sk").agg(
         F.count_if("ever_dangerous_building").alias("dangerous_building_count"),
         safe_divide(F.count_if("ever_dangerous_building"), F.count(F.lit(1)))
@@ -93,11 +95,11 @@ def mart_resolution_time(fact: DataFrame, dim_district: DataFrame) -> DataFrame:
     Grouping by the district key equals grouping by the district (the key is
     a hash of it), so the aggregate runs before the join.
     """
-    per = (fact.select(year_of("date_found").alias("year"), "council_district_sk",
-                       F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
-           .groupBy("year", "council_district_sk").agg(
-               median_disc("resolved_days").alias("median_days_to_resolve"),
-               F.avg("resolved_days").alias("avg_days_to_resolve")))
+    f = fact.select(year_of("date_found").alias("year"), "council_district_sk",
+                    F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
+    keys = ["year", "council_district_sk"]
+    per = (f.groupBy(*keys).agg(F.avg("resolved_days").alias("avg_days_to_resolve"))
+           .join(median_by(f, keys, "resolved_days", "median_days_to_resolve"), keys, "left"))
     d = dim_district.select("council_district_sk", "council_district")
     return per.join(d, "council_district_sk").select(
         "year", "council_district", "median_days_to_resolve", "avg_days_to_resolve")
@@ -119,12 +121,13 @@ def mart_top_violation_types(fact: DataFrame, dim_type: DataFrame, n: int = 20)
 
 def mart_violations_trend(fact: DataFrame) -> DataFrame:
     """Violations, resolved count and median age per year and feed."""
-    return (fact.select(year_of("date_found").alias("year"), "source_system", "is_resolved",
-                        "days_open")
-            .groupBy("year", "source_system").agg(
+    f = fact.select(year_of("date_found").alias("year"), "source_system", "is_resolved",
+                    "days_open")
+    keys = ["year", "source_system"]
+    return (f.groupBy(*keys).agg(
                 F.count(F.lit(1)).alias("total_violations"),
-                F.count_if("is_resolved").alias("resolved_violations"),
-                median_disc("days_open").alias("median_days_open")))
+                F.count_if("is_resolved").alias("resolved_violations"))
+            .join(median_by(f, keys, "days_open", "median_days_open"), keys, "left"))
 
 
 def mart_property_points(lifecycle: DataFrame, dim_property: DataFrame) -> DataFrame:

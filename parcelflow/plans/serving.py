@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import safe_divide
-from parcelflow.operators import top_k, unpivot
+from parcelflow.operators import median_by, top_k, unpivot
 
 
 def scoped(wide: DataFrame, district: str | None) -> DataFrame:
@@ -69,8 +69,10 @@ def live_top_types(wide: DataFrame, district: str | None = None, n: int = 20) ->
 
 def live_resolution(wide: DataFrame, district: str | None = None) -> DataFrame:
     """Interpolated median of days open per year, all rows."""
-    return scoped(wide, district).groupBy("year").agg(
-        F.median("days_open").alias("median_days_open"))
+    w = scoped(wide, district).select("year", "days_open")
+    years = w.select("year").distinct()
+    return years.join(median_by(w, ["year"], "days_open", "median_days_open", interpolate=True),
+                      "year", "left")
 
 
 def live_heatmap(wide: DataFrame, district: str | None = None) -> DataFrame:

@@ -260,3 +260,23 @@ def test_accepted_values_counts_distinct_values(spark):
     assert failing_rows(t, df).count() == 2
     s = test_summary(lambda _: df, [t, ColumnTest("m", "v", "not_null")]).collect()
     assert {(r.test, r.failures) for r in s} == {("accepted_values", 2), ("not_null", 1)}
+
+
+def test_median_by_matches_duckdb(spark):
+    import random
+
+    import duckdb
+
+    from parcelflow.operators import median_by
+    rnd = random.Random(7)
+    rows = [(rnd.choice("abcd"), rnd.choice([None] + list(range(30)))) for _ in range(2000)]
+    rows += [("e", None), ("f", 5), ("g", 1), ("g", 2), ("h", 1), ("h", 2), ("h", 3), ("h", 100)]
+    df = spark.createDataFrame(rows, "k string, v long")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k VARCHAR, v BIGINT)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    for interpolate, fn in ((False, "quantile_disc(v, 0.5)"), (True, "median(v)")):
+        got = {r.k: r.m for r in median_by(df, ["k"], "v", "m", interpolate).collect()}
+        want = {k: m for k, m in con.execute(f"SELECT k, {fn} FROM t GROUP BY k").fetchall()
+                if m is not None}
+        assert got == want
