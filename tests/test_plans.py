@@ -1,7 +1,7 @@
 """Plan-shape guards: the properties the design relies on at scale."""
 
 from parcelflow.functions import AS_OF_DEFAULT
-from parcelflow.plans import facts, history, marts, serving
+from parcelflow.plans import dims, facts, history, marts, serving
 
 
 def plan_of(df) -> str:
@@ -14,15 +14,29 @@ def test_fact_date_window_reaches_the_scan(small_models):
 
 
 def test_no_window_no_cartesian(small_models):
-    m = small_models
-    for df in (history.int_property_rollup(m.int_violations_unioned), m.dim_violation_type,
-               m.stg_dangerous_buildings, m.mart_dashboard, m.mart_top_violation_types,
-               m.mart_council_district):
+    # "row number 1 per key" must be a partial aggregate, never a window sort
+    m = small_models  # stored inputs; each model below is planned from them
+    for df in (history.int_property_rollup(m.int_violations_unioned),
+               dims.dim_violation_type(m.int_violations_unioned, m.violation_labels),
+               m.stg_dangerous_buildings,
+               marts.mart_dashboard(m.fact_violation, m.dim_violation_type,
+                                    m.dim_council_district, m.dim_property,
+                                    m.fact_property_lifecycle),
+               marts.mart_top_violation_types(m.fact_violation, m.dim_violation_type)):
         p = plan_of(df)
         assert "Window" not in p
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
+def test_medians_use_the_spread_histogram(small_models):
+    # the only window is over the (key, value) histogram, after its partial aggregate
+    m = small_models
+    p = plan_of(marts.mart_council_district(m.fact_violation, m.fact_property_lifecycle,
+                                            m.dim_council_district))
+    assert "percentile_disc" not in p
+    assert "Window [sum(_c#" in p
+
+
 def test_dashboard_is_salted(small_models):
     m = small_models
     p = plan_of(marts.mart_dashboard(m.fact_violation, m.dim_violation_type,
