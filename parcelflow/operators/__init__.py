@@ -2,5 +2,6 @@
 
 from parcelflow.operators.relational import (  # noqa: F401
     add_unknown_member, anti_join, first_per_key, hot_keys_by_share,
-    latest_per_key, median_by, salted_lookup_join, top_k, unpivot,
+    latest_per_key, median_by, median_of, salted_lookup_join, top_k, unpivot,
+    value_histogram,
 )

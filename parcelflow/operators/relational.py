@@ -109,37 +109,55 @@ def salted_lookup_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame,
     return big_s.join(dim_s, [key, "_salt"], how).drop("_salt")
 
 
-def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str,
-              interpolate: bool = False) -> DataFrame:
-    """Exact median of ``value`` per key, NULLs ignored, from a value histogram.
+def value_histogram(df: DataFrame, keys: Sequence[str], value: str,
+                    sums: dict[str, Column] | None = None) -> DataFrame:
+    """Per (keys, value) bucket: ``_rows`` (all rows), ``_c`` (rows with a
+    non-NULL value) and one sum per ``sums`` entry; plus ``_cum``, the running
+    ``_c`` in value order, and ``_n``, the key's total ``_c``.
+
+    The bucket aggregate is partial and spread over reducers by (key, value),
+    so a hot key is never merged in one task.  Only then does a window per key
+    run over its buckets, whose number is bounded by the value domain (day
+    counts), not by the rows.  Aggregate the result with ``median_of`` and
+    sums of the bucket columns.
+    """
+    extra = [F.sum(c).alias(n) for n, c in (sums or {}).items()]
+    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"),
+                                         F.count(value).alias("_c"), *extra)
+    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return hist.select("*", F.sum("_c").over(upto).alias("_cum"),
+                       F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
 
-    ``interpolate=False`` gives the middle element (``percentile_disc(0.5)``,
-    the lower one for an even count); ``True`` the mean of the two middle
-    elements (``median`` / ``percentile_cont(0.5)``).
 
-    Why not ``percentile_disc`` directly: its per-task value->count maps are
-    merged for one group in one reducer, so a group spanning every map task
-    (a district, a year) funnels every task's map into one place.  Here the
-    histogram ``(keys, value) -> count`` is aggregated partially and spread
-    over reducers by (key, value); only then does a window per key run over
-    its distinct values, which are bounded by the value domain (day counts),
-    not by the rows.  Keys whose values are all NULL are absent; left-join
-    the result.
+def median_of(value: str, interpolate: bool = False) -> Column:
+    """Aggregate over ``value_histogram`` rows of one key: the exact median.
+
+    ``interpolate=False`` is the middle element (``percentile_disc(0.5)``,
+    the lower one for an even count); ``True`` the mean of the two middle
+    elements (``median``).  NULL when the key has no non-NULL value.
     """
     v = F.col(value)
-    hist = (df.where(v.isNotNull()).groupBy(*keys, value)
-            .agg(F.count(F.lit(1)).alias("_c")))
-    upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    h = hist.select(*keys, value, "_c", F.sum("_c").over(upto).alias("_cum"),
-                    F.sum("_c").over(Window.partitionBy(*keys)).alias("_n"))
-    # The row covers 0-based positions [_cum - _c, _cum - 1]; the middle
+    # A bucket covers 0-based positions [_cum - _c, _cum - 1]; the middle
     # positions are floor((n-1)/2) and ceil((n-1)/2).
     first, last = F.col("_cum") - F.col("_c"), F.col("_cum") - 1
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.ceil((F.col("_n") - 1) / 2)
-    picked = h.groupBy(*keys).agg(
-        F.max(F.when((first <= lo) & (lo <= last), v)).alias("_lo"),
-        F.max(F.when((first <= hi) & (hi <= last), v)).alias("_hi"))
-    out = ((F.col("_lo") + F.col("_hi")) / 2) if interpolate else F.col("_lo")
-    return picked.select(*keys, out.alias(name))
+    at_lo = F.max(F.when((F.col("_c") > 0) & (first <= lo) & (lo <= last), v))
+    if not interpolate:
+        return at_lo
+    at_hi = F.max(F.when((F.col("_c") > 0) & (first <= hi) & (hi <= last), v))
+    return (at_lo + at_hi) / 2
+
+
+def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str,
+              interpolate: bool = False) -> DataFrame:
+    """Exact median of ``value`` per key, NULLs ignored (one row per key).
+
+    Why not ``percentile_disc`` directly: its per-task value->count maps are
+    merged for one group in one reducer, so a group spanning every map task
+    (a district, a year) funnels every task's map into one place.  See
+    ``value_histogram`` for the spread alternative used here.
+    """
+    return (value_histogram(df, keys, value).groupBy(*keys)
+            .agg(median_of(value, interpolate).alias(name)))

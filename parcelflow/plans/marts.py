@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lat_lng, safe_divide, year_of
-from parcelflow.operators import hot_keys_by_share, median_by, salted_lookup_join, top_k, unpivot
+from parcelflow.operators import (
+    hot_keys_by_share, median_by, median_of, salted_lookup_join, top_k, unpivot, value_histogram,
+)
 from parcelflow.functions.columns import surrogate_key
 
 
@@ -98,8 +100,12 @@ def mart_resolution_time(fact: DataFrame, dim_district: DataFrame) -> DataFrame:
     f = fact.select(year_of("date_found").alias("year"), "council_district_sk",
                     F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
     keys = ["year", "council_district_sk"]
-    per = (f.groupBy(*keys).agg(F.avg("resolved_days").alias("avg_days_to_resolve"))
-           .join(median_by(f, keys, "resolved_days", "median_days_to_resolve"), keys, "left"))
+    # Both measures come off one (key, day) histogram: no second aggregate.
+    h = value_histogram(f, keys, "resolved_days",
+                        {"_days": F.col("resolved_days")})
+    per = h.groupBy(*keys).agg(
+        median_of("resolved_days").alias("median_days_to_resolve"),
+        F.try_divide(F.sum("_days").cast("double"), F.sum("_c")).alias("avg_days_to_resolve"))
     d = dim_district.select("council_district_sk", "council_district")
     return per.join(d, "council_district_sk").select(
         "year", "council_district", "median_days_to_resolve", "avg_days_to_resolve")
@@ -124,10 +130,13 @@ def mart_violations_trend(fact: DataFrame) -> DataFrame:
     f = fact.select(year_of("date_found").alias("year"), "source_system", "is_resolved",
                     "days_open")
     keys = ["year", "source_system"]
-    return (f.groupBy(*keys).agg(
-                F.count(F.lit(1)).alias("total_violations"),
-                F.count_if("is_resolved").alias("resolved_violations"))
-            .join(median_by(f, keys, "days_open", "median_days_open"), keys, "left"))
+    # Counts and the median come off one (key, day) histogram.
+    h = value_histogram(f, keys, "days_open",
+                        {"_resolved": F.when(F.col("is_resolved"), 1).otherwise(0)})
+    return h.groupBy(*keys).agg(
+        F.sum("_rows").alias("total_violations"),
+        F.sum("_resolved").cast("bigint").alias("resolved_violations"),
+        median_of("days_open").alias("median_days_open"))
 
 
 def mart_property_points(lifecycle: DataFrame, dim_property: DataFrame) -> DataFrame:

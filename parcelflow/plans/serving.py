@@ -70,9 +70,7 @@ def live_top_types(wide: DataFrame, district: str | None = None, n: int = 20) ->
 def live_resolution(wide: DataFrame, district: str | None = None) -> DataFrame:
     """Interpolated median of days open per year, all rows."""
     w = scoped(wide, district).select("year", "days_open")
-    years = w.select("year").distinct()
-    return years.join(median_by(w, ["year"], "days_open", "median_days_open", interpolate=True),
-                      "year", "left")
+    return median_by(w, ["year"], "days_open", "median_days_open", interpolate=True)
 
 
 def live_heatmap(wide: DataFrame, district: str | None = None) -> DataFrame:
