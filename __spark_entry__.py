@@ -16,7 +16,7 @@ from parcelflow import oracle
 from parcelflow.operators import checks
 from parcelflow.plans import cleaning, events, serving
 from parcelflow.functions import AS_OF_DEFAULT
-from parcelflow.plans.build import Models, TableStore
+from parcelflow.plans.build import SHARED_INTERMEDIATES, Models, TableStore
 from parcelflow.session import apply_engine_conf, scratch_path
 from parcelflow.sources import testdata
 
@@ -24,8 +24,14 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 
 def models(spark: SparkSession, sf_dir: str) -> Models:
+    """The models over the given tables.  The two intermediates that several
+    models read (history, property rollup) are written once per call into the
+    shared checkpoint folder, as the build does; everything else is planned
+    lazily on top of them."""
     apply_engine_conf(spark)
-    return Models(testdata.raw_feeds(spark, sf_dir), AS_OF_DEFAULT)
+    store = TableStore(spark, scratch_path(spark, "queries", uuid.uuid4().hex))
+    return Models(testdata.raw_feeds(spark, sf_dir), AS_OF_DEFAULT, store=store,
+                  materialize=SHARED_INTERMEDIATES)
 
 
 def entry(spark: SparkSession) -> DataFrame:

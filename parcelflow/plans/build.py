@@ -20,6 +20,7 @@ from parcelflow.plans import dims, facts, history, marts, staging
 
 # Build order with the layer of each materialized table; the two
 # intermediates are stored too, because several models read each of them.
+SHARED_INTERMEDIATES = {"int_violations_unioned", "int_property_rollup"}
 LAYERS = {
     "int_violations_unioned": "intermediate",
     "int_property_rollup": "intermediate",
@@ -87,12 +88,19 @@ class TableStore:
 
 class Models:
     def __init__(self, raw: dict[str, DataFrame], as_of: dt.date,
-                 start: dt.date = SPINE_START, store: TableStore | None = None):
+                 start: dt.date = SPINE_START, store: TableStore | None = None,
+                 materialize: set[str] | None = None):
+        """``store`` set: tables are written and read back; ``materialize``
+        limits that to the named tables (the rest stay lazy)."""
         self.raw, self.as_of, self.start, self.store = raw, as_of, start, store
+        self.materialize = materialize
         self.spark = next(iter(raw.values())).sparkSession
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        return self.store.write(name, df) if self.store is not None else df
+        if self.store is None or (self.materialize is not None
+                                  and name not in self.materialize):
+            return df
+        return self.store.write(name, df)
 
     # staging (views)
     @cached_property
