@@ -161,26 +161,33 @@ DASHBOARD_COLUMNS = [
 
 def mart_dashboard(fact: DataFrame, dim_type: DataFrame, dim_district: DataFrame,
                    dim_property: DataFrame, lifecycle: DataFrame,
-                   salt_buckets: int = 32, max_hot: int = 2000) -> DataFrame:
+                   salt_buckets: int = 32, max_hot: int = 2000,
+                   max_broadcast_properties: int = 500_000) -> DataFrame:
     """One wide row per violation with type, district, property and stage.
 
-    The property and snapshot tables share a grain and are joined first; the
-    fact then meets them in one shuffle join, salted for hot properties: any
-    snapshot property holding more than ``1/max_hot`` of all violations, and
-    the UNKNOWN property that all blank pins map to.
+    The property and snapshot tables share a grain and are joined first.  If
+    the property dimension has at most ``max_broadcast_properties`` rows
+    (counted, so the bound is proven; ~60 MB at this width), it is broadcast
+    and the fact is not shuffled at all.  Beyond that, the fact meets it in one
+    shuffle join, salted for hot properties: any snapshot property holding more
+    than ``1/max_hot`` of all violations, and the UNKNOWN property that all
+    blank pins map to.
     """
     prop = dim_property.select("property_sk", "pin", "street_address", "neighborhood",
                                "latitude", "longitude")
     lc = lifecycle.select("property_sk", "current_stage", "ever_dangerous_building",
                           "total_violations")
     prop_lc = prop.join(lc, "property_sk", "left")
-    spark = fact.sparkSession
-    unknown = spark.createDataFrame([("UNKNOWN",)], "pin string").select(
-        surrogate_key("pin").alias("property_sk"))
-    hot = hot_keys_by_share(lifecycle, "property_sk", "total_violations", max_hot) \
-        .unionByName(unknown)
-    f = salted_lookup_join(fact, prop_lc, "property_sk", hot, salt_from="violation_pk",
-                           buckets=salt_buckets, how="left")
+    if dim_property.count() <= max_broadcast_properties:
+        f = fact.join(F.broadcast(prop_lc), "property_sk", "left")
+    else:
+        spark = fact.sparkSession
+        unknown = spark.createDataFrame([("UNKNOWN",)], "pin string").select(
+            surrogate_key("pin").alias("property_sk"))
+        hot = hot_keys_by_share(lifecycle, "property_sk", "total_violations", max_hot) \
+            .unionByName(unknown)
+        f = salted_lookup_join(fact, prop_lc, "property_sk", hot, salt_from="violation_pk",
+                               buckets=salt_buckets, how="left")
     vt = dim_type.select("violation_type_sk", "violation_code", "short_label", "chapter",
                          "violation_description")
     cd = dim_district.select("council_district_sk", "council_district", "district_label")

@@ -21,7 +21,7 @@ def test_no_window_no_cartesian(small_models):
                m.stg_dangerous_buildings,
                marts.mart_dashboard(m.fact_violation, m.dim_violation_type,
                                     m.dim_council_district, m.dim_property,
-                                    m.fact_property_lifecycle),
+                                    m.fact_property_lifecycle, max_broadcast_properties=0),
                marts.mart_top_violation_types(m.fact_violation, m.dim_violation_type)):
         p = plan_of(df)
         assert "Window" not in p
@@ -37,12 +37,16 @@ def test_medians_use_the_spread_histogram(small_models):
     assert "Window [sum(_c#" in p
 
 
-def test_dashboard_is_salted(small_models):
+def test_dashboard_salted_beyond_the_broadcast_bound(small_models):
     m = small_models
-    p = plan_of(marts.mart_dashboard(m.fact_violation, m.dim_violation_type,
-                                     m.dim_council_district, m.dim_property,
-                                     m.fact_property_lifecycle))
+    args = (m.fact_violation, m.dim_violation_type, m.dim_council_district, m.dim_property,
+            m.fact_property_lifecycle)
+    salted = marts.mart_dashboard(*args, max_broadcast_properties=0)
+    p = plan_of(salted)
     assert "_salt" in p and "xxhash64(violation_pk" in p
+    small = marts.mart_dashboard(*args)  # sf0.001: under the bound, broadcast
+    assert "_salt" not in plan_of(small)
+    assert salted.exceptAll(small).count() == 0 and small.exceptAll(salted).count() == 0
 
 
 def test_hotspots_take_top_k_before_joining(small_models):
