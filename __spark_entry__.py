@@ -20,6 +20,14 @@ from parcelflow.plans.build import SHARED_INTERMEDIATES, Models, TableStore
 from parcelflow.session import apply_engine_conf, scratch_path
 from parcelflow.sources import testdata
 
+try:
+    import corpus_pipeline
+    from parcelflow.llm import registry as llm
+except ModuleNotFoundError as missing:  # the driver also tests without these two
+    if missing.name not in ("corpus_pipeline", "parcelflow.llm"):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -190,6 +198,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["listed_without_violations"] = _listed_without_violations
     for key in ("ordinance_codes", "point_coordinates", "date_texts"):
         out[key] = _cleaning(key)
+    if llm:
+        out |= llm.QUERIES | {"pipeline": corpus_pipeline.run}
     return out
 
 
@@ -207,4 +217,8 @@ def oracle_sql() -> dict[str, str]:
     out.update(oracle.EVENTS_SQL)
     out["listed_without_violations"] = oracle.listed_without_violations_sql()
     out.update(oracle.CLEANING_SQL)
+    if llm:
+        out |= llm.ORACLE_SQL
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out

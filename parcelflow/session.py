@@ -1,32 +1,44 @@
-"""Session settings the engine relies on."""
+"""Session settings the engine relies on, and the shared scratch folder."""
 
 from __future__ import annotations
 
-import tempfile
+import atexit
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every build needs: UTC so DATE math is host-independent, ANSI casts
-# (the helpers use try_cast explicitly), AQE for runtime coalescing, broadcast
-# conversion and skewed-partition splitting.
-ENGINE_CONF = {
+# Right answers depend on these two: DATE math must not follow the host's zone,
+# and casts must fail loudly outside the guarded helpers.
+REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+}
+# Plan quality only: runtime coalescing, broadcast conversion, skew splitting.
+TUNING_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
 }
+ENGINE_CONF = REQUIRED_CONF | TUNING_CONF
+
+_CLEANED: set[str] = set()
+
+
+class SharedFolderError(RuntimeError):
+    """No folder that driver and executors share is configured."""
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "parcelflow") -> SparkSession:
+                  app: str = "parcelflow", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session for tests and the benchmark (UI off, no server)."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
@@ -35,37 +47,74 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def apply_engine_conf(spark: SparkSession) -> SparkSession:
-    """Apply the runtime SQL settings to an existing session."""
-    for k, v in ENGINE_CONF.items():
-        try:
+    """Apply the runtime SQL settings to an existing session.
+
+    A refused setting that answers depend on is an error; a refused tuning
+    setting (locked on a managed cluster) is not.
+    """
+    for k, v in REQUIRED_CONF.items():
+        spark.conf.set(k, v)
+    for k, v in TUNING_CONF.items():
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """Shared folder for cut lineage and intermediate tables.
+    """The shared folder for cut lineage and intermediate tables.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared filesystem).  Only
-    when it is unset (local tests) do we create one under the local temp dir.
+    It is what the cluster names in ``spark.checkpoint.dir``, or the folder
+    already given to ``SparkContext.setCheckpointDir``.  Nothing is made up
+    when neither is set: a folder of the driver's own would be invisible to
+    the executors.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a Connect session has no SparkContext
-        sc = None
-    root = spark.conf.get("spark.checkpoint.dir", None) or (sc.getCheckpointDir() if sc else None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="parcelflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(root)
+        raise SharedFolderError(
+            "set spark.checkpoint.dir to a folder that the driver and all executors share; "
+            "intermediate tables are written there")
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    return "/".join([checkpoint_root(spark), *parts])
+    """A path below this application's own folder in the shared folder.  The
+    folder goes when the Python driver ends."""
+    base = f"{checkpoint_root(spark)}/parcelflow-{spark.sparkContext.applicationId}"
+    if base not in _CLEANED:
+        _CLEANED.add(base)
+        atexit.register(_remove_quietly, spark, base)
+    return "/".join([base, *parts])
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table through the file system Spark reads it with."""
+    jvm = spark._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def _remove_quietly(spark: SparkSession, path: str) -> None:
+    try:
+        if spark.sparkContext._jsc is not None:
+            remove_path(spark, path)
+    except Exception:  # the JVM may be gone already
+        pass
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet under the shared folder and read back:
+    lineage is cut and a lost executor recomputes nothing behind it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(df: DataFrame) -> None:
+    """Remove a table that :func:`stored` wrote and nobody reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove_path(df.sparkSession, path)
 
 
-__all__ = ["ENGINE_CONF", "local_session", "apply_engine_conf", "checkpoint_root",
-           "scratch_path"]
+__all__ = ["ENGINE_CONF", "SharedFolderError", "local_session", "apply_engine_conf",
+           "checkpoint_root", "scratch_path", "remove_path", "stored", "forget"]
