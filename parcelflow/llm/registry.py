@@ -1,9 +1,13 @@
 """Registered queries of this package and their DuckDB SQL."""
 
 from parcelflow.llm.bpe import op2_bpe
+from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
 
 QUERIES = {
     "op2_bpe": op2_bpe,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {
+    "op5_ngram_jaccard_join": OP5_SQL,
+}
