@@ -2,10 +2,12 @@
 
 from parcelflow.llm.bpe import op2_bpe
 from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
+from parcelflow.llm.language_id import op6_language_mixture
 
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_language_mixture": op6_language_mixture,
 }
 
 ORACLE_SQL = {
