@@ -3,13 +3,19 @@
 from parcelflow.llm.bpe import op2_bpe
 from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
 from parcelflow.llm.language_id import op6_language_mixture
+from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
+from parcelflow.llm.mixing import OP9_SQL, op9_mixing
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_language_mixture": op6_language_mixture,
+    "op9_mixing": op9_mixing,
 }
 
 ORACLE_SQL = {
+    "op1_line_dedup": OP1_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
+    "op9_mixing": OP9_SQL,
 }
