@@ -5,11 +5,13 @@ from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
 from parcelflow.llm.language_id import op6_language_mixture
 from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from parcelflow.llm.mixing import OP9_SQL, op9_mixing
+from parcelflow.llm.pii import op3_pii
 from parcelflow.llm.secrets import op8_secret_scan
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
+    "op3_pii": op3_pii,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_language_mixture": op6_language_mixture,
     "op8_secret_scan": op8_secret_scan,
