@@ -7,8 +7,10 @@ from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from parcelflow.llm.mixing import OP9_SQL, op9_mixing
 from parcelflow.llm.pii import op3_pii
 from parcelflow.llm.secrets import op8_secret_scan
+from parcelflow.llm.toxicity import op10_toxicity
 
 QUERIES = {
+    "op10_toxicity": op10_toxicity,
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_pii": op3_pii,
