@@ -7,21 +7,27 @@ from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from parcelflow.llm.mixing import OP9_SQL, op9_mixing
 from parcelflow.llm.pii import op3_pii
 from parcelflow.llm.secrets import op8_secret_scan
+from parcelflow.llm.topk_search import OP4_SQL, op4_exact_topk
 from parcelflow.llm.toxicity import op10_toxicity
+from parcelflow.llm.vector_dedup import OP7_SQL, op7_embedding_near_dedup
 
 QUERIES = {
-    "op10_toxicity": op10_toxicity,
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
     "op3_pii": op3_pii,
+    "op4_exact_topk": op4_exact_topk,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_language_mixture": op6_language_mixture,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL = {
     "op1_line_dedup": OP1_SQL,
+    "op4_exact_topk": OP4_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
+    "op7_embedding_near_dedup": OP7_SQL,
     "op9_mixing": OP9_SQL,
 }
