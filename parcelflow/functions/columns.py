@@ -31,10 +31,14 @@ AS_OF_DEFAULT = _dt.date(2010, 6, 30)
 # Characters TRIM removes: all ASCII whitespace, not only the space that
 # Spark's one-argument trim strips.
 WHITESPACE = " \t\n\r\f\u000b"
-# Text a date cast accepts: year-month-day, month and day 1-2 digits.
-_DATE_TEXT = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
-# Java-style float suffixes that Spark's cast accepts but SQL does not.
-_FLOAT_SUFFIX = r"[0-9.][dDfF]\s*$"
+# Text a date cast accepts: year-month-day, month and day 1-2 digits.  \z, not
+# $: the latter also matches before a final line break.
+_DATE_TEXT = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
+# Text a number cast accepts: a decimal number with an optional exponent, white
+# space around it.  Hex digits, digit separators, type suffixes and the words
+# for NaN and infinity are not numbers here: a measure that is one is dirt.
+NUMBER_TEXT = (r"[ \t\n\r\f\x0B]*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?"
+               r"[ \t\n\r\f\x0B]*")
 
 
 def col_of(c: Column | str) -> Column:
@@ -62,24 +66,29 @@ def safe_date(c: Column | str) -> Column:
 
 
 def safe_double(c: Column | str) -> Column:
-    """Text cast to DOUBLE, NULL when not a plain number (H9)."""
+    """Text cast to DOUBLE, NULL when not a plain finite number (H9)."""
     c = col_of(c)
-    return F.when(~c.rlike(_FLOAT_SUFFIX), c.try_cast("double"))
+    d = F.when(c.rlike(rf"\A{NUMBER_TEXT}\z"), clean_trim(c).try_cast("double"))
+    return F.when(F.abs(d) < float("inf"), d)
 
 
-def json_coord(point: Column | str, index: int) -> Column:
-    """Coordinate ``index`` (0 = lng, 1 = lat) of a JSON point text.
+def point_coordinates(point: Column | str) -> Column:
+    """The ``coordinates`` array of a JSON point text as texts (H10, I3); NULL
+    when the text is not one object with such an array.  Parses the JSON once."""
+    return whole_object(point, "struct<coordinates:array<string>>")["coordinates"]
 
-    For one coordinate.  To read both, parse once with ``point_coordinates``
-    in its own projection and take ``coord_at`` of the parsed column.
-    """
-    return safe_double(F.get_json_object(col_of(point), f"$.coordinates[{index}]"))
 
+def whole_object(text: Column | str, kind: str) -> Column:
+    """The text as one JSON object of type ``kind``; NULL when it is none, or
+    when anything but white space stands around it.
 
-def point_coordinates(point: Column | str) -> Column:
-    """The ``coordinates`` array of a JSON point text as texts; NULL when the
-    text is not an object with such an array.  Parses the JSON once."""
-    return F.from_json(col_of(point), "coordinates array<string>").getField("coordinates")
+    The parser stops at the end of the first value and ignores what follows, so
+    the text is put into an array with a mark behind it: whatever follows the
+    object breaks the array, adds an element or hides the mark.
+    """
+    around = F.from_json(F.concat(F.lit('{"value":['), col_of(text), F.lit('],"mark":true}')),
+                         f"struct<value:array<{kind}>,mark:boolean>")
+    return F.when(around["mark"] & (F.size(around["value"]) == 1), around["value"][0])
 
 
 def coord_at(coords: Column | str, index: int) -> Column:
@@ -131,19 +140,5 @@ def safe_divide(num: Column | str, den: Column | str) -> Column:
     return F.try_divide(col_of(num).cast("double"), col_of(den))
 
 
-def median_disc(sql_expr: str, as_type: str | None = "bigint") -> Column:
-    """Median that is an element of the input, NULLs ignored.
-
-    Takes a SQL expression over column names (``WITHIN GROUP`` has no
-    DataFrame wrapper).  ``percentile_disc`` aggregates partially on the map
-    side; its buffer is a value->count map, bounded by the number of distinct
-    day counts.  Its final merge for one group runs in one reducer, so the
-    marts use ``operators.median_by`` (a spread histogram) instead; this is
-    for groups that live in few tasks.
-    """
-    m = F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {sql_expr})")
-    return m.cast(as_type) if as_type else m
-
-
 def year_of(c: Column | str) -> Column:
     return F.year(col_of(c)).cast("bigint")

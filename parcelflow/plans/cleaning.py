@@ -9,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parcelflow.functions import coord_at, normalize_code, point_coordinates, safe_date
+from parcelflow.functions import (
+    coord_at, normalize_code, point_coordinates, safe_date, safe_double,
+)
 
 
 def ordinance_codes(live: DataFrame, archive: DataFrame) -> DataFrame:
@@ -37,3 +39,18 @@ def date_texts(live: DataFrame, archive: DataFrame) -> DataFrame:
              .unionByName(archive.select(F.col("case_closed").alias("text"))))
     return (texts.groupBy("text").agg(F.count(F.lit(1)).alias("rows"))
             .select("text", safe_date("text").alias("parsed"), "rows"))
+
+
+def numeric_texts(part: DataFrame) -> DataFrame:
+    """Number-like texts made of the part sizes, clean and dirty, → DOUBLE or
+    NULL (H9): plain, hex, with a digit separator, exponent, white space around,
+    type suffix, beyond the range, and no number at all."""
+    size = F.col("p_size").cast("string")
+    forms = [size, F.concat(F.lit("0x"), size, F.lit("p3")), F.concat(size, F.lit("_0")),
+             F.concat(size, F.lit("e2")), F.concat(F.lit(" -"), size, F.lit(".5\n")),
+             F.concat(size, F.lit("d")), F.concat(size, F.lit("e999"))]
+    text = F.col("p_brand")
+    for k, form in enumerate(forms):
+        text = F.when(F.col("p_partkey") % 8 == k, form).otherwise(text)
+    return (part.select(text.alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("rows"))
+            .select("text", safe_double("text").alias("parsed"), "rows"))

@@ -19,13 +19,14 @@ def fact_violation(history: DataFrame, as_of: dt.date,
                    start: dt.date = SPINE_START) -> DataFrame:
     """One row per distinct violation record found in [start, as_of].
 
-    Exact duplicates collapse (DISTINCT over all 21 columns, partially
-    aggregated before the shuffle); the key is a hash of the whole row.
+    The key is a hash of the whole row, so equal rows have equal output rows:
+    the hash is taken first, and only the 11 output columns are compared and
+    shuffled, not the 21 columns of the history.
     """
     found = F.col("date_found")
-    deduped = history.where(found.isNotNull() & (found >= F.lit(start))
-                            & (found <= F.lit(as_of))).select(*HISTORY_COLUMNS).distinct()
-    return deduped.select(
+    window = history.where(found.isNotNull() & (found >= F.lit(start))
+                           & (found <= F.lit(as_of)))
+    return window.select(
         row_hash(HISTORY_COLUMNS).alias("violation_pk"),
         surrogate_key(unknown_if_blank("pin")).alias("property_sk"),
         surrogate_key(F.coalesce("violation_code", F.lit("UNKNOWN"))).alias("violation_type_sk"),
@@ -33,10 +34,7 @@ def fact_violation(history: DataFrame, as_of: dt.date,
         surrogate_key("date_found").alias("date_sk"),
         "violation_id", "source_system", "date_found", "date_resolved", "days_open",
         "is_resolved",
-    )
-
-
-STAGES = ("single_violation", "repeat_violations", "dangerous_building", "demolition")
+    ).distinct()
 
 
 def fact_property_lifecycle(rollup: DataFrame, dangerous_by_pin: DataFrame) -> DataFrame:

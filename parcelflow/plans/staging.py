@@ -14,14 +14,6 @@ from parcelflow.functions import (
 from parcelflow.functions.columns import DEMOLITION_WORDS
 from parcelflow.operators import latest_per_key
 
-# The unified 20-column violation shape both feeds are conformed to.
-VIOLATION_COLUMNS = [
-    "violation_id", "case_number", "pin", "source_system", "street_address",
-    "full_address", "zip_code", "council_district", "neighborhood", "latitude",
-    "longitude", "chapter", "ordinance", "violation_code", "violation_description",
-    "date_found", "date_to_comply", "date_resolved", "status_raw", "is_resolved",
-]
-
 CURRENT_RAW = ["violationid", "casenumber", "pin", "street_address", "full_address",
                "postalcode", "computed_region_9t2m_phkm", "incident_location",
                "chapter", "ordinance", "description", "date_found", "date_to_comply",
@@ -103,11 +95,6 @@ def stg_violations_historical(raw: DataFrame) -> DataFrame:
     )
 
 
-DANGEROUS_COLUMNS = ["pin", "case_number", "street_address", "full_address", "zip_code",
-                     "council_district", "neighborhood", "latitude", "longitude",
-                     "case_opened", "status_of_case", "is_demolition_status"]
-
-
 def stg_dangerous_buildings(raw: DataFrame) -> DataFrame:
     """The dangerous-building list, newest listing per pin.
 
@@ -146,5 +133,5 @@ def stg_dangerous_buildings(raw: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["VIOLATION_COLUMNS", "DANGEROUS_COLUMNS", "conform_raw",
+__all__ = ["conform_raw",
            "stg_violations_current", "stg_violations_historical", "stg_dangerous_buildings"]

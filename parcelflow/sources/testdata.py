@@ -7,10 +7,9 @@ unparseable dates, malformed points, far-away coordinates, duplicate rows.
 
 All rules are integer arithmetic on keys, so Spark and the SQL oracle
 (``parcelflow.oracle``) derive byte-identical text.  No rule drops rows to
-save work: the moduli decide which *kind* of dirt a row carries, and every
-line item of the given tables becomes a violation.  The dangerous-building
-list, a small share of properties in the modelled data, is the urgent
-orders above a price.
+save work: the moduli decide which *kind* of dirt a row carries, every line
+item of the given tables becomes a violation, and every urgent order is on the
+dangerous-building list.
 
 Dates are moved forward by ``DATE_SHIFT_DAYS`` (exactly 9 years for these
 years) so the history straddles the 2005-01-01 start of the date spine and
@@ -25,47 +24,23 @@ from pyspark.sql import functions as F
 from parcelflow.sources.seeds import builtin_labels
 
 DATE_SHIFT_DAYS = 3287
-# Urgent orders above this total are on the dangerous-building list.
-LISTED_MIN_PRICE = 430000
 
 # Columns read from each given table (projection reaches the Parquet scan).
 _USED = {
     "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                  "l_returnflag", "l_linestatus", "l_shipdate"],
     "orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
-               "o_orderpriority", "o_totalprice"],
+               "o_orderpriority"],
     "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"],
     "nation": ["n_nationkey", "n_name", "n_regionkey"],
     "part": ["p_partkey", "p_brand", "p_type", "p_size"],
 }
 
 
-# Tables large enough that their scan width bounds the whole feed build.
-_SPREAD = {"lineitem", "orders", "events"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition a scan that yields fewer splits than the
-    cluster has cores (a file written as one row group cannot be split).
-
-    A no-op for sources already split wider than the default parallelism,
-    which is the normal case for a large table.  Round-robin keeps a hot key
-    from concentrating, and Spark sorts before it so a retried task
-    reproduces the same rows.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a Connect session)
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     cols = _USED.get(name)
-    df = df.select(*cols) if cols else df
-    return spread(df) if name in _SPREAD else df
+    return df.select(*cols) if cols else df
 
 
 def _iso_text(ts: str) -> Column:
@@ -190,13 +165,11 @@ def raw_historical_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_dangerous_buildings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dangerous-building list: the most expensive urgent orders (about one
-    urgent order in seven at every scale); some pins listed twice."""
+    """Dangerous-building list: the urgent orders; some pins listed twice."""
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
-    b = (o.where((F.col("o_orderpriority") == "1-URGENT")
-                 & (F.col("o_totalprice") > LISTED_MIN_PRICE))
+    b = (o.where(F.col("o_orderpriority") == "1-URGENT")
          .join(c, o.o_custkey == c.c_custkey)
          .join(n, c.c_nationkey == n.n_nationkey))
     # Second listing for every third customer: same day for even keys (the

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from parcelflow.functions import (
-    clean_trim, coord_at, days_between, json_coord, lat_lng, normalize_code,
+    clean_trim, coord_at, days_between, lat_lng, normalize_code,
     point_coordinates, row_hash, safe_date, safe_divide, safe_double, surrogate_key,
 )
 
@@ -17,27 +17,31 @@ def one_col(spark, values, fn, typ="string"):
 
 def test_safe_date(spark):
     got = one_col(spark, ["2022-07-25T00:00:00.000", "2022-7-5", "2022", "2022-07",
-                          "2022-7-25T00", "07/25/2022", "", None, "2022-02-30"], safe_date)
+                          "2022-7-25T00", "07/25/2022", "", None, "2022-02-30",
+                          "2022-07-2\n", "\n2022-7-2"], safe_date)
     assert got == [dt.date(2022, 7, 25), dt.date(2022, 7, 5), None, None, None, None, None,
-                   None, None]
+                   None, None, None, None]
 
 
 def test_safe_double(spark):
     got = one_col(spark, ["39.1", "1e3", "1.0d", "1f", "abc", "", None, "-94.25"], safe_double)
     assert got == [39.1, 1000.0, None, None, None, None, None, -94.25]
+    dirt = ["0x1p3", "1_0", "nan", "Infinity", "1e999", " 7.\n", ".5", "+2", "1 2", "."]
+    assert one_col(spark, dirt, safe_double) == [None, None, None, None, None, 7.0, 0.5, 2.0,
+                                                 None, None]
 
 
 def test_point_both_forms(spark):
     pts = ['{"type":"Point","coordinates":[-94.5,39.1]}', '{"coordinates":[]}',
            '{"coordinates":[null, null]}', '{"coordinates":[[1,2],[3,4]]}', "{bad json",
            '{"type":"Polygon"}', None, '{"coordinates":["-94.5","39.25"]}']
-    lat = one_col(spark, pts, lambda c: json_coord(c, 1))
-    lng = one_col(spark, pts, lambda c: json_coord(c, 0))
-    assert lat == [39.1, None, None, None, None, None, None, 39.25]
-    assert lng == [-94.5, None, None, None, None, None, None, -94.5]
-    lat2 = one_col(spark, pts, lambda c: coord_at(point_coordinates(c), 1))
-    lng2 = one_col(spark, pts, lambda c: coord_at(point_coordinates(c), 0))
-    assert (lat2, lng2) == (lat, lng)
+    pts += ['{"coordinates":[-94.5,39.1]} x', '{"coordinates":[1,2]},{"coordinates":[3,4]}',
+            '{"coordinates":[1,2]}]', '[{"coordinates":[1,2]}]', ' {"coordinates":[5,6]}\n']
+    lat = one_col(spark, pts, lambda c: coord_at(point_coordinates(c), 1))
+    lng = one_col(spark, pts, lambda c: coord_at(point_coordinates(c), 0))
+    rest = [None, None, None, None]
+    assert lat == [39.1, None, None, None, None, None, None, 39.25, *rest, 6.0]
+    assert lng == [-94.5, None, None, None, None, None, None, -94.5, *rest, 5.0]
 
 
 def test_normalize_code(spark):

@@ -12,16 +12,18 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from parcelflow import oracle
-from parcelflow.functions import clean_trim, normalize_code, safe_date, safe_double
+from parcelflow.functions import (
+    clean_trim, coord_at, normalize_code, point_coordinates, safe_date, safe_double,
+)
 
-ALPHABET = "0123456789-.:T eEdDfF\t\nCOco/x"
+ALPHABET = "0123456789-.:T eEdDfF\t\nCOco/x_+npi"
 texts = st.lists(st.one_of(st.none(), st.text(alphabet=ALPHABET, max_size=14)),
                  min_size=1, max_size=60)
 date_like = st.lists(st.one_of(st.none(), st.from_regex(
-    r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(T[0-9:.]{0,12})?\Z", fullmatch=True)), min_size=1,
+    r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(T[0-9:.]{0,12}|\n)?\Z", fullmatch=True)), min_size=1,
     max_size=40)
 num_like = st.lists(st.one_of(st.none(), st.from_regex(
-    r"\A[ ]?-?[0-9]{0,3}(\.[0-9]{0,3})?([eE][0-9])?[dDfF]?[ ]?\Z", fullmatch=True)),
+    r"\A[ ]?[+-]?(0x)?[0-9]{0,3}_?(\.[0-9]{0,3})?([eEp][0-9]{1,3})?[dDfF]?[ \n]?x?\Z", fullmatch=True)),
     min_size=1, max_size=40)
 
 
@@ -61,3 +63,17 @@ def test_safe_date_agrees(spark, values):
 def test_safe_double_agrees(spark, values):
     got, want = _both(spark, values, safe_double, oracle.to_double)
     assert got == want
+
+
+points = st.lists(st.one_of(st.none(), st.from_regex(
+    r'\A ?(\{"coordinates":\[(-94\.5|1e3|null|"7"),(39\.1|"x")\]\}){1,2}[ ,x\]\n]{0,2}\Z',
+    fullmatch=True)), min_size=1, max_size=40)
+
+
+@settings(max_examples=15, deadline=None)
+@given(points)
+def test_point_agrees(spark, values):
+    for i in (0, 1):
+        got, want = _both(spark, values, lambda c: coord_at(point_coordinates(c), i),
+                          lambda x: oracle.point_coord(x, i))
+        assert got == want
