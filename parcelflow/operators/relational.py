@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from parcelflow.session import stored
+
 
 def _pick_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
                   value_cols: Sequence[str], agg) -> DataFrame:
@@ -76,36 +78,39 @@ def top_k(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def hot_keys_by_share(weights: DataFrame, key: str, weight: str,
-                      max_hot: int = 2000) -> DataFrame:
-    """Keys whose weight exceeds ``1/max_hot`` of the total.
+def hot_keys(big: DataFrame, key: str, partitions: int) -> DataFrame:
+    """``key`` and ``salts`` of the keys that hold more than an even partition.
 
-    At most ``max_hot`` keys can pass, so the result has a proven size bound
-    and may be broadcast.  The total is an uncorrelated scalar subquery.
+    A key is hot when it has more than 1/``partitions`` of all rows, so there
+    are fewer than ``partitions`` of them: the result may be broadcast.  A key
+    gets as many salts as its rows would fill partitions.  The counts are a
+    partial aggregate of the big side itself; the total is a scalar subquery.
     """
-    total = weights.select(F.sum(weight).alias("_t")).scalar()
-    return weights.where(F.col(weight) * F.lit(max_hot) > total).select(key)
+    per_key = big.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = big.agg(F.count(F.lit(1)).alias("_t")).scalar()
+    share = F.col("_n") * F.lit(partitions) / total
+    return per_key.where(share > 1).select(key, F.ceil(share).cast("int").alias("salts"))
 
 
-def salted_lookup_join(big: DataFrame, dim: DataFrame, key: str, hot: DataFrame,
-                       salt_from: str, buckets: int = 32, how: str = "left") -> DataFrame:
+def salted_lookup_join(big: DataFrame, dim: DataFrame, key: str, salt_from: str,
+                       partitions: int | None = None, how: str = "left") -> DataFrame:
     """``big JOIN dim USING (key)`` where ``dim`` has one row per key.
 
-    Rows of ``big`` whose key is in ``hot`` (a key list of proven, bounded
-    size) are spread over ``buckets`` salts taken from a hash of
-    ``salt_from`` (deterministic, so retried tasks produce the same rows);
-    their single ``dim`` row is copied once per salt.  Cold keys keep salt 0
-    and pass through unchanged.  One shuffle on (key, salt); no task receives
-    more than ``1/buckets`` of a hot key.
+    Rows of a hot key (:func:`hot_keys`) are spread over its salts by a hash of
+    ``salt_from`` (deterministic, so retried tasks produce the same rows), and
+    its single ``dim`` row is copied once per salt; every other key keeps salt
+    0.  One shuffle on (key, salt), in which no task receives much more than an
+    even share; AQE turns it into a broadcast when ``dim`` turns out small.
+    ``partitions`` defaults to the session's shuffle partitions.
     """
-    hot_tag = F.broadcast(hot.select(key).distinct().withColumn("_hot", F.lit(True)))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(F.col(salt_from)), F.lit(buckets))) \
-        .otherwise(F.lit(0)).cast("int")
-    big_s = big.join(hot_tag, key, "left").withColumn("_salt", salt).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(buckets - 1))) \
-        .otherwise(F.array(F.lit(0)))
-    dim_s = (dim.join(hot_tag, key, "left")
-             .withColumn("_salt", F.explode(copies)).drop("_hot"))
+    spark = big.sparkSession
+    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = F.broadcast(hot_keys(big, key, partitions))  # fewer than `partitions` rows
+    salts = F.coalesce("salts", F.lit(1))
+    big_s = (big.join(hot, key, "left")
+             .withColumn("_salt", F.pmod(F.xxhash64(salt_from), salts).cast("int")).drop("salts"))
+    dim_s = (dim.join(hot, key, "left")
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts"))
     return big_s.join(dim_s, [key, "_salt"], how).drop("_salt")
 
 
@@ -161,3 +166,60 @@ def median_by(df: DataFrame, keys: Sequence[str], value: str, name: str,
     """
     return (value_histogram(df, keys, value).groupBy(*keys)
             .agg(median_of(value, interpolate).alias(name)))
+
+
+def median_in_buckets(df: DataFrame, keys: Sequence[str], value: str, name: str,
+                      interpolate: bool = False, buckets: int = 4096,
+                      levels: int = 2) -> DataFrame:
+    """Exact median of a measure with any number of distinct values, per key.
+
+    ``median_by`` keeps one row per distinct value, which for a continuous
+    measure is as many as there are rows.  Here each level cuts a key's range
+    into equal ``buckets``, counts them (a partial aggregate spread over
+    reducers by key and bucket), and keeps only the bucket or buckets that hold
+    the middle ranks; a window sees at most ``buckets`` rows of a key.  What
+    ``levels`` rounds leave goes through the histogram.  The per-key tables are
+    written before they meet the rows, so that Spark joins them by their known
+    size and can split a hot key.
+    """
+    keys = list(keys)
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"))
+    rank = F.col("_n") - 1
+    scope = stored(rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+        .select("*", F.floor(rank / 2).alias("_lo"), F.ceil(rank / 2).alias("_hi"),
+                F.lit(0).cast("long").alias("_below")), "median")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]
+
+    def inside() -> DataFrame:
+        kept = [F.col(f"r.{c}") for c in [*keys, "_v"]] + [
+            F.col(f"s.{c}") for c in ("_n", "_from", "_to", "_lo", "_hi", "_below")]
+        return (rows.alias("r").join(scope.alias("s"), same).select(*kept)
+                .where(F.col("_v").between(F.col("_from"), F.col("_to"))))
+
+    by = Window.partitionBy(*keys)
+    for _ in range(levels):
+        width = (F.col("_to") / buckets - F.col("_from") / buckets)
+        at = F.when((width > 0) & (width < float("inf")), F.least(F.floor((F.col("_v") - F.col("_from")) / width),
+                                       F.lit(buckets - 1))).otherwise(0)
+        counted = inside().withColumn("_b", at).groupBy(
+            *keys, "_n", "_lo", "_hi", "_below", "_b").agg(
+            F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
+        upto = F.sum("_c").over(by.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+        placed = counted.withColumn("_end", F.col("_below") + upto).withColumn(
+            "_start", F.col("_end") - F.col("_c"))
+        scope = stored(placed.where((F.col("_start") <= F.col("_hi"))
+                                    & (F.col("_end") > F.col("_lo")))
+                       .groupBy(*keys, "_n", "_lo", "_hi").agg(
+                           F.min("_from").alias("_from"), F.max("_to").alias("_to"),
+                           F.min("_start").alias("_below")), "median")
+    hist = inside().groupBy(*keys, "_lo", "_hi", "_below", "_v").agg(
+        F.count(F.lit(1)).alias("_c"))
+    upto = F.sum("_c").over(by.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    placed = hist.withColumn("_end", F.col("_below") + upto).withColumn(
+        "_start", F.col("_end") - F.col("_c"))
+    holds = lambda r: F.max(F.when((F.col("_start") <= F.col(r))
+                                   & (F.col(r) < F.col("_end")), F.col("_v")))
+    middle = (holds("_lo") + holds("_hi")) / 2 if interpolate else holds("_lo")
+    return placed.groupBy(*keys).agg(middle.alias(name))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import safe_double
-from parcelflow.operators import anti_join, latest_per_key, median_by
+from parcelflow.operators import anti_join, latest_per_key, median_in_buckets
 
 
 def latest_event_per_user(events: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def events_by_month(events: DataFrame) -> DataFrame:
     return (e.groupBy(*keys).agg(
                 F.count(F.lit(1)).alias("events"),
                 F.count_if(F.col("value") > 10).alias("events_over_10"))
-            .join(median_by(e, keys, "value", "median_value"), keys, "left"))
+            .join(median_in_buckets(e, keys, "value", "median_value"), keys, "left"))
 
 
 def listed_without_violations(dangerous: DataFrame, rollup: DataFrame) -> DataFrame:

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from parcelflow.functions import lat_lng, safe_divide, year_of
 from parcelflow.operators import (
-    hot_keys_by_share, median_by, median_of, salted_lookup_join, top_k, unpivot, value_histogram,
+    median_by, median_of, salted_lookup_join, top_k, unpivot, value_histogram,
 )
-from parcelflow.functions.columns import surrogate_key
 
 
 def mart_blight_funnel(lifecycle: DataFrame) -> DataFrame:
@@ -150,44 +149,24 @@ def mart_property_points(lifecycle: DataFrame, dim_property: DataFrame) -> DataF
         "total_violations", "current_stage", "ever_dangerous_building")
 
 
-DASHBOARD_COLUMNS = [
-    "violation_pk", "violation_id", "source_system", "date_found", "year", "date_resolved",
-    "days_open", "is_resolved", "violation_code", "short_label", "chapter",
-    "violation_description", "council_district", "district_label", "pin", "street_address",
-    "neighborhood", "latitude", "longitude", "lat_lng", "current_stage",
-    "ever_dangerous_building", "total_violations",
-]
-
-
 def mart_dashboard(fact: DataFrame, dim_type: DataFrame, dim_district: DataFrame,
                    dim_property: DataFrame, lifecycle: DataFrame,
-                   salt_buckets: int = 32, max_hot: int = 2000,
-                   max_broadcast_properties: int = 500_000) -> DataFrame:
+                   partitions: int | None = None) -> DataFrame:
     """One wide row per violation with type, district, property and stage.
 
-    The property and snapshot tables share a grain and are joined first.  If
-    the property dimension has at most ``max_broadcast_properties`` rows
-    (counted, so the bound is proven; ~60 MB at this width), it is broadcast
-    and the fact is not shuffled at all.  Beyond that, the fact meets it in one
-    shuffle join, salted for hot properties: any snapshot property holding more
-    than ``1/max_hot`` of all violations, and the UNKNOWN property that all
-    blank pins map to.
+    The property and snapshot tables share a grain and are joined first; the
+    fact meets them in one shuffle join, salted where a property holds more
+    than an even partition (the UNKNOWN property that all blank pins map to is
+    one such).  The type and district dimensions are stored tables in every
+    build, so Spark broadcasts them by their file size or, beyond that, splits
+    a hot code's partition.
     """
     prop = dim_property.select("property_sk", "pin", "street_address", "neighborhood",
                                "latitude", "longitude")
     lc = lifecycle.select("property_sk", "current_stage", "ever_dangerous_building",
                           "total_violations")
-    prop_lc = prop.join(lc, "property_sk", "left")
-    if dim_property.count() <= max_broadcast_properties:
-        f = fact.join(F.broadcast(prop_lc), "property_sk", "left")
-    else:
-        spark = fact.sparkSession
-        unknown = spark.createDataFrame([("UNKNOWN",)], "pin string").select(
-            surrogate_key("pin").alias("property_sk"))
-        hot = hot_keys_by_share(lifecycle, "property_sk", "total_violations", max_hot) \
-            .unionByName(unknown)
-        f = salted_lookup_join(fact, prop_lc, "property_sk", hot, salt_from="violation_pk",
-                               buckets=salt_buckets, how="left")
+    f = salted_lookup_join(fact, prop.join(lc, "property_sk", "left"), "property_sk",
+                           salt_from="violation_pk", partitions=partitions, how="left")
     vt = dim_type.select("violation_type_sk", "violation_code", "short_label", "chapter",
                          "violation_description")
     cd = dim_district.select("council_district_sk", "council_district", "district_label")

@@ -181,20 +181,29 @@ def test_checks_pass(small_models):
         assert n == 0 or sev == "warn", key
 
 
-@pytest.mark.parametrize("buckets", [1, 4])
-def test_salted_join_equals_plain_join(spark, buckets):
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_salted_join_equals_plain_join(spark, partitions):
     from parcelflow.operators import salted_lookup_join
 
-    big = spark.range(2000).select((F.col("id") % 7).cast("string").alias("k"),
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 700)  # a third on one key
+    big = spark.range(3000).select(hot.cast("string").alias("k"),
                                    F.col("id").cast("string").alias("v"))
-    dim = spark.createDataFrame([(str(i), i * 10) for i in range(5)], "k string, a long")
-    hot = spark.createDataFrame([("0",), ("1",), ("9",)], "k string")
-    got = salted_lookup_join(big, dim, "k", hot, "v", buckets=buckets)
+    dim = spark.range(500).select(F.col("id").cast("string").alias("k"),
+                                  (F.col("id") * 10).alias("a"))
+    got = salted_lookup_join(big, dim, "k", "v", partitions=partitions)
     want = big.join(dim, "k", "left")
-    assert got.count() == 2000
+    assert got.count() == 3000
     assert got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def test_salts_follow_the_share_of_a_key(spark):
+    from parcelflow.operators import hot_keys
+
+    big = spark.range(1000).select(F.when(F.col("id") < 500, 0).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in hot_keys(big, "k", 16).collect()] == [(0, 8)]
+    assert hot_keys(big, "k", 1).count() == 0
+
+
 def test_feed_keep_drop_counts(spark):
     m = build(spark, [live(violationid="a"), live(violationid=None), live(violationid="b")],
               [arch(id=None), arch(id="h9")],
@@ -279,3 +288,42 @@ def test_median_by_matches_duckdb(spark):
         got = {r.k: r.m for r in median_by(df, ["k"], "v", "m", interpolate).collect()}
         want = dict(con.execute(f"SELECT k, {fn} FROM t GROUP BY k").fetchall())
         assert got == want
+
+
+def test_median_in_buckets_matches_duckdb(spark):
+    import random
+
+    import duckdb
+
+    from parcelflow.operators import median_in_buckets
+    rnd = random.Random(11)
+    rows = [(rnd.choice(["a", "b", None]), rnd.choice([None, rnd.gauss(0, 1e6), rnd.random()]))
+            for _ in range(3000)]
+    rows += [("c", 1e300), ("c", -1e300), ("d", 2.5), ("e", None)] + [("f", 7.0)] * 50 + [("f", 1.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (k VARCHAR, v DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", rows)
+    for interpolate, fn in ((False, "quantile_disc(v, 0.5)"), (True, "median(v)")):
+        got = {r.k: r.m for r in median_in_buckets(df, ["k"], "v", "m", interpolate,
+                                                   buckets=8).collect()}
+        want = dict(con.execute(f"SELECT k, {fn} FROM t WHERE v IS NOT NULL GROUP BY k").fetchall())
+        assert got == want
+
+
+def test_build_stops_at_a_failed_check(small_models):
+    from parcelflow.operators.checks import CheckFailed, build_checks
+    from parcelflow.plans import faults
+
+    class Broken:
+        def __getattr__(self, name):
+            table = getattr(small_models, name)
+            return faults.faulty_fact_violation(table) if name == "fact_violation" else table
+
+    report = []
+    with pytest.raises(CheckFailed, match="unique:fact_violation.violation_pk"):
+        build_checks(report)(Broken(), "fact_violation")
+    failed = {name for name, _, n in report if n}
+    assert {"unique:fact_violation.violation_pk", "not_null:fact_violation.property_sk",
+            "relationships:fact_violation.council_district_sk",
+            "assert_no_negative_days_open"} <= failed

@@ -1,5 +1,7 @@
 """Plan-shape guards: the properties the design relies on at scale."""
 
+import datetime as dt
+
 from parcelflow.functions import AS_OF_DEFAULT
 from parcelflow.plans import dims, facts, history, marts, serving
 
@@ -21,7 +23,7 @@ def test_no_window_no_cartesian(small_models):
                m.stg_dangerous_buildings,
                marts.mart_dashboard(m.fact_violation, m.dim_violation_type,
                                     m.dim_council_district, m.dim_property,
-                                    m.fact_property_lifecycle, max_broadcast_properties=0),
+                                    m.fact_property_lifecycle),
                marts.mart_top_violation_types(m.fact_violation, m.dim_violation_type)):
         p = plan_of(df)
         assert "Window" not in p
@@ -37,16 +39,21 @@ def test_medians_use_the_spread_histogram(small_models):
     assert "Window [sum(_c#" in p
 
 
-def test_dashboard_salted_beyond_the_broadcast_bound(small_models):
+def test_dashboard_is_salted_and_broadcasts_only_the_hot_keys(small_models):
     m = small_models
-    args = (m.fact_violation, m.dim_violation_type, m.dim_council_district, m.dim_property,
-            m.fact_property_lifecycle)
-    salted = marts.mart_dashboard(*args, max_broadcast_properties=0)
-    p = plan_of(salted)
-    assert "_salt" in p and "xxhash64(violation_pk" in p
-    small = marts.mart_dashboard(*args)  # sf0.001: under the bound, broadcast
-    assert "_salt" not in plan_of(small)
-    assert salted.exceptAll(small).count() == 0 and small.exceptAll(salted).count() == 0
+    wide = marts.mart_dashboard(m.fact_violation, m.dim_violation_type, m.dim_council_district,
+                                m.dim_property, m.fact_property_lifecycle)
+    logical = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(violation_pk" in logical
+    hints = [x for x in logical.splitlines() if "strategy=broadcast" in x]
+    assert hints and all("Join LeftOuter, (property_sk" in x for x in hints)
+    assert len(hints) == 2  # the hot keys, at either side
+
+
+def test_fact_shuffles_only_its_output_columns(small_models):
+    p = plan_of(facts.fact_violation(small_models.int_violations_unioned, AS_OF_DEFAULT))
+    exchange = next(x for x in p.splitlines() if "Exchange hashpartitioning" in x)
+    assert "violation_pk" in exchange and "street_address" not in exchange
 
 
 def test_hotspots_take_top_k_before_joining(small_models):
@@ -56,6 +63,8 @@ def test_hotspots_take_top_k_before_joining(small_models):
     assert "SortMergeJoin" not in p  # the 200 rows are broadcast, dim_property is not shuffled
 
 
-def test_district_filter_prunes_partitions(small_models):
-    p = plan_of(serving.live_kpis(small_models.mart_dashboard, "3"))
-    assert "PartitionFilters: [isnotnull(council_district" in p
+def test_scope_reaches_the_stored_wide_table(small_models):
+    scope = ("3", dt.date(2006, 1, 1), dt.date(2007, 6, 30))
+    p = plan_of(serving.live_kpis(small_models.mart_dashboard, scope))
+    assert "EqualTo(council_district,3)" in p
+    assert "PartitionFilters: [isnotnull(year" in p
