@@ -16,35 +16,59 @@ error.  A feed with no rows aborts before the target table is touched.
 
 from __future__ import annotations
 
-import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from parcelflow.functions.columns import whole_object
+
 
 class LandingError(RuntimeError):
     pass
 
 
+# Fixed value: the characters a column name may have.
+NAME_CHARACTERS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_"
+#: Distinct keys a feed may have; more means data in key names.
+MOST_KEYS = 5_000
+
+
 def sanitize_key(key: str) -> str:
-    """Feed field name → column name (A3).
+    """Feed field name → column name (A3): lower case, other characters than
+    :data:`NAME_CHARACTERS` as ``_``, none of those at the ends, and a ``_``
+    before a leading digit."""
+    kept = "".join(c if c in NAME_CHARACTERS else "_" for c in key)
+    kept = kept.lower().strip("_")
+    return f"_{kept}" if kept and kept[0] in "0123456789" else kept
 
-    Anything outside ``[0-9a-zA-Z_]`` becomes ``_``, outer underscores are
-    stripped, the name is lower-cased, and a leading digit gets a ``_``.
-    """
-    name = re.sub(r"[^0-9a-zA-Z_]", "_", key).strip("_").lower()
-    return "_" + name if name[:1].isdigit() else name
+
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """``value`` and ``record`` (a map) of each line that is not blank; the map
+    is NULL for a line that isn't one whole JSON object."""
+    lines = spark.read.text(path).where(F.length(F.trim("value")) > 0)
+    return lines.select("value", whole_object("value", "map<string,string>").alias("record"))
+
+
+def refuse_broken_lines(spark: SparkSession, path: str, sample: int = 3) -> None:
+    """Raise :class:`LandingError` with the number of broken lines and a few of
+    them; a feed lands whole or not at all."""
+    broken = _records(spark, path).where("record is null").select("value")
+    shown = [r.value[:80] for r in broken.limit(sample).collect()]
+    if shown:
+        raise LandingError(f"{path}: {broken.count()} lines are no JSON object, such as {shown}")
 
 
 def discover_keys(spark: SparkSession, path: str) -> list[str]:
     """Union of the keys of every record, sorted (A5, pass 1)."""
-    lines = spark.read.text(path)
-    keys = (lines.where(F.length(F.trim("value")) > 0)
-            .select(F.explode(F.map_keys(F.from_json("value", "map<string,string>"))).alias("k"))
-            .distinct())
-    return sorted(r.k for r in keys.collect())
+    keys = (_records(spark, path).select(F.explode(F.map_keys("record")).alias("k")).distinct()
+            .limit(MOST_KEYS + 1))
+    found = sorted(r.k for r in keys.collect())
+    if len(found) > MOST_KEYS:
+        raise LandingError(f"{path}: over {MOST_KEYS} different keys, such as {found[:3]}")
+    return found
 
 
 def column_names(keys: list[str]) -> dict[str, str]:
@@ -73,14 +97,38 @@ def read_all_text(spark: SparkSession, path: str, keys: list[str] | None = None)
 
 
 def land(spark: SparkSession, path: str, target: str) -> DataFrame:
-    """Truncate-and-load ``target`` from the NDJSON under ``path``."""
+    """Truncate-and-load ``target`` from the NDJSON under ``path``.
+
+    The new table is written beside the target and takes its place by a rename
+    only when it is whole; any failure before that leaves the target as it was.
+    """
+    refuse_broken_lines(spark, path)
     df = read_all_text(spark, path)
     if df.isEmpty():
         raise LandingError(f"{path}: feed has no rows; {target} left as it was")
-    df.write.mode("overwrite").parquet(target)
+    replace_table(df, target)
     return spark.read.parquet(target)
 
 
+def replace_table(df: DataFrame, target: str) -> None:
+    """Write ``df`` beside ``target``, then swap the folders."""
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    target = target.rstrip("/")
+    fresh, old = f"{target}.new-{mark}", f"{target}.old-{mark}"
+    df.write.parquet(fresh)
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    fs = folder(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(folder(target)):
+        _rename(fs, folder(target), folder(old))
+    _rename(fs, folder(fresh), folder(target))
+    fs.delete(folder(old), True)
+
+
+def _rename(fs, source, target) -> None:
+    if not fs.rename(source, target):
+        raise LandingError(f"{source} could not take the place of {target}")
+
+
 @dataclass(frozen=True)
 class Feed:
     """One registered feed (A7): where its drops land and whether it still changes."""

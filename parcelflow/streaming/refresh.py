@@ -4,36 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
-from parcelflow.session import scratch_path
-from parcelflow.sources.landing import column_names, discover_keys
+from parcelflow.session import checkpoint_root
+from parcelflow.sources.landing import land
 
 
-def refresh_feed(spark: SparkSession, drops_dir: str, target: str, name: str,
-                 keys: list[str] | None = None) -> int:
-    """Replace ``target`` with the snapshot dropped since the last refresh.
+def refresh_feed(spark: SparkSession, drops_dir: str, target: str, name: str) -> int:
+    """Replace ``target`` with the newest drop that arrived since the last run.
 
-    Contract: one refresh run sees at most one new snapshot (the scheduler
-    drops one pull per run).  A run with no new rows leaves the table as it
-    was — the empty-feed guard.  Returns the number of rows loaded.
+    Each file directly under ``drops_dir`` is one drop, a whole snapshot; of
+    several new ones the latest (by file time, then name) is landed, because each
+    replaces the one before.  The stream only finds it; :func:`land` checks and
+    swaps it in, so a broken drop stops the run and leaves the table as it was.
+    A run without a new row does nothing.  Returns the number of rows loaded.
     """
-    keys = discover_keys(spark, drops_dir) if keys is None else keys
-    names = column_names(keys)
-    schema = StructType([StructField(k, StringType(), True) for k in keys])
-    cols = sorted(names.items(), key=lambda kv: kv[1])
-    stream = (spark.readStream.schema(schema).json(drops_dir)
-              .select(*[F.col(f"`{k}`").alias(n) for k, n in cols]))
     loaded = {"rows": 0}
 
     def load(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch.write.mode("overwrite").parquet(target)
-        loaded["rows"] = spark.read.parquet(target).count()
-
-    q = (stream.writeStream.foreachBatch(load)
-         .option("checkpointLocation", scratch_path(spark, "refresh", name))
+        newest = batch.agg(F.max(F.struct("at", "path")).alias("m")).first().m
+        if newest is not None:
+            loaded["rows"] = land(spark, newest.path, target).count()
+
+    found = (spark.readStream.text(drops_dir).where(F.length(F.trim("value")) > 0)
+             .select(F.col("_metadata.file_modification_time").alias("at"),
+                     F.col("_metadata.file_path").alias("path")))
+    q = (found.writeStream.foreachBatch(load)
+         .option("checkpointLocation", f"{checkpoint_root(spark)}/parcelflow-refresh/{name}")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return loaded["rows"]

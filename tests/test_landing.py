@@ -6,7 +6,7 @@ import os
 import pytest
 
 from parcelflow.sources.landing import (
-    Feed, LandingError, land, land_registry, read_all_text, sanitize_key,
+    Feed, LandingError, land, land_registry, read_all_text, replace_table, sanitize_key,
 )
 from parcelflow.streaming import refresh_feed
 
@@ -65,14 +65,48 @@ def test_registry_skips_frozen(spark, scratch):
     assert got["historical_violations"].count() == 2
 
 
-def test_streaming_refresh_replaces_snapshot(spark, scratch):
+@pytest.mark.parametrize("broken", ['{"k": "2"', '{"k": "2"} x', '[1]', '"text"', "k=2"])
+@pytest.mark.parametrize("last", [True, False])
+def test_broken_line_stops_the_landing(spark, scratch, broken, last):
+    target = f"{scratch}/raw/t"
+    land(spark, write_lines(f"{scratch}/good", [{"k": "1"}, {"k": "2"}]), target)
+    lines = [{"k": "1"}, broken] if last else [broken, {"k": "1"}]
+    with pytest.raises(LandingError, match="1 lines are no JSON object"):
+        land(spark, write_lines(f"{scratch}/bad", lines), target)
+    assert spark.read.parquet(target).count() == 2
+    assert os.listdir(f"{scratch}/raw") == ["t"]
+
+
+def test_failed_write_keeps_old_table(spark, scratch):
+    from pyspark.sql import functions as F
+
+    target = f"{scratch}/raw/t"
+    land(spark, write_lines(f"{scratch}/good", [{"k": "1"}]), target)
+    failing = spark.range(3).select(F.raise_error(F.lit("lost")).alias("k"))
+    with pytest.raises(Exception, match="lost"):
+        replace_table(failing, target)
+    assert [r.k for r in spark.read.parquet(target).collect()] == ["1"]
+
+
+def test_landing_again_replaces(spark, scratch):
+    target = f"{scratch}/raw/t"
+    land(spark, write_lines(f"{scratch}/one", [{"k": "1"}, {"k": "2"}]), target)
+    land(spark, write_lines(f"{scratch}/two", [{"z": "3"}]), target)
+    back = spark.read.parquet(target)
+    assert back.columns == ["z"] and back.count() == 1
+    assert os.listdir(f"{scratch}/raw") == ["t"]
+
+
+def test_streaming_refresh_lands_the_newest_drop(spark, scratch):
     drops, target = f"{scratch}/drops", f"{scratch}/raw/npd"
     name = os.path.basename(scratch)
     write_lines(drops, [{"k": "1"}, {"k": "2"}], "week1.json")
-    assert refresh_feed(spark, drops, target, name, keys=["k"]) == 2
-    write_lines(drops, [{"k": "3"}], "week2.json")
-    assert refresh_feed(spark, drops, target, name, keys=["k"]) == 1
-    assert [r.k for r in spark.read.parquet(target).collect()] == ["3"]
+    assert refresh_feed(spark, drops, target, name) == 2
+    for week, day in (("week2.json", 1), ("week3.json", 2)):  # two drops in one run
+        write_lines(drops, [{"k": week}], week)
+        os.utime(f"{drops}/{week}", (2e9 + day, 2e9 + day))
+    assert refresh_feed(spark, drops, target, name) == 1
+    assert [r.k for r in spark.read.parquet(target).collect()] == ["week3.json"]
     # nothing new: the table stays as it is
-    refresh_feed(spark, drops, target, name, keys=["k"])
+    assert refresh_feed(spark, drops, target, name) == 0
     assert spark.read.parquet(target).count() == 1
