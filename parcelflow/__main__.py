@@ -4,6 +4,9 @@
     python -m parcelflow build --raw ROOT --out ROOT [--target dev] --as-of 2026-12-01
     python -m parcelflow build --test-tables /root/testdata/sf0.01 --out ROOT
     python -m parcelflow serve --out ROOT [--target dev] --metric funnel [--district 3]
+                               [--from 2020-01-01] [--to 2020-12-31]
+    python -m parcelflow serve --out ROOT --mart mart_council_district
+    python -m parcelflow serve --out ROOT --scorecards
 
 ``feeds.json`` is a list of ``{"table": ..., "source": ..., "mode": "live"|"frozen"}``.
 The session comes from ``spark-submit`` (or a local one when run directly).
@@ -16,12 +19,14 @@ import datetime as dt
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow.functions import AS_OF_DEFAULT
 from parcelflow.session import apply_engine_conf
 
 METRICS = ("funnel", "kpis", "trend", "top_types", "resolution", "heatmap", "stages")
+MARTS = ("mart_blight_funnel", "mart_blight_hotspots", "mart_council_district",
+         "mart_resolution_time", "mart_top_violation_types", "mart_violations_trend")
 
 
 def _spark() -> SparkSession:
@@ -42,6 +47,24 @@ def _raw_feeds(spark: SparkSession, args) -> dict:
     return feeds
 
 
+def _served(spark: SparkSession, args) -> DataFrame:
+    """The metric, mart in display order or scorecards that ``serve`` asks for."""
+    from parcelflow.plans import serving
+    from parcelflow.plans.build import TableStore
+
+    store = TableStore(spark, args.out, args.target)
+    if args.scorecards:
+        return serving.scorecards(store.read("mart_blight_funnel"),
+                                  store.read("mart_council_district"))
+    if args.mart:
+        return serving.presented(args.mart, store.read(args.mart))
+    metric = {"funnel": serving.live_funnel, "kpis": serving.live_kpis,
+              "trend": serving.live_trend, "top_types": serving.live_top_types,
+              "resolution": serving.live_resolution, "heatmap": serving.live_heatmap,
+              "stages": serving.live_stage_distribution}[args.metric]
+    return metric(store.read("mart_dashboard"), (args.district, args.first, args.last))
+
+
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="parcelflow")
     sub = ap.add_subparsers(dest="cmd", required=True)
@@ -60,8 +83,13 @@ def main(argv: list[str] | None = None) -> int:
     s = sub.add_parser("serve")
     s.add_argument("--out", required=True)
     s.add_argument("--target", default="dev")
-    s.add_argument("--metric", choices=METRICS, required=True)
+    what = s.add_mutually_exclusive_group(required=True)
+    what.add_argument("--metric", choices=METRICS)
+    what.add_argument("--mart", choices=MARTS)
+    what.add_argument("--scorecards", action="store_true")
     s.add_argument("--district")
+    s.add_argument("--from", dest="first", type=dt.date.fromisoformat)
+    s.add_argument("--to", dest="last", type=dt.date.fromisoformat)
     args = ap.parse_args(argv)
     spark = _spark()
 
@@ -86,14 +114,7 @@ def main(argv: list[str] | None = None) -> int:
         print(f"built {args.target} as of {as_of}: {len(report)} checks run")
         return 0
 
-    from parcelflow.plans import serving
-    from parcelflow.plans.build import TableStore
-    wide = TableStore(spark, args.out, args.target).read("mart_dashboard")
-    fn = {"funnel": serving.live_funnel, "kpis": serving.live_kpis,
-          "trend": serving.live_trend, "top_types": serving.live_top_types,
-          "resolution": serving.live_resolution, "heatmap": serving.live_heatmap,
-          "stages": serving.live_stage_distribution}[args.metric]
-    for row in fn(wide, args.district).collect():
+    for row in _served(spark, args).toLocalIterator():  # a partition at a time
         print(json.dumps(row.asDict(), default=str))
     return 0
 

@@ -13,14 +13,13 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import functions as F
 
 from parcelflow.functions import SPINE_START
 from parcelflow.plans import dims, facts, history, marts, staging
 
 # Build order with the layer of each materialized table; the two
 # intermediates are stored too, because several models read each of them.
-SHARED_INTERMEDIATES = {"int_violations_unioned", "int_property_rollup"}
 LAYERS = {
     "int_violations_unioned": "intermediate",
     "int_property_rollup": "intermediate",
@@ -41,13 +40,14 @@ LAYERS = {
 }
 
 
-# Directory partitioning of stored tables.  The wide serving table is read
-# with a council-district filter on every dashboard interaction; partitioning
-# by it turns that filter into partition pruning.  District cardinality is
-# small and fixed, and rows are not repartitioned before the write (a hot
-# district would become one task): each write task emits one file per
-# district it holds.
-PARTITIONING = {"mart_dashboard": ["council_district"]}
+# Layout of stored tables: (directory column, sort column).  The wide serving
+# table is read with a date range and a council-district filter.  Years are
+# bounded by the fact's date window, so they make the directories; district is
+# free text of the feeds, so it only orders the rows inside the files, where
+# row-group statistics prune it.  Rows are rebalanced by both before the write:
+# AQE splits a hot district's partition and joins small ones, which bounds the
+# number of files.
+LAYOUT = {"mart_dashboard": ("year", "council_district")}
 
 
 # Models kept lazy, like views: computed inside whatever reads them.
@@ -65,42 +65,32 @@ class TableStore:
         return f"{self.root}/{self.target}/{LAYERS.get(name, 'misc')}/{name}"
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        w = df.write.mode("overwrite")
-        parts = PARTITIONING.get(name)
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(self.path(name))
+        layout = LAYOUT.get(name)
+        if layout:
+            laid = df.hint("rebalance", *layout).sortWithinPartitions(*layout)
+            laid.write.mode("overwrite").partitionBy(layout[0]).parquet(self.path(name))
+        else:
+            df.write.mode("overwrite").parquet(self.path(name))
         # Read back with the written schema: partition values keep their
         # type (no inference) and the column order is the model's.
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
-
     def read(self, name: str) -> DataFrame:
-        """A stored table, partition columns kept as text (no type inference)."""
+        """A stored table; a directory column is a whole number."""
         df = self.spark.read.parquet(self.path(name))
-        parts = PARTITIONING.get(name)
-        if not parts:
-            return df
-        schema = StructType([StructField(f.name, StringType(), True) if f.name in parts else f
-                             for f in df.schema.fields])
-        return self.spark.read.schema(schema).parquet(self.path(name))
+        layout = LAYOUT.get(name)
+        return df.withColumn(layout[0], F.col(layout[0]).cast("bigint")) if layout else df
 
 
 class Models:
     def __init__(self, raw: dict[str, DataFrame], as_of: dt.date,
-                 start: dt.date = SPINE_START, store: TableStore | None = None,
-                 materialize: set[str] | None = None):
-        """``store`` set: tables are written and read back; ``materialize``
-        limits that to the named tables (the rest stay lazy)."""
+                 start: dt.date = SPINE_START, store: TableStore | None = None):
+        """``store`` set: tables are written when first used, and read back."""
         self.raw, self.as_of, self.start, self.store = raw, as_of, start, store
-        self.materialize = materialize
         self.spark = next(iter(raw.values())).sparkSession
 
     def _keep(self, name: str, df: DataFrame) -> DataFrame:
-        if self.store is None or (self.materialize is not None
-                                  and name not in self.materialize):
-            return df
-        return self.store.write(name, df)
+        return df if self.store is None else self.store.write(name, df)
 
     # staging (views)
     @cached_property

@@ -1,8 +1,8 @@
 """Live dashboard metrics on the wide table.
 
-Each takes ``mart_dashboard`` and an optional council district; the filter is
-applied before aggregating (and reaches the Parquet scan when the wide table
-is read from storage).
+Each takes ``mart_dashboard`` and a scope: a council district, or a triple of
+district, first and last day, each of which may be None.  The filter is applied
+before aggregating and reaches the Parquet scan of the stored wide table.
 
 Distinct-pin counts are computed by first reducing to one row per pin (a
 partial aggregate keyed by pin), then counting flags: one shuffle instead of
@@ -13,15 +13,30 @@ A pin counts for a flag when any of its rows has the flag, exactly as
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parcelflow.functions import safe_divide
 from parcelflow.operators import median_by, top_k, unpivot
 
 
-def scoped(wide: DataFrame, district: str | None) -> DataFrame:
-    return wide if district is None else wide.where(F.col("council_district") == district)
+Scope = tuple[str | None, dt.date | None, dt.date | None]
+
+
+def scoped(wide: DataFrame, scope: Scope | str | None) -> DataFrame:
+    """The rows of a district and of a date range (first and last day, both
+    included); either may be open.  A date bound also bounds the year, the
+    directory column of the stored table."""
+    district, first, last = scope if isinstance(scope, tuple) else (scope, None, None)
+    if district is not None:
+        wide = wide.where(F.col("council_district") == district)
+    if first is not None:
+        wide = wide.where((F.col("date_found") >= F.lit(first)) & (F.col("year") >= first.year))
+    if last is not None:
+        wide = wide.where((F.col("date_found") <= F.lit(last)) & (F.col("year") <= last.year))
+    return wide
 
 
 def _per_pin(wide: DataFrame) -> DataFrame:
@@ -33,9 +48,9 @@ def _per_pin(wide: DataFrame) -> DataFrame:
     )
 
 
-def live_funnel(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_funnel(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Cumulative funnel as four distinct-pin counts (L1)."""
-    p = _per_pin(scoped(wide, district)).where(F.col("pin").isNotNull())
+    p = _per_pin(scoped(wide, scope)).where(F.col("pin").isNotNull())
     t = p.agg(F.count(F.lit(1)).alias("a"), F.count_if("is_repeat").alias("r"),
               F.count_if("is_dangerous").alias("d"), F.count_if("is_demolition").alias("m"))
     rows = [[F.lit(i + 1).cast("bigint"), F.lit(s), F.col(c)] for i, (s, c) in enumerate(
@@ -44,9 +59,9 @@ def live_funnel(wide: DataFrame, district: str | None = None) -> DataFrame:
     return unpivot(t, rows, ["stage_order", "stage", "property_count"])
 
 
-def live_kpis(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_kpis(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Properties, share escalated, total violations (L2, L3, L4) in one pass."""
-    p = _per_pin(scoped(wide, district))
+    p = _per_pin(scoped(wide, scope))
     has_pin = F.col("pin").isNotNull()
     return p.agg(
         F.count_if(has_pin).alias("properties"),
@@ -56,35 +71,35 @@ def live_kpis(wide: DataFrame, district: str | None = None) -> DataFrame:
     )
 
 
-def live_trend(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_trend(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Violations per year."""
-    return scoped(wide, district).groupBy("year").agg(F.count(F.lit(1)).alias("violations"))
+    return scoped(wide, scope).groupBy("year").agg(F.count(F.lit(1)).alias("violations"))
 
 
-def live_top_types(wide: DataFrame, district: str | None = None, n: int = 20) -> DataFrame:
+def live_top_types(wide: DataFrame, scope: Scope | str | None = None, n: int = 20) -> DataFrame:
     """Most frequent short labels."""
-    c = scoped(wide, district).groupBy("short_label").agg(F.count(F.lit(1)).alias("violations"))
+    c = scoped(wide, scope).groupBy("short_label").agg(F.count(F.lit(1)).alias("violations"))
     return top_k(c, n, [F.col("violations").desc(), F.col("short_label").asc_nulls_first()])
 
 
-def live_resolution(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_resolution(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Interpolated median of days open per year, all rows."""
-    w = scoped(wide, district).select("year", "days_open")
+    w = scoped(wide, scope).select("year", "days_open")
     return median_by(w, ["year"], "days_open", "median_days_open", interpolate=True)
 
 
-def live_heatmap(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_heatmap(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Violation count and distinct properties per point."""
-    w = scoped(wide, district)
+    w = scoped(wide, scope)
     per = w.groupBy("lat_lng", "pin").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy("lat_lng").agg(
         F.sum("n").cast("bigint").alias("violations"),
         F.count_if(F.col("pin").isNotNull()).alias("properties"))
 
 
-def live_stage_distribution(wide: DataFrame, district: str | None = None) -> DataFrame:
+def live_stage_distribution(wide: DataFrame, scope: Scope | str | None = None) -> DataFrame:
     """Distinct properties per current stage, mutually exclusive."""
-    w = scoped(wide, district).where(F.col("pin").isNotNull())
+    w = scoped(wide, scope).where(F.col("pin").isNotNull())
     return (w.select("current_stage", "pin").distinct()
             .groupBy("current_stage").agg(F.count(F.lit(1)).alias("properties")))
 
@@ -109,16 +124,28 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
 # Presentation order of the stored marts (F4): applied when a mart is read for
 # display, not before writing it, so no range shuffle is spent on storage.
 PRESENTATION_ORDER = {
-    "mart_council_district": ["total_violations DESC NULLS LAST", "council_district"],
-    "mart_resolution_time": ["year", "council_district"],
-    "mart_violations_trend": ["year", "source_system"],
-    "mart_blight_funnel": ["stage_order"],
-    "mart_blight_hotspots": ["total_violations DESC", "pin"],
-    "mart_top_violation_types": ["violation_count DESC", "violation_code"],
+    "mart_council_district": [F.desc_nulls_last, "total_violations", F.asc, "council_district"],
+    "mart_resolution_time": [F.asc, "year", F.asc, "council_district"],
+    "mart_violations_trend": [F.asc, "year", F.asc, "source_system"],
+    "mart_blight_funnel": [F.asc, "stage_order"],
+    "mart_blight_hotspots": [F.desc, "total_violations", F.asc, "pin"],
+    "mart_top_violation_types": [F.desc, "violation_count", F.asc, "violation_code"],
 }
 
 
+def display_order(name: str) -> list[Column]:
+    spec = PRESENTATION_ORDER.get(name, [])
+    return [way(column) for way, column in zip(spec[::2], spec[1::2], strict=True)]
+
+
 def presented(name: str, mart: DataFrame) -> DataFrame:
     """A stored mart in its display order."""
-    order = PRESENTATION_ORDER.get(name)
-    return mart.orderBy(*[F.expr(o) for o in order]) if order else mart
+    order = display_order(name)
+    return mart.orderBy(*order) if order else mart
+
+
+def with_place(name: str, mart: DataFrame) -> DataFrame:
+    """A mart with ``place``, the row's position in the display order.  For the
+    narrow marts only: their rows are as few as districts, years and codes."""
+    order = Window.orderBy(*display_order(name))
+    return mart.withColumn("place", F.row_number().over(order).cast("bigint"))

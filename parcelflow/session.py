@@ -93,6 +93,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def input_state(spark: SparkSession, path: str) -> tuple:
+    """What lies directly under ``path``: name, bytes and time of each entry.
+    Another state means other data."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return tuple(sorted(
+        (s.getPath().getName(), fs.getContentSummary(s.getPath()).getLength(),
+         s.getModificationTime()) for s in fs.listStatus(folder)))
+
+
 def _remove_quietly(spark: SparkSession, path: str) -> None:
     try:
         if spark.sparkContext._jsc is not None:
@@ -117,4 +128,4 @@ def forget(df: DataFrame) -> None:
 
 
 __all__ = ["ENGINE_CONF", "SharedFolderError", "local_session", "apply_engine_conf",
-           "checkpoint_root", "scratch_path", "remove_path", "stored", "forget"]
+           "checkpoint_root", "scratch_path", "input_state", "remove_path", "stored", "forget"]

@@ -21,10 +21,9 @@ def test_ordered_build_with_checks(spark, scratch):
     assert len(report) == 40  # 37 column tests + 3 singular assertions
     assert "assert_dangerous_after_first_violation" in names  # warn-only, reported
     assert all(n == 0 for key, sev, n in report if sev == "error")
-    # the district filter on the stored wide table prunes partitions
-    plan = m.mart_dashboard.where("council_district = '3'")._jdf.queryExecution() \
-        .executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(council_district" in plan
+    # one directory a year, whatever the districts' texts are
+    folders = [d for d in os.listdir(m.store.path("mart_dashboard")) if "=" in d]
+    assert folders and all(d.startswith("year=20") for d in folders)
 
 
 def test_seed_csv_round_trip(spark, scratch):
