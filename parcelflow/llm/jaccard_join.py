@@ -58,9 +58,10 @@ def choose_bands(threshold: float, recall: float, most_hashes: int = 96) -> tupl
     best = (most_hashes, 1)
     for rows in range(1, most_hashes + 1):
         p = threshold ** rows
-        bands = 1 if p >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - p))
-        if bands * rows <= most_hashes:
-            best = (bands, rows)
+        bands = 1 if p >= 1 else math.ceil(math.log1p(-recall) / math.log1p(-p))
+        if bands * rows > most_hashes:  # and so it is with more rows
+            break
+        best = (bands, rows)
     return best
 
 
@@ -209,7 +210,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
         "node", "component", "h1", "h2", "copies", "blocks",
         F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")), "members")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = (docs.withColumnRenamed("doc_id", "node").join(members, "node")
+    # always by shuffle: the members grow with the documents
+    dealt = (docs.withColumnRenamed("doc_id", "node").join(members.hint("merge"), "node")
              .select("*", other.alias("other"))
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
              .select("component", "lo", "hi", "node", "block", "h1", "h2", "copies", "text"))
