@@ -79,16 +79,19 @@ def gram_counts(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, ..
 def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
           buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
     """Languages and log P(bucket | language) from ``text`` and ``lang`` of
-    labelled rows.  At most about ``sample`` rows a language are read, by a hash
-    of the text; the driver receives one row a language and bucket."""
-    rows = labelled.filter("lang is not null and text is not null").select("lang", "text")
+    labelled rows.  About ``sample`` rows a language are read, picked by a hash of
+    id and text (so a text that fills a third of the rows counts as often as its
+    share of the sample); the driver receives one row a language and bucket."""
+    rows = labelled.filter("lang is not null and text is not null").select(
+        "lang", "text", F.xxhash64("doc_id", "text").alias("ticket"))
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
         return [], np.zeros((0, buckets))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, sample / n)))
                          for k, n in sizes.items()])
-    picked = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    picked = (rows.filter(F.pmod("ticket", F.lit(1 << 20)) < share * (1 << 20))
+              .select("lang", "text"))
     schema = pa.schema([("lang", pa.string()), ("bucket", pa.int64()), ("n", pa.int64())])
 
     def count(batches):
@@ -212,7 +215,8 @@ def identify(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text:
              lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """``row`` (struct of ``keep``, by default the id), lang_pred, score, mixture
     for each row of ``docs``; the model learns from ``labelled``."""
-    model = learn(labelled.select(labelled[text].cast("string").alias("text"),
+    model = learn(labelled.select(labelled[doc_id].alias("doc_id"),
+                                  labelled[text].cast("string").alias("text"),
                                   labelled[lang].cast("string").alias("lang")))
     rows = docs.select(F.struct(*[docs[c] for c in keep or [doc_id]]).alias("row"),
                        docs[text].cast("string").alias("text"))
@@ -227,6 +231,7 @@ def training_rows(docs: DataFrame, doc_id: str = "doc_id") -> DataFrame:
 def op6_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = identify(docs, training_rows(docs))
-    return (found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", "mixture")
+    chosen = F.concat_ws(",", F.sort_array(F.map_keys("mixture"))).alias("languages")
+    return (found.select(F.col("row.doc_id").alias("doc_id"), "lang_pred", "score", chosen)
             .withColumn("held_out", F.coalesce(F.pmod(doc_crc(), F.lit(5)) == 0, F.lit(False)))
-            .select("doc_id", "held_out", "lang_pred", "score", "mixture"))
+            .select("doc_id", "held_out", "lang_pred", "score", "languages"))

@@ -186,8 +186,9 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0,
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """text, toxic, half: about ``sample`` rows a class, by a hash of the id.  The
-    sampled labels are bounded by ``sample``, so they may be broadcast."""
+    """text, toxic, half: about ``sample`` documents a class, by a hash of the id.
+    The sampled labels are bounded by ``sample``, so they may be broadcast.  Rows
+    that share an id count once, with the text that sorts first."""
     marked = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic"))
               .filter(F.pmod(doc_crc(), F.lit(3)) != 1))
@@ -201,6 +202,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
         F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).alias("half"))
     return (docs.select("doc_id", "text").join(F.broadcast(picked),
                                                F.col("doc_id") == F.col("_labelled"))
+            .groupBy("doc_id", "toxic", "half").agg(F.min("text").alias("text"))
             .select("text", "toxic", "half"))
 
 
