@@ -74,7 +74,9 @@ def _violation_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     n = read_table(spark, sf_dir, "nation")
     p = read_table(spark, sf_dir, "part")
-    base = (li.join(o, li.l_orderkey == o.o_orderkey)
+    # Two growing tables: a shuffle join at every size.  (Where a table lies in
+    # one row group, it is also what spreads its rows.)
+    base = (li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey)
             .join(c, o.o_custkey == c.c_custkey)
             .join(n, c.c_nationkey == n.n_nationkey)
             .join(p, li.l_partkey == p.p_partkey))

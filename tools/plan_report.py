@@ -2,15 +2,14 @@
 
 For each model: shuffles (Exchange hashpartitioning / rangepartitioning /
 round-robin), broadcasts, aggregate operators, sorts, joins, and whether a
-filter reaches a scan.  Run after ``bench.py`` (it reads the newest bench
-build under ``spark.checkpoint.dir``) or pass a build root.
+filter reaches a scan.  Pass the folder of a target that ``parcelflow build``
+wrote.
 
-    python tools/plan_report.py [build_root]
+    python tools/plan_report.py ROOT/TARGET
 """
 
 from __future__ import annotations
 
-import glob
 import os
 import re
 import sys
@@ -34,11 +33,12 @@ def main() -> None:
     from parcelflow.functions import AS_OF_DEFAULT
     from parcelflow.plans import dims, facts, history, marts
     from parcelflow.plans.build import LAYERS
-    from parcelflow.session import checkpoint_root, local_session
+    from parcelflow.session import local_session
 
+    if len(sys.argv) != 2:
+        sys.exit("usage: plan_report.py ROOT/TARGET  (a folder that `parcelflow build` wrote)")
     spark = local_session(8, 16, app="plan-report")
-    root = sys.argv[1] if len(sys.argv) > 1 else sorted(
-        d for d in glob.glob(f"{checkpoint_root(spark)}/bench-*") if "warmup" not in d)[-1] + "/bench"
+    root = sys.argv[1].rstrip("/")
 
     def t(name):
         return spark.read.parquet(f"{root}/{LAYERS[name]}/{name}")
