@@ -115,13 +115,11 @@ def surrogate_key(c: Column | str) -> Column:
 
 
 def row_hash(cols: list[str]) -> Column:
-    """Hex MD5 of the whole row rendered as JSON text.
-
-    Every field is rendered as text first and NULL fields are kept, so the
-    rendering is portable and two different rows never share a text.
+    """Hex MD5 of the whole row rendered as JSON text (H12, H13): numbers and
+    booleans bare, dates and texts quoted, NULL fields kept, so two different rows
+    never share a text.
     """
-    fields = [F.col(c).cast("string").alias(c) for c in cols]
-    return F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+    return F.md5(F.to_json(F.struct(*cols), {"ignoreNullFields": "false"}))
 
 
 def lat_lng(lat: Column | str, lng: Column | str) -> Column:

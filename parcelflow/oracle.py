@@ -286,8 +286,7 @@ FROM (SELECT unnest(range({START}::TIMESTAMP, ({AS_OF} + 1)::TIMESTAMP, INTERVAL
 
 # ---- facts ----------------------------------------------------------------------
 _or_unknown = "if(length({0}) > 0, {0}, 'UNKNOWN')".format
-_row_json = "to_json(struct_pack(" + ", ".join(
-    f"{c} := CAST({c} AS VARCHAR)" for c in HISTORY_COLS) + "))"
+_row_json = "to_json({" + ", ".join(f"'{c}': {c}" for c in HISTORY_COLS) + "})"
 model("fact_violation", ["int_violations_unioned"], f"""
 SELECT DISTINCT md5({_row_json}) AS violation_pk, {sk(_or_unknown('pin'))} AS property_sk,
   {sk("ifnull(violation_code, 'UNKNOWN')")} AS violation_type_sk,
