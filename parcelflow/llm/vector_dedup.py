@@ -5,11 +5,12 @@ k-means, fitted on a bounded sample, assigns every representative to the cell of
 its most similar centroid.  Two vectors with cosine t are at most
 e = sqrt(2 - 2t) apart on the unit sphere, and so the home centroid u of one is
 beaten for the other by another centroid v by at most e |u - v|: a vector is also
-shown to every cell it could have such a neighbour in, and no link across a cell
-border is lost.  Inside a cell, blocks of a fixed size are compared pairwise by
-products in double precision; each vector counts its links in its home cell only.
-A block pair returns link counts and a forest of the links, not the pairs.  The
-components of the forests are the groups; the smallest id of each is kept.
+shown to every cell before its home that it could have such a neighbour in, and no
+link across a cell border is lost.  Inside a cell, blocks of a fixed size are
+compared pairwise by products in double precision; a pair counts where one of the
+two is at home, and so in one cell only.  A block pair returns link counts and a
+forest of the links, not the pairs.  The components of the forests are the groups;
+the smallest id of each is kept.
 
 Defined results: a NULL, zero, NULL-holding or non-finite vector, or one with a
 NULL label, links with nothing and is kept; a row with a NULL id has no component
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import table
+from parcelflow.llm.common import on_executors, table
 from parcelflow.llm.graph import connected_components
 from parcelflow.llm.vectors import matrix, usable
 from parcelflow.session import stored
@@ -36,7 +37,7 @@ FIT_SAMPLE, CELL = 10_000, 8_192
 #: Centroids at most: their table goes to every task.
 MOST_CELLS = 1_024
 ROUNDS = 10
-BLOCK = 1_024
+BLOCK = 4_096
 STEP = 256
 
 
@@ -61,7 +62,7 @@ def spherical_kmeans(points: np.ndarray, k: int, rounds: int = ROUNDS) -> np.nda
 
 def cells(reps: DataFrame, centroids: dict[int, np.ndarray], reach: float) -> DataFrame:
     """label, dim, cell, node, copies, home, v: each vector in its home cell and in
-    the cells within ``reach``."""
+    those cells before it that lie within ``reach``."""
     kind = reps.schema["v"].dataType.simpleString()
 
     def run(batches):
@@ -77,7 +78,8 @@ def cells(reps: DataFrame, centroids: dict[int, np.ndarray], reach: float) -> Da
                     sims = unit(matrix(b.column("v").take(pa.array(at)))) @ c.T
                     first = sims.argmax(axis=1)
                     lead = sims[np.arange(len(at)), first][:, None] - sims
-                    i, cell = np.nonzero(lead <= reach * apart[first] + 1e-9)
+                    shown = lead <= reach * apart[first] + 1e-9
+                    i, cell = np.nonzero(shown & (np.arange(len(c)) <= first[:, None]))
                     row, home = at[i], cell == first[i]
                 took = b.take(pa.array(row))
                 yield pa.RecordBatch.from_arrays(
@@ -86,7 +88,7 @@ def cells(reps: DataFrame, centroids: dict[int, np.ndarray], reach: float) -> Da
                      pa.array(home), took.column("v")],
                     ["label", "dim", "cell", "node", "copies", "home", "v"])
 
-    return reps.select("label", "node", "copies", "v").mapInArrow(
+    return on_executors(reps.select("label", "node", "copies", "v")).mapInArrow(
         run, f"label long, dim int, cell long, node long, copies long, home boolean, v {kind}")
 
 
@@ -104,11 +106,12 @@ def compare_blocks(threshold: float):
         for at in range(0, len(left), STEP):
             some = left[at:at + STEP]
             close = u[some] @ u[right].T >= threshold
+            close &= home[some][:, None] | home[right]
             if lo == hi:
-                close &= some[:, None] != right[None]
-            links[some] += np.where(home[some], close @ copies[right], 0)
+                close &= some[:, None] != right
+            links[some] += close @ copies[right]
             if lo != hi:
-                links[right] += np.where(home[right], copies[some] @ close, 0)
+                links[right] += copies[some] @ close
             for i in np.flatnonzero(close.any(axis=1)):
                 joined = np.unique(group[np.r_[some[i], right[close[i]]]])
                 if len(joined) > 1:
