@@ -4,7 +4,7 @@ Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor;
 :func:`run` writes every stage's rows as Parquet in the shared folder and gives
 the written table to the next one.
 
-1. language id: documents without a letter, or in which no language has a share
+1. language id: documents without a letter, or in which no language reaches a share
    of MIN_SHARE, go; a missing ``lang`` is filled in.
 2. line dedup: cross-site boilerplate lines go out of the texts.
 3. n-gram Jaccard join: of each group of near duplicates the document with the
@@ -29,7 +29,7 @@ from parcelflow.llm.line_dedup import remove_boilerplate
 from parcelflow.llm.mixing import domain_of, mix
 from parcelflow.session import stored
 
-MIN_SHARE = 0.4
+MIN_SHARE = 0.2
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from parcelflow.llm.common import arrow_batch, table, text_slices
+from parcelflow.llm.common import arrow_batch, on_executors, table, text_slices
 
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens a Python worker remembers between batches.
@@ -281,7 +281,7 @@ def encode(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",
                                              pa.array(ids, pa.int32()))
             yield arrow_batch(schema, doc_id=b.column("doc_id"), ids=lists)
 
-    return _pair(docs, doc_id, text).mapInArrow(run, "doc_id long, ids array<int>")
+    return on_executors(_pair(docs, doc_id, text)).mapInArrow(run, "doc_id long, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -297,7 +297,7 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
             ids = lists.flatten().to_numpy(zero_copy_only=False)
             yield arrow_batch(schema, doc_id=b.column("doc_id"), text=c.decode(ids, counts))
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, text string")
+    return on_executors(encoded.select("doc_id", "ids")).mapInArrow(run, "doc_id long, text string")
 
 
 def round_trip_digests(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",
@@ -320,7 +320,7 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, doc_id: str = "
                 ids_sha256=[sha256(raw[x:y]).hexdigest() for x, y in itertools.pairwise(upto)],
                 decoded_sha256=[sha256(t.encode()).hexdigest() for t in c.decode(ids, counts)])
 
-    return _pair(docs, doc_id, text).mapInArrow(run, out)
+    return on_executors(_pair(docs, doc_id, text)).mapInArrow(run, out)
 
 
 def _pair(docs: DataFrame, doc_id: str, text: str) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -14,6 +17,25 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 
+_SHIPPED: set[str] = set()
+
+
+def on_executors(df: DataFrame) -> DataFrame:
+    """``df``, for a Python step: the first time in an application, the package's
+    code goes to the executors as a Python file (like ``--py-files``), so that
+    they need neither an installed copy nor the driver's folders."""
+    context = df.sparkSession.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="parcelflow-code-")) / f"{package.name}-code.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(archive))
+        _SHIPPED.add(context.applicationId)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

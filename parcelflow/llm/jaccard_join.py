@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import arrow_batch, table, text_slices
+from parcelflow.llm.common import arrow_batch, on_executors, table, text_slices
 from parcelflow.llm.graph import connected_components
 from parcelflow.llm.shingles import gram_values, mixed, sequence_digest
 from parcelflow.session import stored
@@ -105,7 +105,7 @@ def sign(docs: DataFrame, signer: Signer) -> DataFrame:
                               bands=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                                              pa.array(hashes.ravel())))
 
-    return docs.mapInArrow(run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
+    return on_executors(docs).mapInArrow(run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
 
 
 def candidate_components(reps: DataFrame) -> DataFrame:

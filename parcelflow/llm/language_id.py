@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcelflow.llm.common import arrow_batch, doc_crc, table, text_slices
+from parcelflow.llm.common import arrow_batch, doc_crc, on_executors, table, text_slices
 
 #: Labelled rows a language's model is fitted on, at most (all, if it has fewer).
 SAMPLE_PER_LANGUAGE = 4_000
@@ -107,7 +107,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
             yield arrow_batch(schema, lang=[k] * len(some), bucket=some,
                               n=v[some].astype(np.int64))
 
-    counted = (picked.mapInArrow(count, "lang string, bucket long, n long")
+    counted = (on_executors(picked).mapInArrow(count, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
     table_ = np.full((len(languages), buckets), SMOOTHING)
     at = {k: i for i, k in enumerate(languages)}
@@ -208,7 +208,7 @@ def predict(docs: DataFrame, languages: list[str], log_likelihood: np.ndarray) -
                           pa.map_(pa.string(), pa.float64()))],
                 ["row", "lang_pred", "score", "mixture"])
 
-    return docs.select("row", "text").mapInArrow(run, schema)
+    return on_executors(docs.select("row", "text")).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import table, text_slices
+from parcelflow.llm.common import on_executors, table, text_slices
 from parcelflow.session import stored
 
 KINDS = ("email", "ip", "card", "phone", "general", "remove")
@@ -181,7 +181,7 @@ def find(docs: DataFrame, terms: int = TERMS, min_contexts: int = MIN_CONTEXTS,
                        F.xxhash64(docs[doc_id], body).alias("k1"),
                        F.xxhash64(F.lit("second"), body, docs[doc_id]).alias("k2"),
                        body.alias("text"))
-    scanned = stored(rows.mapInArrow(_scan(terms), SCAN_DDL), "pii")
+    scanned = stored(on_executors(rows).mapInArrow(_scan(terms), SCAN_DDL), "pii")
     each = scanned.filter("term is null").select("doc_id", "k1", "k2", "base", "near")
     near = stored(each.filter("size(near) > 0")
                   .select("k1", "k2", F.explode("near").alias("x")).select("k1", "k2", "x.*"),
@@ -242,8 +242,8 @@ def sanitise(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())],
                                              ["doc_id", "text"])
 
-    return (rows.join(spans, ["k1", "k2"], "left").select("doc_id", "text", "found")
-            .mapInArrow(run, "doc_id long, text string"))
+    return (on_executors(rows.join(spans, ["k1", "k2"], "left"))
+            .select("doc_id", "text", "found").mapInArrow(run, "doc_id long, text string"))
 
 
 def digests(found: DataFrame) -> DataFrame:

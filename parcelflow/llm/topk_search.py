@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import table
+from parcelflow.llm.common import on_executors, table
 from parcelflow.llm.vectors import matrix, usable
 from parcelflow.session import stored
 
@@ -73,7 +73,7 @@ def pivot_table(vectors: DataFrame, pivots: dict[int, np.ndarray]) -> DataFrame:
                 [b.column("vec_id"), b.column("y"), pa.array(out, pa.list_(pa.float64()))],
                 ["vec_id", "y", "d"])
 
-    return vectors.mapInArrow(run, "vec_id long, y array<long>, d array<double>")
+    return on_executors(vectors).mapInArrow(run, "vec_id long, y array<long>, d array<double>")
 
 
 def inner(y: np.ndarray, q: np.ndarray, exact: bool) -> np.ndarray:

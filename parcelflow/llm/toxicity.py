@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import doc_crc, table, text_slices
+from parcelflow.llm.common import doc_crc, on_executors, table, text_slices
 
 #: Labelled rows of each class that are learned from, at most (in expectation).
 SAMPLE_PER_CLASS = 15_000
@@ -237,7 +237,7 @@ def learn(docs: DataFrame, labels: DataFrame,
     if not size.get(0) or not size.get(1):
         return {}, DEFAULT_FIT
     odds = ((F.col("toxic_n") + 0.5) / (size[1] + 1)) / ((F.col("clean_n") + 0.5) / (size[0] + 1))
-    counted = (first.select("text", "toxic")
+    counted = (on_executors(first.select("text", "toxic"))
                .mapInArrow(_count_features, "toxic int, feature string, n long")
                .groupBy("feature").agg(
                    F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("toxic_n"),
@@ -267,7 +267,7 @@ def grade(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
                                             b.column("text").to_pylist()],
                                            pa.list_(pa.float64()))], ["row", "features"])
 
-    return rows.select("row", "text").mapInArrow(run, f"row {kind}, features array<double>")
+    return on_executors(rows.select("row", "text")).mapInArrow(run, f"row {kind}, features array<double>")
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",

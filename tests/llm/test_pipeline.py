@@ -1,5 +1,8 @@
 """The pipeline stage by stage, the registry, and the SQL of the queries."""
 
+import os
+import subprocess
+import sys
 from collections import Counter
 from hashlib import sha256
 
@@ -94,3 +97,21 @@ def test_clean_documents_stay(steps):
     ids = {r[0] for r in rows_of(given) if len([c for c in r[1] or "" if c.isalpha()]) > 20}
     assert ids <= {r[0] for r in rows_of(spoken)}
     assert len(DOCUMENTS) == 10
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """Only the driver's Python finds the package; the workers get it shipped."""
+    root = os.path.dirname(os.path.abspath(C.__file__))
+    code = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", {str(tmp_path)!r}).getOrCreate())
+from parcelflow.llm.registry import QUERIES
+print("rows", QUERIES["op2_bpe"](spark, {SF_SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, timeout=300,
+                          capture_output=True, text=True)
+    assert "rows 200" in done.stdout, done.stderr[-2000:]
