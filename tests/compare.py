@@ -29,7 +29,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return f"{v:.6g}" if abs(v) >= 1e-3 or v == 0 else f"{v:.6e}"
+        return f"{v:.12g}"  # sums of doubles may differ in the last digits
     if isinstance(v, (dt.date, dt.datetime)):
         return v.isoformat()
     if hasattr(v, "as_integer_ratio") and not isinstance(v, int):
