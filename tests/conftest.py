@@ -20,12 +20,13 @@ def spark():
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.driver.memory", "8g")
-         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="parcelflow-test-ckpt-")))
+         .config("spark.driver.memory", "8g"))
     for k, v in ENGINE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):  # local[*]: one machine
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="parcelflow-test-ckpt-"))
     yield s
 
 

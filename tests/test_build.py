@@ -32,3 +32,28 @@ def test_seed_csv_round_trip(spark, scratch):
     back = read_labels_csv(spark, path)
     assert sorted(tuple(r) for r in back.collect()) == sorted(VIOLATION_LABELS)
     assert back.select("violation_code").distinct().count() == len(VIOLATION_LABELS)
+
+
+def test_no_folder_is_made_up(spark, monkeypatch):
+    import pytest
+
+    from parcelflow import session
+
+    class Unset:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(session.SharedFolderError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(Unset)
+
+
+def test_queries_share_the_stored_tables(spark):
+    from __spark_entry__ import models
+    from parcelflow.session import input_state
+
+    assert models(spark, SF_SMALL) is models(spark, SF_SMALL)
+    state = input_state(spark, SF_SMALL)
+    assert any(name == "orders.parquet" and size > 0 for name, size, _ in state)
