@@ -36,8 +36,12 @@ K = 10
 PIVOTS = 32
 #: Vectors the pivots are picked from, at most.
 PIVOT_SAMPLE = 2_000
-#: Candidates and queries in one block.
-BLOCK, QUERY_BLOCK = 2_048, 4_096
+#: Candidates and queries in one block, at most.  The larger the blocks, the fewer
+#: copies of each are sent (rows sent: n * queries * (1 / BLOCK + 1 / QUERY_BLOCK)).
+BLOCK, QUERY_BLOCK = 32_768, 16_384
+#: Candidates in one block, at least, where the table is too small for a task in
+#: each shuffle partition.
+LEAST_BLOCK = 2_048
 STEP = 128
 
 
@@ -131,7 +135,9 @@ def top_k(vectors: DataFrame, query_every: int = 100, k: int = K, pivots: int =
                   .withColumns({"dim": F.size("y"), "is_query": F.col("vec_id") % query_every == 0}),
                   "pivots")
     n_queries = held.filter("is_query").count()
-    blocks, query_blocks = max(1, -(-n // block)), max(1, -(-n_queries // query_block))
+    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(1, -(-n // block), min(partitions, -(-n // LEAST_BLOCK)))
+    query_blocks = max(1, -(-n_queries // query_block))
     spread = lambda m, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(m))
     every = lambda m: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(m - 1).cast("long")))
     columns = ["dim", "block", "query_block", "vec_id", "y", "d"]

@@ -50,7 +50,7 @@ def brute_top(rows, k=10):
     return sorted(out)
 
 
-@pytest.mark.parametrize("block,query_block", [(2048, 4096), (50, 3)])
+@pytest.mark.parametrize("block,query_block", [(32768, 16384), (50, 3)])
 def test_top_k_is_exact(spark, block, query_block):
     rows = vectors()
     got = K.top_k(frame(spark, rows), block=block, query_block=query_block)
