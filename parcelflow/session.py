@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +24,7 @@ TUNING_CONF = {
 ENGINE_CONF = REQUIRED_CONF | TUNING_CONF
 
 _CLEANED: set[str] = set()
+_TEMPORARY: list[str] = []
 
 
 class SharedFolderError(RuntimeError):
@@ -110,15 +112,31 @@ def _remove_quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once as Parquet under the shared folder and read back:
-    lineage is cut and a lost executor recomputes nothing behind it."""
+    lineage is cut and a lost executor recomputes nothing behind it.  A table to
+    ``keep`` outlives the :func:`temporary` block it is written in."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    if not keep:
+        _TEMPORARY.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession):
+    """Tables that :func:`stored` writes inside the block go at its end, when
+    nothing that is read later hangs on them."""
+    before = len(_TEMPORARY)
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY[before:]:
+            remove_path(spark, path)
+        del _TEMPORARY[before:]
+
+
 def forget(df: DataFrame) -> None:
     """Remove a table that :func:`stored` wrote and nobody reads any more."""
     for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
@@ -126,4 +144,5 @@ def forget(df: DataFrame) -> None:
 
 
 __all__ = ["ENGINE_CONF", "SharedFolderError", "local_session", "apply_engine_conf",
-           "checkpoint_root", "scratch_path", "input_state", "remove_path", "stored", "forget"]
+           "checkpoint_root", "scratch_path", "input_state", "remove_path", "stored",
+           "temporary", "forget"]
