@@ -27,7 +27,7 @@ from parcelflow.llm.jaccard_join import near_duplicates
 from parcelflow.llm.language_id import UNKNOWN, identify, training_rows
 from parcelflow.llm.line_dedup import remove_boilerplate
 from parcelflow.llm.mixing import domain_of, mix
-from parcelflow.session import stored
+from parcelflow.session import forget, stored, temporary
 
 MIN_SHARE = 0.2
 
@@ -74,9 +74,13 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = given = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
+        with temporary(spark):  # what the operator wrote on its way goes with the stage
+            kept = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}", keep=True)
+        if docs is not given:
+            forget(docs)
+        docs = kept
     return docs
 
 

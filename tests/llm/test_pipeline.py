@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as C
 from parcelflow.llm import registry
 from parcelflow.llm.bpe import vocabulary_path
-from parcelflow.session import stored
+from parcelflow.session import scratch_path, stored
 from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.cases import DOCUMENTS, documents, empty
 from tests.llm.test_jaccard_join import brute as near_brute
@@ -69,9 +69,13 @@ def test_awkward_rows_pass_every_stage(spark):
                                                    None: 1})
 
 
-def test_run_returns_the_last_stage(spark, steps):
+def test_run_returns_the_last_stage_and_leaves_nothing_else(spark, steps):
+    folder = scratch_path(spark).rstrip("/").removeprefix("file:")
+    before = set(os.listdir(folder))
     got = C.run(spark, SF_SMALL)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, steps[-1].collect()))
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and left.pop().startswith("stage-bpe")
 
 
 def test_registry():
