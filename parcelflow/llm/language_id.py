@@ -201,6 +201,8 @@ def predict(docs: DataFrame, languages: list[str], log_likelihood: np.ndarray) -
             weight = mixtures(doc, bucket, count, b.num_rows, loglik)
             first = weight.argmax(axis=1) if names else np.zeros(b.num_rows, int)
             top = weight.max(axis=1) if names else np.zeros(b.num_rows)
+            letters = pc.match_substring_regex(pc.fill_null(b.column("text"), ""), r"\pL")
+            top = np.where(letters.to_numpy(zero_copy_only=False), top, 0.0)
             lang = [names[i] if s > 0 else UNKNOWN for i, s in zip(first, top, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(lang), pa.array(np.minimum(top, 1.0)),

@@ -73,6 +73,9 @@ def test_awkward_rows(spark):
     assert sorted(i for i, lang, _ in got if lang == "und") == sorted(none)
     assert {s for _, lang, s in got if lang == "und"} == {0.0}
     assert len({(lang, s) for i, lang, s in got if i == 1}) == 1
+    marks = documents(spark, [(1, "\u0301\u0308 12", "en", "a"), (2, "é", "en", "a")])
+    assert {r.row.doc_id: r.lang_pred == "und" for r in L.identify(marks, docs).collect()} == {
+        1: True, 2: False}
     unlearned = L.identify(docs, empty(spark)).collect()
     assert {r.lang_pred for r in unlearned} == {"und"}
     assert L.identify(empty(spark), docs).count() == 0
