@@ -114,14 +114,14 @@ def mix(docs: DataFrame, domain: Column, targets: dict[str, dict[str, int]] | No
     """``row`` (struct of ``keep``, by default all columns), domain, language,
     site, n_tokens and ``copies`` (how often the mix holds it, above 0)."""
     named = lambda c: F.coalesce(c.cast("string"), F.lit(""))
-    rows = docs.select(
+    rows = stored(docs.select(  # the texts are read and counted once
         F.struct(*[docs[c] for c in keep or docs.columns]).alias("row"),
         named(domain).alias("domain"), named(docs[lang]).alias("language"),
         named(docs[source]).alias("site"),
         F.coalesce(F.regexp_count(docs[text].cast("string"), F.lit(r"\S+")), F.lit(0))
         .cast("long").alias("n_tokens"),
         F.coalesce(docs[doc_id].cast("string"), F.lit("")).alias("name"),
-        F.xxhash64(docs[text]).alias("tie"))
+        F.xxhash64(docs[text]).alias("tie")), "tokens")
     leaves = stored(rows.groupBy(*LEVELS).agg(F.count("*").alias("docs"),
                                               F.sum("n_tokens").alias("tokens")), "leaves")
     some = F.greatest("tokens", F.lit(1))
