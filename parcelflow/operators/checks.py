@@ -37,7 +37,8 @@ def _t(model, column, *kinds, parent=None, values=()):
 
 STAGE_VALUES = ("single_violation", "repeat_violations", "dangerous_building", "demolition")
 
-# The generic tests of the modelled project, per model and column.
+# The generic tests that the modelled project declares, per model
+# and column.
 COLUMN_TESTS: list[ColumnTest] = [
     *_t("stg_violations_current", "violation_id", "not_null"),
     *_t("stg_violations_current", "source_system", "accepted_values", values=("energov",)),
