@@ -48,6 +48,8 @@ ALLOWED = (
     r"(?i)abcdefghijklmnop",
     r"01234567890123456789",
 )
+#: Matches whose positions are summed up one by one.
+CHUNK = 256
 #: c * log2 c in units of 2^-20, so that sums are exact whatever their order.
 UNIT = 1 << 20
 
@@ -61,20 +63,44 @@ def least_sum(bits: float, window: int) -> int:
     return math.floor((math.log2(window) - bits) * window * UNIT)
 
 
-def matches(text: Column, found: Column, pattern: str) -> Column:
-    """array<struct<start, value>> of all matches ``found`` of a pattern."""
-    step = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), found.alias("value"))
+def pieces(text: str, found: str, pattern: str) -> Column:
+    """array<struct<piece, value>>: the text before each match, and the match; the
+    last value is NULL.  Empty where nothing is found."""
+    cut = F.arrays_zip(F.split(text, pattern, -1).alias("piece"), F.col(found).alias("value"))
+    none = F.array().cast("array<struct<piece:string,value:string>>")
+    return F.when(F.size(found) == 0, none).otherwise(cut)
+
+
+def _extent(z: Column) -> Column:
+    return F.length(z["piece"]) + F.coalesce(F.length(z["value"]), F.lit(0))
+
+
+def matches(cut: str) -> Column:
+    """array<struct<start, value>> of all matches, from the column of their
+    :func:`pieces`.  Starts are running sums: first of whole chunks, then inside
+    each chunk, so that the work stays linear in the number of matches."""
+    last = F.floor((F.size(cut) - 1) / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), last),
+                         lambda k: F.slice(cut, k * CHUNK + 1, F.lit(CHUNK)))
+    totals = F.transform(chunks, lambda chunk: F.aggregate(
+        chunk, F.lit(0), lambda n, z: n + _extent(z)))
+    bases = F.aggregate(
+        totals, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+        lambda acc, n: F.struct((acc["at"] + n).alias("at"),
+                                F.array_append(acc["out"], acc["at"]).alias("out")),
+        lambda acc: acc["out"])
+    none = F.array().cast("array<struct<start:int,value:string>>")
 
     def add(acc: Column, z: Column) -> Column:
-        start = acc["at"] + F.length(z["piece"])
-        return F.struct(
-            (start + F.coalesce(F.length(z["value"]), F.lit(0))).alias("at"),
-            F.when(z["value"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(
-                F.struct(start.alias("start"), z["value"].alias("value"))))).alias("out"))
+        match = F.struct((acc["at"] + F.length(z["piece"])).alias("start"),
+                         z["value"].alias("value"))
+        return F.struct((acc["at"] + _extent(z)).alias("at"), F.when(
+            z["value"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(match)))
+            .alias("out"))
 
-    none = F.array().cast("array<struct<start:int,value:string>>")
-    return F.when(F.size(found) == 0, none).otherwise(F.aggregate(
-        step, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"]))
+    placed = F.zip_with(chunks, bases, lambda chunk, base: F.aggregate(
+        chunk, F.struct(base.alias("at"), none.alias("out")), add, lambda acc: acc["out"]))
+    return F.when(F.size(cut) == 0, none).otherwise(F.flatten(placed))
 
 
 def hot_windows(chars: Column, window: int) -> Column:
@@ -139,8 +165,8 @@ def scan(docs: DataFrame, window: int = WINDOW, allowed: tuple[str, ...] = ALLOW
     rows = docs.select(docs[doc_id].alias("doc_id"), body.alias("text"))
     raw = rows.select("*", *[F.regexp_extract_all("text", F.lit(p), F.lit(0)).alias(k)
                              for k, p in patterns.items()])
-    placed = raw.select("doc_id", *[matches(F.col("text"), F.col(k), p).alias(k)
-                                    for k, p in patterns.items()])
+    cut = raw.select("doc_id", *[pieces("text", k, p).alias(k) for k, p in patterns.items()])
+    placed = cut.select("doc_id", *[matches(k).alias(k) for k in patterns])
     good = {
         "assign": lambda m: F.length(F.regexp_extract(m["value"], ASSIGN, 2)) >= LEAST_VALUE,
         "access": lambda m: F.length(m["value"]) >= LEAST_ACCESS,
