@@ -105,7 +105,8 @@ def sign(docs: DataFrame, signer: Signer) -> DataFrame:
                               bands=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
                                                              pa.array(hashes.ravel())))
 
-    return on_executors(docs).mapInArrow(run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
+    return on_executors(docs).mapInArrow(
+        run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
 
 
 def candidate_components(reps: DataFrame) -> DataFrame:

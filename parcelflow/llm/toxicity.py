@@ -267,7 +267,8 @@ def grade(rows: DataFrame, lexicon: dict[str, float]) -> DataFrame:
                                             b.column("text").to_pylist()],
                                            pa.list_(pa.float64()))], ["row", "features"])
 
-    return on_executors(rows.select("row", "text")).mapInArrow(run, f"row {kind}, features array<double>")
+    return on_executors(rows.select("row", "text")).mapInArrow(
+        run, f"row {kind}, features array<double>")
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
