@@ -201,8 +201,9 @@ def median_in_buckets(df: DataFrame, keys: Sequence[str], value: str, name: str,
     by = Window.partitionBy(*keys)
     for _ in range(levels):
         width = (F.col("_to") / buckets - F.col("_from") / buckets)
-        at = F.when((width > 0) & (width < float("inf")), F.least(F.floor((F.col("_v") - F.col("_from")) / width),
-                                       F.lit(buckets - 1))).otherwise(0)
+        step = F.floor((F.col("_v") - F.col("_from")) / width)
+        at = F.when((width > 0) & (width < float("inf")),
+                    F.least(step, F.lit(buckets - 1))).otherwise(0)
         counted = inside().withColumn("_b", at).groupBy(
             *keys, "_n", "_lo", "_hi", "_below", "_b").agg(
             F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_from"), F.max("_v").alias("_to"))
