@@ -101,7 +101,7 @@ def leaf_budgets(leaves: DataFrame, targets: dict[str, dict[str, int]], budget_s
     for level in LEVELS:
         children = leaves.groupBy(*keys, level).agg(F.sum("capacity").alias("capacity"))
         joined = (children.join(dealt.drop("capacity"), keys) if keys
-                  else children.crossJoin(F.broadcast(dealt)))  # the root is one row
+                  else children.withColumn("budget", dealt.scalar()))  # the root's one row
         dealt = divide(joined, keys, level, targets.get(level, {}))
         keys = [*keys, level]
     return leaves.join(dealt.select(*LEVELS, "budget"), list(LEVELS)).drop("capacity")
