@@ -7,12 +7,13 @@ of each term near an entity how much it reveals: with N documents,
     reveals(t, e) = log2(p(t | e) / p(t))    information(e) = -log2 p(e)
 
 p(t) and p(e) are document frequencies over the whole corpus, p(t | e) is the
-share of the entity's distinct contexts that hold the term.  A term that reveals
-at least DISCLOSED of an entity's information is generalised, one that reveals at
-least IDENTIFYING of it is removed.  A context is the run of TERMS terms on either
-side of a mention; equal contexts (copies of a document) count once, and a term
-needs MIN_CONTEXTS of them, as a word that happens to stand there once says
-nothing.
+share of the entity's distinct contexts that hold the term.  Every entity is
+scored, most have one context: the share is taken after PRIOR more contexts that
+hold the term as often as the corpus does, so that one context says less than many
+and a common word says nothing.  A term that reveals at least DISCLOSED of an
+entity's information is generalised, one that reveals at least IDENTIFYING of it
+is removed.  A context is the run of TERMS terms on either side of a mention;
+equal contexts (copies of a document) count once.
 
 One pass over the texts writes, per document, the base spans and the terms near
 them, and per task the document frequencies of its terms.  Co-occurrences, in
@@ -42,6 +43,9 @@ from parcelflow.session import stored
 
 KINDS = ("email", "ip", "card", "phone", "general", "remove")
 TERMS = 8
+#: Contexts like the whole corpus that the share of an entity is smoothed with.
+PRIOR = 1.0
+#: No floor of the method: tests/llm/test_pii.py compares on entities above it.
 MIN_CONTEXTS = 3
 DISCLOSED, IDENTIFYING = 0.6, 0.9
 #: Distinct terms a task counts before it passes its counts on.
@@ -171,7 +175,7 @@ def _scan(terms: int):
     return run
 
 
-def find(docs: DataFrame, terms: int = TERMS, min_contexts: int = MIN_CONTEXTS,
+def find(docs: DataFrame, terms: int = TERMS, prior: float = PRIOR,
          disclosed: float = DISCLOSED, identifying: float = IDENTIFYING,
          doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, k1, k2 (hash of id and text) and ``found``: all spans by kind and
@@ -187,17 +191,17 @@ def find(docs: DataFrame, terms: int = TERMS, min_contexts: int = MIN_CONTEXTS,
                   .select("k1", "k2", F.explode("near").alias("x")).select("k1", "k2", "x.*"),
                   "near")
     pairs = stored(near.groupBy("term", "entity")
-                   .agg(F.countDistinct("context").alias("together"))
-                   .filter(F.col("together") >= min_contexts), "pairs")
+                   .agg(F.countDistinct("context").alias("together")), "pairs")
     entities = stored(near.groupBy("entity").agg(F.countDistinct("context").alias("contexts"),
-                                                 F.countDistinct("k1", "k2").alias("mentions"))
-                      .filter(F.col("contexts") >= min_contexts), "entities")
+                                                 F.countDistinct("k1", "k2").alias("mentions")),
+                      "entities")
     frequency = stored(scanned.filter("term is not null").groupBy("term")
                        .agg(F.sum("n").alias("documents")), "frequency")
     total = each.count()
+    everywhere = F.col("documents") / F.lit(float(max(total, 1)))
+    here = (F.col("together") + prior * everywhere) / (F.col("contexts") + prior)
     information = F.log2(F.lit(float(max(total, 1))) / F.col("mentions"))
-    reveals = F.log2(F.col("together") / F.col("contexts")
-                     * F.lit(float(max(total, 1))) / F.col("documents"))
+    reveals = F.log2(here / everywhere)
     telling = stored(pairs.join(entities, "entity").join(frequency, "term")
                      .withColumns({"information": information, "reveals": reveals})
                      .filter((F.col("information") > 0) &

@@ -98,6 +98,21 @@ def test_telling_terms(spark):
         assert ("zeppelin" in words) == ("ada@" in text) and "letter" not in words
 
 
+def rare(n=300):
+    """Eve's address stands in one document, as 'mongolfier' does."""
+    rows = [(i, f"common letter {' '.join(f'word{chr(97 + (i + k) % 20)}' for k in range(9))}",
+             "en", "a") for i in range(n)]
+    return [*rows, (n, "common letter mongolfier eve@club.org common", "en", "a")]
+
+
+def test_entities_with_one_context_are_scored(spark):
+    rows = rare()
+    text = rows[-1][1]
+    found = {r.doc_id: r.found for r in P.find(documents(spark, rows)).collect()}
+    assert {text[s.start:s.end] for s in found[len(rows) - 1]} == {"eve@club.org", "mongolfier"}
+    assert not any(found[i] for i in range(len(rows) - 1))
+
+
 def test_sanitise(spark):
     docs = documents(spark, people())
     clean = {r.doc_id: r.text for r in P.sanitise(docs, P.find(docs)).collect()}
