@@ -6,20 +6,26 @@ of each term near an entity how much it reveals: with N documents,
 
     reveals(t, e) = log2(p(t | e) / p(t))    information(e) = -log2 p(e)
 
-p(t) and p(e) are document frequencies over the whole corpus, p(t | e) is the
-share of the entity's distinct contexts that hold the term.  Every entity is
-scored, most have one context: the share is taken after PRIOR more contexts that
-hold the term as often as the corpus does, so that one context says less than many
-and a common word says nothing.  A term that reveals at least DISCLOSED of an
-entity's information is generalised, one that reveals at least IDENTIFYING of it
-is removed.  A context is the run of TERMS terms on either side of a mention;
-equal contexts (copies of a document) count once.
-
-One pass over the texts writes, per document, the base spans and the terms near
-them, and per task the document frequencies of its terms.  Co-occurrences, in
-proportion to the mentions, are then counted by partial aggregation and joined to
-the frequencies; counts are written before a join, so that Spark broadcasts them
-by size or splits the partition of a frequent term.
+where all p are shares of distinct texts (copies say no more): p(t) and p(e) of all,
+p(t | e) of those that hold the entity, in whatever place.  Every entity is scored, most stand in one
+document: p(t | e) is taken after PRIOR more documents that hold the term as often
+as the corpus does, so that one document says less than many and a common word
+says nothing.  A term that reveals at least DISCLOSED of an entity's information is
+generalised, one that reveals at least IDENTIFYING of it is removed: every
+occurrence outside the base spans, in each document that holds the entity.
+
+The texts that have copies are counted by a hash first.  A first pass over the
+texts writes, per document, the base spans and entities, the text where it has any,
+and per task the document frequencies of its terms, each of n copies as 1 / n.
+Entities that stand in the same documents have the same counts and are one class.
+A second pass over the distinct texts with entities writes their terms with positions
+and classes.  As p(t | e) is 1 at most, a term of more than N (p(e) ** DISCLOSED)
+documents cannot be telling; the terms that more than a share of FREQUENT of all
+documents hold (1 / FREQUENT times the terms of an average document, at most) are
+sent to the tasks, which write none of the pairs so ruled out.  Co-occurrences are
+counted by partial aggregation and joined to the frequencies; counts are written
+before a join, so that Spark broadcasts them by size or splits the partition of a
+frequent term.
 
 Defined results: NULL text counts as empty; positions are code points, the end is
 exclusive; failing matches are dropped without another try; texts are read whole;
@@ -29,27 +35,31 @@ and text columns are read.
 
 from __future__ import annotations
 
+import math
 import re
 from bisect import bisect_left
 from collections import Counter
 from hashlib import blake2b
+from itertools import accumulate
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parcelflow.llm.common import on_executors, table, text_slices
+from parcelflow.llm.common import arrow_batch, on_executors, table, text_slices
 from parcelflow.session import stored
 
 KINDS = ("email", "ip", "card", "phone", "general", "remove")
-TERMS = 8
-#: Contexts like the whole corpus that the share of an entity is smoothed with.
+#: Documents like the whole corpus that the share of an entity is smoothed with.
 PRIOR = 1.0
-#: No floor of the method: tests/llm/test_pii.py compares on entities above it.
-MIN_CONTEXTS = 3
 DISCLOSED, IDENTIFYING = 0.6, 0.9
 #: Distinct terms a task counts before it passes its counts on.
 HELD_TERMS = 400_000
+#: Share of all documents above which the tasks of the second pass know a term.
+FREQUENT = 0.01
+#: No part of find(): windows that tests/llm/test_pii.py compares it with.
+TERMS, MIN_CONTEXTS = 8, 3
 
 # The base patterns.  Each digit run is possessive: a match that
 # fails after a run fails from every later digit of the run too.
@@ -112,7 +122,8 @@ def _hash(text: str) -> int:
 
 def contexts(text: str, spans: list[tuple[int, int, int, str]],
              terms: int = TERMS) -> list[tuple[str, int, int, int, int]]:
-    """(term, start, end, entity, context) for the terms around each mention."""
+    """(term, start, end, entity, context) for the terms around each mention: the
+    windows of the tests, :func:`find` counts whole documents."""
     taken = sorted((a, b) for _, a, b, _ in spans)
     begins = [a for a, _ in taken]
     words = []
@@ -130,93 +141,150 @@ def contexts(text: str, spans: list[tuple[int, int, int, str]],
     return out
 
 
+def terms_of(text: str) -> set[str]:
+    return {w.lower() for w in set(TERM.findall(text))}
+
+
+def occurrences(text: str) -> dict[str, list[tuple[int, int]]]:
+    """(start, end) of each term of the text, those in base spans left out."""
+    spans = sorted(s[1:3] for s in base_spans(text))
+    begins, ends = [a for a, _ in spans], list(accumulate((b for _, b in spans), max))
+    out: dict[str, list[tuple[int, int]]] = {}
+    for m in TERM.finditer(text):
+        at = out.setdefault(m[0].lower(), [])
+        k = bisect_left(begins, m.end()) - 1
+        if k < 0 or ends[k] <= m.start():
+            at.append(m.span())
+    return out
+
+
 SPAN = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-NEAR = pa.struct([("term", pa.string()), ("start", pa.int64()), ("end", pa.int64()),
-                  ("entity", pa.int64()), ("context", pa.int64())])
 SCAN = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()),
-                  ("base", pa.list_(SPAN)), ("near", pa.list_(NEAR)),
-                  ("term", pa.string()), ("n", pa.int64())])
-SCAN_DDL = ("doc_id long, k1 long, k2 long, base array<struct<kind:int,start:long,end:long>>, "
-            "near array<struct<term:string,start:long,end:long,entity:long,context:long>>, "
-            "term string, n long")
+                  ("copy", pa.int64()), ("base", pa.list_(SPAN)),
+                  ("entities", pa.list_(pa.int64())), ("text", pa.string()),
+                  ("term", pa.string()), ("n", pa.float64())])
+SCAN_DDL = ("doc_id long, k1 long, k2 long, copy long, "
+            "base array<struct<kind:int,start:long,end:long>>, "
+            "entities array<long>, text string, term string, n double")
 
 
-def _scan(terms: int):
+def _scan(batches):
     def counted(held: Counter) -> pa.RecordBatch:
         none = [None] * len(held)
-        return pa.RecordBatch.from_pydict(
-            {"doc_id": none, "k1": none, "k2": none, "base": none, "near": none,
-             "term": list(held), "n": list(held.values())}, SCAN)
+        return arrow_batch(SCAN, **{n: none for n in SCAN.names} | {
+            "term": list(held), "n": [float(n) for n in held.values()]})
+
+    held: Counter = Counter()
+    for b in text_slices(batches):
+        base, entities, texts = [], [], []
+        for text, copies in zip(b.column("text").to_pylist(), b.column("copies").to_pylist(),
+                                strict=True):
+            spans = base_spans(text or "")
+            base.append([dict(zip(SPAN.names, s[:3], strict=True)) for s in spans])
+            entities.append(sorted({_hash(f"{s[0]}:{s[3]}") for s in spans}))
+            texts.append(text if spans else None)
+            terms = terms_of(text or "")
+            held.update(terms if copies == 1 else dict.fromkeys(terms, 1 / copies))
+        none = [None] * b.num_rows
+        yield arrow_batch(SCAN, **{c: b.column(c) for c in ("doc_id", "k1", "k2", "copy")},
+                          base=base, entities=entities, text=texts, term=none, n=none)
+        if len(held) > HELD_TERMS:
+            yield counted(held)
+            held.clear()
+    if held:
+        yield counted(held)
+
 
+CLASS = pa.struct([("class", pa.int64()), ("documents", pa.int64())])
+PLACE = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+NEAR = pa.schema([("copy", pa.int64()), ("term", pa.string()),
+                  ("classes", pa.list_(CLASS)), ("places", pa.list_(PLACE))])
+NEAR_DDL = ("copy long, term string, classes array<struct<class:long,documents:long>>, "
+            "places array<struct<start:long,end:long>>")
+
+
+def _near(frequent: Broadcast, total: int, disclosed: float):
+    """The terms of each text, with the classes they could tell of."""
     def run(batches):
-        held: Counter = Counter()
+        common = frequent.value
         for b in text_slices(batches):
-            base, near = [], []
-            for text in b.column("text").to_pylist():
-                text = text or ""
-                spans = base_spans(text)
-                base.append([s[:3] for s in spans])
-                near.append(contexts(text, spans, terms) if spans else [])
-                held.update(set(TERM.findall(text.lower())))
-            as_dicts = lambda rows, kind: [[dict(zip(kind.names, r, strict=True)) for r in x]
-                                           for x in rows]
-            none = [None] * b.num_rows
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("k1"), b.column("k2"),
-                 pa.array(as_dicts(base, SPAN), pa.list_(SPAN)),
-                 pa.array(as_dicts(near, NEAR), pa.list_(NEAR)),
-                 pa.array(none, pa.string()), pa.array(none, pa.int64())], schema=SCAN)
-            if len(held) > HELD_TERMS:
-                yield counted(held)
-                held.clear()
-        if held:
-            yield counted(held)
+            for copy, text, classes in zip(*(b.column(c).to_pylist() for c in (
+                    "copy", "text", "classes")), strict=True):
+                least = [(c, disclosed * math.log2(total / c["documents"]) - 1e-9)
+                         for c in classes if c["documents"] < total]
+                rows = []
+                for term, at in occurrences(text).items():
+                    most = math.log2(total / common[term]) if term in common else math.inf
+                    if some := [c for c, bits in least if bits <= most]:
+                        rows.append((term, some, [dict(start=x, end=y) for x, y in at]))
+                if rows:
+                    terms, some, places = zip(*rows, strict=True)
+                    yield arrow_batch(NEAR, copy=[copy] * len(rows), term=terms, classes=some,
+                                      places=places)
 
     return run
 
 
-def find(docs: DataFrame, terms: int = TERMS, prior: float = PRIOR,
-         disclosed: float = DISCLOSED, identifying: float = IDENTIFYING,
-         doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def find(docs: DataFrame, prior: float = PRIOR, disclosed: float = DISCLOSED,
+         identifying: float = IDENTIFYING, doc_id: str = "doc_id",
+         text: str = "text") -> DataFrame:
     """doc_id, k1, k2 (hash of id and text) and ``found``: all spans by kind and
     start, ``kind`` an index into KINDS."""
     body = docs[text].cast("string")
     rows = docs.select(docs[doc_id].cast("long").alias("doc_id"),
                        F.xxhash64(docs[doc_id], body).alias("k1"),
                        F.xxhash64(F.lit("second"), body, docs[doc_id]).alias("k2"),
-                       body.alias("text"))
-    scanned = stored(on_executors(rows).mapInArrow(_scan(terms), SCAN_DDL), "pii")
-    each = scanned.filter("term is null").select("doc_id", "k1", "k2", "base", "near")
-    near = stored(each.filter("size(near) > 0")
-                  .select("k1", "k2", F.explode("near").alias("x")).select("k1", "k2", "x.*"),
-                  "near")
-    pairs = stored(near.groupBy("term", "entity")
-                   .agg(F.countDistinct("context").alias("together")), "pairs")
-    entities = stored(near.groupBy("entity").agg(F.countDistinct("context").alias("contexts"),
-                                                 F.countDistinct("k1", "k2").alias("mentions")),
-                      "entities")
+                       F.xxhash64(F.coalesce(body, F.lit(""))).alias("copy"), body.alias("text"))
+    copies = stored(rows.groupBy("copy").agg(F.count("*").alias("copies"))
+                    .filter("copies > 1"), "copies")
+    counted = rows.join(copies, "copy", "left").fillna(1, "copies")
+    scanned = stored(on_executors(counted).mapInArrow(_scan, SCAN_DDL), "pii")
+    each = scanned.filter("term is null").select("doc_id", "k1", "k2", "copy", "base")
+    more = copies.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
+    total = each.count() - more  # distinct texts
+    held = stored(scanned.filter("text is not null").select("copy", "entities", "text")
+                  .dropDuplicates(["copy"]), "held")
+    mentions = held.select("copy", F.explode("entities").alias("entity"))
+    # entities of the same texts: equal number, equal sums of the texts' hashes
+    sums = [F.sum(h.cast("decimal(20,0)")) for h in (F.col("copy"), F.xxhash64("copy"))]
+    entities = stored(mentions.groupBy("entity")
+                      .agg(F.count("*").alias("documents"), F.xxhash64(F.count("*"), *sums)
+                           .alias("class")), "entities")
+    classes = stored(mentions.join(entities, "entity").groupBy("copy").agg(
+        F.collect_set(F.struct("class", "documents")).alias("classes")), "classes")
     frequency = stored(scanned.filter("term is not null").groupBy("term")
-                       .agg(F.sum("n").alias("documents")), "frequency")
-    total = each.count()
+                       .agg(F.round(F.sum("n")).cast("long").alias("documents")), "frequency")
+    frequent = docs.sparkSession.sparkContext.broadcast(
+        {r.term: r.documents for r in
+         frequency.filter(F.col("documents") > FREQUENT * total).collect()})
+    near = stored(held.join(classes, "copy").select("copy", "text", "classes")
+                  .mapInArrow(_near(frequent, total, disclosed), NEAR_DDL), "near")
+    one = F.explode("classes").alias("c")
+    pairs = stored(near.select("term", one).groupBy(
+        "term", F.col("c.class").alias("class"), F.col("c.documents").alias("mentions"))
+        .agg(F.count("*").alias("together")), "pairs")
     everywhere = F.col("documents") / F.lit(float(max(total, 1)))
-    here = (F.col("together") + prior * everywhere) / (F.col("contexts") + prior)
+    here = (F.col("together") + prior * everywhere) / (F.col("mentions") + prior)
     information = F.log2(F.lit(float(max(total, 1))) / F.col("mentions"))
-    reveals = F.log2(here / everywhere)
-    telling = stored(pairs.join(entities, "entity").join(frequency, "term")
-                     .withColumns({"information": information, "reveals": reveals})
+    telling = stored(pairs.join(frequency, "term")
+                     .withColumns({"information": information,
+                                   "reveals": F.log2(here / everywhere)})
                      .filter((F.col("information") > 0) &
                              (F.col("reveals") >= disclosed * F.col("information")))
-                     .select("term", "entity",
+                     .select("term", "class",
                              F.when(F.col("reveals") >= identifying * F.col("information"), 5)
                              .otherwise(4).alias("kind")), "telling")
     span = F.struct("kind", "start", "end")
-    added = stored(near.join(telling, ["term", "entity"])
-                   .groupBy("k1", "k2", "start", "end").agg(F.max("kind").alias("kind"))
-                   .groupBy("k1", "k2").agg(F.collect_list(span).alias("added")), "added")
+    added = stored(near.select("copy", "term", "places", one)
+                   .withColumn("class", F.col("c.class")).join(telling, ["term", "class"])
+                   .groupBy("copy", "term", "places").agg(F.max("kind").alias("kind"))
+                   .select("copy", "kind", F.inline("places"))
+                   .groupBy("copy").agg(F.collect_list(span).alias("added")), "added")
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
-    return each.join(added, ["k1", "k2"], "left").select(
-        "doc_id", "k1", "k2",
-        F.array_sort(F.concat("base", F.coalesce("added", none))).alias("found"))
+    found = F.array_sort(F.concat("base", F.coalesce("added", none))).alias("found")
+    with_spans = each.filter("size(base) > 0").join(added, "copy", "left")
+    return with_spans.select("doc_id", "k1", "k2", found).unionByName(
+        each.filter("size(base) = 0").select("doc_id", "k1", "k2", F.col("base").alias("found")))
 
 
 def sanitise(docs: DataFrame, found: DataFrame, doc_id: str = "doc_id",

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from hashlib import sha256
 
 from parcelflow.llm import pii as P
+from parcelflow.session import stored
 from tests.llm.cases import DOCUMENTS, LONG, documents, empty
 
 # The patterns as given.
@@ -113,6 +114,75 @@ def test_entities_with_one_context_are_scored(spark):
     assert not any(found[i] for i in range(len(rows) - 1))
 
 
+def by_documents(rows, prior=P.PRIOR, disclosed=P.DISCLOSED, identifying=P.IDENTIFYING):
+    """id -> (kind, start, end) of the telling terms, counted by whole distinct texts."""
+    texts = sorted({t for _, t, *_ in rows})
+    terms = [{m.lower() for m in P.TERM.findall(t)} for t in texts]
+    held = [{(s[0], s[3]) for s in P.base_spans(t)} for t in texts]
+    frequency, mentions = Counter(w for d in terms for w in d), Counter(e for d in held for e in d)
+    both = Counter((w, e) for d, h in zip(terms, held, strict=True) for w in d for e in h)
+    n, out = len(texts), {}
+    for i, text, *_ in rows:
+        h, taken = held[texts.index(text)], [s[1:3] for s in P.base_spans(text)]
+        for m in P.TERM.finditer(text):
+            w = m[0].lower()
+            for e in h:
+                p, information = frequency[w] / n, math.log2(n / mentions[e])
+                reveals = math.log2((both[w, e] + prior * p) / (mentions[e] + prior) / p)
+                if information > 0 and reveals >= disclosed * information and not any(
+                        a < m.end() and m.start() < b for a, b in taken):
+                    kind = 5 if reveals >= identifying * information else 4
+                    spot = out.setdefault(i, {})
+                    spot[m.span()] = max(kind, spot.get(m.span(), 0))
+    return {i: sorted((k, *at) for at, k in f.items()) for i, f in out.items()}
+
+
+def test_whole_documents_against_plain_python(spark):
+    rnd = random.Random(4)
+    words = [f"{a}{b}{c}" for a in "bdfkl" for b in "aeiou" for c in "mnrst"]
+    rows = []
+    for i in range(400):
+        text = [rnd.choice(words[:12] if rnd.random() < 0.7 else words) for _ in range(60)]
+        for k in range(rnd.choice([0, 0, 0, 1, 1, 3])):
+            who = rnd.choice([f"rare{i}x{k}", "ada", "bob", "Kam"])
+            text.insert(rnd.randrange(60), f"{who}@club.org" + " zeppelin" * (who == "Kam"))
+        rows.append((i, " ".join(text), "en", "a"))
+    rows[7] = (7, "+1 (407) 555-7710 5.6.7.8 " + rows[7][1], "en", "a")
+    rows += [(500 + i, rows[7][1], "en", "a") for i in range(9)]
+    found = {r.doc_id: [tuple(s) for s in r.found] for r in
+             P.find(documents(spark, rows)).select("doc_id", "found").collect()}
+    want = by_documents(rows)
+    assert {k for f in want.values() for k, _, _ in f} == {4, 5}
+    for i, text, *_ in rows:
+        assert found[i] == sorted(given_spans(text) + want.get(i, [])), text
+
+
+def test_telling_terms_go_wherever_the_document_holds_them(spark):
+    rows = rare()
+    far = " ".join(["common letter"] * 40)
+    rows[-1] = (300, f"mongolfier {far} eve@club.org {far} Mongolfier", "en", "a")
+    clean = {r.doc_id: r.text for r in
+             P.sanitise(documents(spark, rows), P.find(documents(spark, rows))).collect()}
+    assert "mongolfier" not in clean[300].lower() and "common letter" in clean[300]
+
+
+def test_lists_of_entities_stay_linear(spark, monkeypatch):
+    """Entities of the same documents are counted once, however many they are."""
+    rows = rare()
+    people = " ".join(f"p{k}@club.org {chr(97 + k % 26) * 3}{chr(97 + k // 26 % 26) * 3}"
+                      for k in range(600))
+    rows.append((301, people, "en", "a"))
+    sizes = {}
+
+    def kept(df, name):
+        sizes[name] = stored(df, name)
+        return sizes[name]
+
+    monkeypatch.setattr(P, "stored", kept)
+    P.find(documents(spark, rows)).count()
+    assert sizes["entities"].count() == 601 and sizes["pairs"].count() < 1300
+
+
 def test_sanitise(spark):
     docs = documents(spark, people())
     clean = {r.doc_id: r.text for r in P.sanitise(docs, P.find(docs)).collect()}
