@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and works on all rows of its predecessor;
 :func:`run` writes every stage's rows as Parquet in the shared folder and gives
 the written table to the next one.
 
-1. language id: documents without a letter, or in which no language reaches a share
-   of MIN_SHARE, go; a missing ``lang`` is filled in.
+1. language id: documents without a letter, those in which no language reaches a
+   share of MIN_SHARE, and those that no learned language explains better than the
+   background (random letters, unlearned scripts) go; a missing ``lang`` is filled in.
 2. line dedup: cross-site boilerplate lines go out of the texts.
 3. n-gram Jaccard join: of each group of near duplicates the document with the
    smallest id stays, of repeated rows with that id one.
@@ -33,8 +34,9 @@ MIN_SHARE = 0.2
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = identify(docs, training_rows(docs), keep=docs.columns)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE))
+    found = identify(docs, training_rows(docs), keep=docs.columns, background=True)
+    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE) &
+                        (F.col("margin") >= 0))
     return kept.select(*[
         (F.coalesce(F.col("row").getField(c), "lang_pred") if c == "lang"
          else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -11,6 +11,11 @@ lowers the penalised likelihood BIC = -2 log L + (languages - 1) log(grams).
 The language with the largest proportion of the selected set is the prediction,
 its proportion the score.
 
+On request the model has a background too: half the grams of the sampled texts with
+their letters shuffled, half all buckets alike.  ``margin`` is the log likelihood of
+the document's mixture less that of the background, plus log(grams) as penalty; below
+0, no learned language explains the document better than random letters do.
+
 All documents of a step run together: their counts are one sparse matrix of
 (document, bucket, count) and every iteration is a handful of array operations.
 
@@ -76,9 +81,18 @@ def gram_counts(texts: pa.Array, buckets: int = BUCKETS) -> tuple[np.ndarray, ..
         np.zeros(0, np.int64),) * 3
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
-          buckets: int = BUCKETS) -> tuple[list[str], np.ndarray]:
-    """Languages and log P(bucket | language) from ``text`` and ``lang`` of
+def shuffled(text: str) -> str:
+    """The text with its letters dealt anew over their places."""
+    code = np.array(list(text.lower()))
+    at = np.flatnonzero(np.char.isalpha(code)) if len(code) else []
+    code[at] = np.random.default_rng(len(at)).permutation(code[at])
+    return "".join(code.tolist())
+
+
+def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE, buckets: int = BUCKETS,
+          background: bool = False) -> tuple[list[str], np.ndarray]:
+    """Languages and log P(bucket | language), with a last row for the ``background``
+    if asked for, from ``text`` and ``lang`` of
     labelled rows.  About ``sample`` rows a language are read, picked by a hash of
     id and text (so a text that fills a third of the rows counts as often as its
     share of the sample); the driver receives one row a language and bucket."""
@@ -87,7 +101,7 @@ def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
     sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return [], np.zeros((0, buckets))
+        return [], np.zeros((int(background), buckets))
     share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, sample / n)))
                          for k, n in sizes.items()])
     picked = (rows.filter(F.pmod("ticket", F.lit(1 << 20)) < share * (1 << 20))
@@ -102,6 +116,10 @@ def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
             for k in set(langs):
                 own = langs == k
                 total[k] = total.get(k, 0) + np.bincount(bucket[own], n[own], buckets)
+            if background:
+                mixed = pa.array([shuffled(t) for t in b.column("text").to_pylist()], pa.string())
+                _, bucket, n = gram_counts(mixed, buckets)
+                total[None] = total.get(None, 0) + np.bincount(bucket, n, buckets)
         for k, v in total.items():
             some = np.flatnonzero(v)
             yield arrow_batch(schema, lang=[k] * len(some), bucket=some,
@@ -109,11 +127,24 @@ def learn(labelled: DataFrame, sample: int = SAMPLE_PER_LANGUAGE,
 
     counted = (on_executors(picked).mapInArrow(count, "lang string, bucket long, n long")
                .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())
-    table_ = np.full((len(languages), buckets), SMOOTHING)
-    at = {k: i for i, k in enumerate(languages)}
+    table_ = np.full((len(languages) + background, buckets), SMOOTHING)
+    at = {k: i for i, k in enumerate([*languages, None])}
     row = np.array([at[k] for k in counted.column("lang").to_pylist()], np.int64)
     table_[row, counted.column("bucket").to_numpy()] += counted.column("n").to_numpy()
-    return languages, np.log(table_ / table_.sum(axis=1, keepdims=True))
+    table_ /= table_.sum(axis=1, keepdims=True)
+    if background:
+        table_[-1] = (table_[-1] + 1 / buckets) / 2
+    return languages, np.log(table_)
+
+
+def margins(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, weight: np.ndarray,
+            log_likelihood: np.ndarray, background: np.ndarray) -> np.ndarray:
+    """By how much each document's mixture beats the background, penalty included."""
+    if not len(log_likelihood):
+        return np.zeros(len(weight))
+    own = (weight[doc] * np.exp(log_likelihood.T[bucket])).sum(axis=1)
+    gain = np.bincount(doc, count * (np.log(own) - background[bucket]), len(weight))
+    return gain + np.log(np.maximum(np.bincount(doc, count, len(weight)), 2))
 
 
 def mixtures(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, n_docs: int,
@@ -188,17 +219,22 @@ def mixtures(doc: np.ndarray, bucket: np.ndarray, count: np.ndarray, n_docs: int
 
 def predict(docs: DataFrame, languages: list[str], log_likelihood: np.ndarray) -> DataFrame:
     """The rows of ``docs`` (one struct column ``row`` and ``text``) with
-    ``lang_pred``, ``score`` and ``mixture`` (proportion by language)."""
+    ``lang_pred``, ``score``, ``mixture`` (proportion by language) and ``margin``
+    (NULL without a background, 0 where nothing was learned)."""
     schema = T.StructType([docs.schema["row"], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()),
-                           T.StructField("mixture", T.MapType(T.StringType(), T.DoubleType()))])
+                           T.StructField("mixture", T.MapType(T.StringType(), T.DoubleType())),
+                           T.StructField("margin", T.DoubleType())])
     model = docs.sparkSession.sparkContext.broadcast((languages, log_likelihood))  # languages x buckets
 
     def run(batches):
-        names, loglik = model.value
+        names, rows = model.value
+        loglik = rows[:len(names)]
         for b in text_slices(batches, limit=STEP_BYTES):
             doc, bucket, count = gram_counts(b.column("text"), loglik.shape[1])
             weight = mixtures(doc, bucket, count, b.num_rows, loglik)
+            margin = (margins(doc, bucket, count, weight, loglik, rows[-1])
+                      if len(rows) > len(names) else [None] * b.num_rows)
             first = weight.argmax(axis=1) if names else np.zeros(b.num_rows, int)
             top = weight.max(axis=1) if names else np.zeros(b.num_rows)
             letters = pc.match_substring_regex(pc.fill_null(b.column("text"), ""), r"\pL")
@@ -207,19 +243,22 @@ def predict(docs: DataFrame, languages: list[str], log_likelihood: np.ndarray) -
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), pa.array(lang), pa.array(np.minimum(top, 1.0)),
                  pa.array([[(names[j], w[j]) for j in np.flatnonzero(w)] for w in weight],
-                          pa.map_(pa.string(), pa.float64()))],
-                ["row", "lang_pred", "score", "mixture"])
+                          pa.map_(pa.string(), pa.float64())),
+                 pa.array(margin, pa.float64())],
+                ["row", "lang_pred", "score", "mixture", "margin"])
 
     return on_executors(docs.select("row", "text")).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text",
-             lang: str = "lang", keep: list[str] | None = None) -> DataFrame:
-    """``row`` (struct of ``keep``, by default the id), lang_pred, score, mixture
-    for each row of ``docs``; the model learns from ``labelled``."""
+             lang: str = "lang", keep: list[str] | None = None,
+             background: bool = False) -> DataFrame:
+    """``row`` (struct of ``keep``, by default the id), lang_pred, score, mixture,
+    margin for each row of ``docs``; the model learns from ``labelled``."""
     model = learn(labelled.select(labelled[doc_id].alias("doc_id"),
                                   labelled[text].cast("string").alias("text"),
-                                  labelled[lang].cast("string").alias("lang")))
+                                  labelled[lang].cast("string").alias("lang")),
+                  background=background)
     rows = docs.select(F.struct(*[docs[c] for c in keep or [doc_id]]).alias("row"),
                        docs[text].cast("string").alias("text"))
     return predict(rows, *model)

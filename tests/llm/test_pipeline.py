@@ -1,6 +1,7 @@
 """The pipeline stage by stage, the registry, and the SQL of the queries."""
 
 import os
+import random
 import subprocess
 import sys
 from collections import Counter
@@ -8,6 +9,7 @@ from hashlib import sha256
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
@@ -103,6 +105,25 @@ def test_clean_documents_stay(steps):
     assert len(DOCUMENTS) == 10
 
 
+def test_gibberish_and_unlearned_scripts_go(spark):
+    given = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    clean = given.filter("length(text) > 100").count()
+    rnd = random.Random(6)
+    random_words = lambda letters: " ".join(
+        "".join(rnd.choice(letters) for _ in range(rnd.randint(2, 9))) for _ in range(80))
+    planted = [(10**9 + i, random_words(letters), "en", "a") for i, letters in enumerate(
+        ["abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшщыэюя", "αβγδεζηθικλμνξοπρστυφχψω",
+         "的一是不了人我在有他这为之大来以个中上们"] * 3)]
+    docs = given.select("doc_id", "text", "lang", "source").unionByName(
+        spark.createDataFrame(planted, "doc_id long, text string, lang string, source string"))
+    kept = C.language_stage(spark, docs.withColumn("lang", F.expr(
+        "if(doc_id < 1000000000, lang, null)")), SF_ORACLE)
+    assert kept.filter("doc_id >= 1000000000").count() == 0
+    letters = given.filter("length(text) > 100 and text rlike '\\\\p{L}'")
+    assert kept.filter("doc_id < 1000000000 and length(text) > 100").count() == letters.count()
+    assert clean > 100
+
+
 def test_executors_need_no_copy_of_the_package(tmp_path):
     """Only the driver's Python finds the package; the workers get it shipped."""
     root = os.path.dirname(os.path.abspath(C.__file__))
