@@ -7,6 +7,7 @@ the written table to the next one.
 1. language id: documents without a letter, those in which no language reaches a
    share of MIN_SHARE, and those that no learned language explains better than the
    background (random letters, unlearned scripts) go; a missing ``lang`` is filled in.
+   Where no row has a ``lang``, nothing is learned and only letterless documents go.
 2. line dedup: cross-site boilerplate lines go out of the texts.
 3. n-gram Jaccard join: of each group of near duplicates the document with the
    smallest id stays, of repeated rows with that id one.
@@ -35,8 +36,10 @@ MIN_SHARE = 0.2
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = identify(docs, training_rows(docs), keep=docs.columns, background=True)
-    kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE) &
-                        (F.col("margin") >= 0))
+    spoken = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SHARE) & (F.col("margin") >= 0)
+    # a document with a letter has score 0 only where nothing could be learned
+    kept = found.filter(spoken | ((F.col("score") == 0) &
+                                  F.col("row").getField("text").cast("string").rlike(r"\p{L}")))
     return kept.select(*[
         (F.coalesce(F.col("row").getField(c), "lang_pred") if c == "lang"
          else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -124,6 +124,13 @@ def test_gibberish_and_unlearned_scripts_go(spark):
     assert clean > 100
 
 
+def test_documents_stay_where_no_row_has_a_language(spark):
+    rows = [(i, t, None, s) for i, t, _, s in DOCUMENTS]
+    kept = rows_of(C.language_stage(spark, documents(spark, rows), SF_SMALL))
+    want = [(i, t, "und", s) for i, t, _, s in rows if any(c.isalpha() for c in t or "")]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+
+
 def test_executors_need_no_copy_of_the_package(tmp_path):
     """Only the driver's Python finds the package; the workers get it shipped."""
     root = os.path.dirname(os.path.abspath(C.__file__))
