@@ -1,6 +1,7 @@
 """Registered queries of this package and their DuckDB SQL."""
 
 from parcelflow.llm.bpe import op2_bpe
+from parcelflow.llm.collocations import OP11_SQL, op11_collocations
 from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
 from parcelflow.llm.language_id import op6_language_mixture
 from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -22,6 +23,7 @@ QUERIES = {
     "op8_secret_scan": op8_secret_scan,
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
+    "op11_collocations": op11_collocations,
 }
 
 ORACLE_SQL = {
@@ -30,4 +32,5 @@ ORACLE_SQL = {
     "op5_ngram_jaccard_join": OP5_SQL,
     "op7_embedding_near_dedup": OP7_SQL,
     "op9_mixing": OP9_SQL,
+    "op11_collocations": OP11_SQL,
 }
