@@ -10,6 +10,7 @@ from parcelflow.llm.pii import op3_pii
 from parcelflow.llm.secrets import op8_secret_scan
 from parcelflow.llm.topk_search import OP4_SQL, op4_exact_topk
 from parcelflow.llm.toxicity import op10_toxicity
+from parcelflow.llm.url_rules import op12_url_rules
 from parcelflow.llm.vector_dedup import OP7_SQL, op7_embedding_near_dedup
 
 QUERIES = {
@@ -24,6 +25,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_toxicity": op10_toxicity,
     "op11_collocations": op11_collocations,
+    "op12_url_rules": op12_url_rules,
 }
 
 ORACLE_SQL = {
