@@ -2,6 +2,7 @@
 
 from parcelflow.llm.bpe import op2_bpe
 from parcelflow.llm.collocations import OP11_SQL, op11_collocations
+from parcelflow.llm.conversations import op13_conversation_repair
 from parcelflow.llm.jaccard_join import OP5_SQL, op5_ngram_jaccard_join
 from parcelflow.llm.language_id import op6_language_mixture
 from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
@@ -26,6 +27,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_collocations": op11_collocations,
     "op12_url_rules": op12_url_rules,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL = {
