@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from parcelflow import oracle
 from parcelflow.operators import checks
-from parcelflow.plans import cleaning, events, faults, serving
+from parcelflow.plans import (
+    cleaning, distributions, events, faults, history, pin_bitmaps, serving, staging, upkeep,
+)
 from parcelflow.functions import AS_OF_DEFAULT
 from parcelflow.plans.build import Models, TableStore
-from parcelflow.session import apply_engine_conf, input_state, scratch_path
+from parcelflow.session import apply_engine_conf, input_state, scratch_path, stored
 from parcelflow.sources import landing, testdata
 
 try:
@@ -48,6 +50,34 @@ def models(spark: SparkSession, sf_dir: str) -> Models:
     return _BUILT[key]
 
 
+def _second_drop(spark: SparkSession, sf_dir: str) -> upkeep.SnapshotUpkeep:
+    """The states built on an earlier drop and an earlier day, then kept up with the
+    given one (K5, K12)."""
+    m = models(spark, sf_dir)
+    if "upkeep" not in m.__dict__:
+        early = AS_OF_DEFAULT - dt.timedelta(days=90)
+        live = lambda raw, day: history.reconciled(
+            staging.stg_violations_current(raw), day)
+        feed = m.raw["npd_violations"]
+        first = upkeep.SnapshotUpkeep.start(
+            history.reconciled(m.stg_violations_historical, early),
+            live(testdata.earlier_live_drop(feed), early), stored)
+        m.__dict__["upkeep"] = first.refresh(live(feed, m.as_of))
+    return m.__dict__["upkeep"]
+
+
+def _snapshot_after_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = models(spark, sf_dir)
+    return _second_drop(spark, sf_dir).snapshot(m.int_dangerous_building_by_pin, m.as_of)
+
+
+UPKEEP_QUERIES = {
+    "snapshot_after_refresh": _snapshot_after_refresh,
+    "rollup_after_refresh": lambda spark, sf_dir: _second_drop(spark, sf_dir).rollup(AS_OF_DEFAULT),
+    "snapshot_changes": lambda spark, sf_dir: _second_drop(spark, sf_dir).change_report(),
+}
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the property funnel, raw feeds → history → rollup → snapshot."""
     return models(spark, SMOKE_DIR).mart_blight_funnel
@@ -89,6 +119,25 @@ DASHBOARD_QUERIES = {
     "dashboard_trend_district_4_2006_to_2008": (serving.live_trend, "trend", ("4", *RANGE)),
 }
 
+# Metrics off the stored serving tables (pin bitmaps, distribution): key -> (function,
+# oracle kind, scope).  The last range begins and ends inside a month.
+ODD_RANGE = (dt.date(2006, 3, 17), dt.date(2008, 6, 11))
+SHORT_RANGE = (dt.date(2007, 2, 10), dt.date(2007, 3, 20))
+STORED_QUERIES = {
+    "stored_funnel": (pin_bitmaps.funnel, "funnel", None),
+    "stored_funnel_district_3": (pin_bitmaps.funnel, "funnel", "3"),
+    "stored_kpis": (pin_bitmaps.kpis, "kpis", None),
+    "stored_kpis_2006_to_2008": (pin_bitmaps.kpis, "kpis", (None, *RANGE)),
+    "stored_kpis_district_2_odd_days": (pin_bitmaps.kpis, "kpis", ("2", *ODD_RANGE)),
+    "stored_funnel_odd_days": (pin_bitmaps.funnel, "funnel", (None, *ODD_RANGE)),
+    "stored_funnel_no_whole_month": (pin_bitmaps.funnel, "funnel", (None, *SHORT_RANGE)),
+    "stored_stages": (pin_bitmaps.stage_distribution, "stages", None),
+    "stored_stages_district_5": (pin_bitmaps.stage_distribution, "stages", "5"),
+    "stored_resolution": (distributions.live_resolution, "resolution", None),
+    "stored_resolution_district_4_odd_days": (distributions.live_resolution, "resolution",
+                                              ("4", *ODD_RANGE)),
+}
+
 # Generic column tests, grouped by layer (Q1-Q4).
 TEST_GROUPS = {
     "dq_staging": ["stg_violations_current", "stg_violations_historical",
@@ -116,6 +165,15 @@ def _dashboard_query(fn, scope):
     return run
 
 
+def _stored_query(fn, scope):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = models(spark, sf_dir)
+        if fn is distributions.live_resolution:
+            return fn(m.days_distribution, m.mart_dashboard, m.as_of, scope)
+        return fn(m.pin_sets, scope)
+    return run
+
+
 def _scorecards(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = models(spark, sf_dir)
     return serving.scorecards(m.mart_blight_funnel, m.mart_council_district)
@@ -148,7 +206,7 @@ def _land_all_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _write_feed(spark: SparkSession, sf_dir: str) -> str:
-    feed = testdata.raw_npd_violations(spark, sf_dir).withColumnRenamed(
+    feed = models(spark, sf_dir).raw["npd_violations"].withColumnRenamed(
         "computed_region_9t2m_phkm", ":@computed_region_9t2m_phkm")
     path = scratch_path(spark, "landing", uuid.uuid4().hex)
     feed.select(*[F.col(f"`{c}`") for c in feed.columns]).write.json(path)
@@ -186,7 +244,7 @@ def _listed_without_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _cleaning(kind):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         apply_engine_conf(spark)
-        raw = testdata.raw_feeds(spark, sf_dir)
+        raw = models(spark, sf_dir).raw
         if kind == "ordinance_codes":
             return cleaning.ordinance_codes(raw["npd_violations"], raw["historical_violations"])
         if kind == "numeric_texts":
@@ -210,6 +268,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         name: _model_query(name) for name in MODEL_QUERIES}
     for key, (fn, _, scope) in DASHBOARD_QUERIES.items():
         out[key] = _dashboard_query(fn, scope)
+    for key, (fn, _, scope) in STORED_QUERIES.items():
+        out[key] = _stored_query(fn, scope)
     out["dashboard_scorecards"] = _scorecards
     for key, names in TEST_GROUPS.items():
         out[key] = _test_group(names)
@@ -220,6 +280,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["land_registry_twice"] = _land_registry_twice
     out["numeric_texts"] = _cleaning("numeric_texts")
     out["marts_presented"] = _marts_presented
+    out |= UPKEEP_QUERIES
     for key, fn in EVENT_QUERIES.items():
         out[key] = _events_query(fn)
     out["listed_without_violations"] = _listed_without_violations
@@ -235,6 +296,8 @@ def oracle_sql() -> dict[str, str]:
     out["calendar_violations"] = oracle.calendar_violations_sql()
     for key, (_, kind, scope) in DASHBOARD_QUERIES.items():
         out[key] = oracle.live_sql(kind, scope)
+    for key, (_, kind, scope) in STORED_QUERIES.items():
+        out[key] = oracle.live_sql(kind, scope)
     out["dashboard_scorecards"] = oracle.scorecards_sql()
     for key, names in TEST_GROUPS.items():
         out[key] = oracle.test_summary_sql([t for t in checks.COLUMN_TESTS if t.model in names])
@@ -244,6 +307,9 @@ def oracle_sql() -> dict[str, str]:
     out["land_all_text"] = oracle.sql_for("npd_violations")
     out["land_registry_twice"] = oracle.sql_for("npd_violations")
     out["marts_presented"] = oracle.presented_sql()
+    out["snapshot_after_refresh"] = oracle.sql_for("fact_property_lifecycle")
+    out["rollup_after_refresh"] = oracle.sql_for("int_property_rollup")
+    out["snapshot_changes"] = oracle.snapshot_changes_sql()
     out.update(oracle.EVENTS_SQL)
     out["listed_without_violations"] = oracle.listed_without_violations_sql()
     out.update(oracle.CLEANING_SQL)

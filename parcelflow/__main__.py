@@ -1,6 +1,7 @@
 """Command line: land feeds, build every table, read dashboard metrics.
 
     python -m parcelflow land  --registry feeds.json --raw ROOT [--include-frozen]
+    python -m parcelflow refresh --drops FOLDER --table npd_violations --raw ROOT
     python -m parcelflow build --raw ROOT --out ROOT [--target dev] --as-of 2026-12-01
     python -m parcelflow build --test-tables /root/testdata/sf0.01 --out ROOT
     python -m parcelflow serve --out ROOT [--target dev] --metric funnel [--district 3]
@@ -35,12 +36,14 @@ def _spark() -> SparkSession:
 
 def _raw_feeds(spark: SparkSession, args) -> dict:
     from parcelflow.sources import testdata
+    from parcelflow.sources.publish import Published
     from parcelflow.sources.seeds import builtin_labels, read_labels_csv
 
     if args.test_tables:
         return testdata.raw_feeds(spark, args.test_tables)
-    root = args.raw.rstrip("/")
-    feeds = {t: spark.read.parquet(f"{root}/{t}") for t in
+    published = Published(spark, args.raw)
+    manifest = published.manifest()  # one set of feeds, whatever is landed meanwhile
+    feeds = {t: published.read(t, manifest) for t in
              ("npd_violations", "historical_violations", "dangerous_buildings")}
     feeds["violation_labels"] = (read_labels_csv(spark, args.labels) if args.labels
                                  else builtin_labels(spark))
@@ -49,7 +52,7 @@ def _raw_feeds(spark: SparkSession, args) -> dict:
 
 def _served(spark: SparkSession, args) -> DataFrame:
     """The metric, mart in display order or scorecards that ``serve`` asks for."""
-    from parcelflow.plans import serving
+    from parcelflow.plans import pin_bitmaps, serving
     from parcelflow.plans.build import TableStore
 
     store = TableStore(spark, args.out, args.target)
@@ -58,11 +61,15 @@ def _served(spark: SparkSession, args) -> DataFrame:
                                   store.read("mart_council_district"))
     if args.mart:
         return serving.presented(args.mart, store.read(args.mart))
-    metric = {"funnel": serving.live_funnel, "kpis": serving.live_kpis,
-              "trend": serving.live_trend, "top_types": serving.live_top_types,
-              "resolution": serving.live_resolution, "heatmap": serving.live_heatmap,
-              "stages": serving.live_stage_distribution}[args.metric]
-    return metric(store.read("mart_dashboard"), (args.district, args.first, args.last))
+    scope = (args.district, args.first, args.last)
+    sets = {"funnel": pin_bitmaps.funnel, "kpis": pin_bitmaps.kpis,
+            "stages": pin_bitmaps.stage_distribution}
+    if args.metric in sets:  # distinct properties: off the stored bitmaps
+        tables = [store.read(t) for t in ("pin_months", "pin_days", "pin_flags")]
+        return sets[args.metric](pin_bitmaps.PinSets(*tables), scope)
+    metric = {"trend": serving.live_trend, "top_types": serving.live_top_types,
+              "resolution": serving.live_resolution, "heatmap": serving.live_heatmap}[args.metric]
+    return metric(store.read("mart_dashboard"), scope)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -72,6 +79,10 @@ def main(argv: list[str] | None = None) -> int:
     land.add_argument("--registry", required=True)
     land.add_argument("--raw", required=True)
     land.add_argument("--include-frozen", action="store_true")
+    r = sub.add_parser("refresh")
+    r.add_argument("--drops", required=True)
+    r.add_argument("--table", required=True)
+    r.add_argument("--raw", required=True)
     b = sub.add_parser("build")
     src = b.add_mutually_exclusive_group(required=True)
     src.add_argument("--raw")
@@ -101,6 +112,12 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{table}: landed {len(df.columns)} text columns")
         return 0
 
+    if args.cmd == "refresh":
+        from parcelflow.streaming import refresh_feed
+        rows = refresh_feed(spark, args.drops, args.raw, args.table)
+        print(f"{args.table}: {rows} rows of a new drop" if rows else f"{args.table}: no new drop")
+        return 0
+
     if args.cmd == "build":
         from parcelflow.operators.checks import build_checks
         from parcelflow.plans.build import build

@@ -115,10 +115,12 @@ def salted_lookup_join(big: DataFrame, dim: DataFrame, key: str, salt_from: str,
 
 
 def value_histogram(df: DataFrame, keys: Sequence[str], value: str,
-                    sums: dict[str, Column] | None = None) -> DataFrame:
+                    sums: dict[str, Column] | None = None,
+                    weight: str | None = None) -> DataFrame:
     """Per (keys, value) bucket: ``_rows`` (all rows), ``_c`` (rows with a
     non-NULL value) and one sum per ``sums`` entry; plus ``_cum``, the running
-    ``_c`` in value order, and ``_n``, the key's total ``_c``.
+    ``_c`` in value order, and ``_n``, the key's total ``_c``.  With ``weight``,
+    a row stands for that many.
 
     The bucket aggregate is partial and spread over reducers by (key, value),
     so a hot key is never merged in one task.  Only then does a window per key
@@ -127,8 +129,12 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str,
     sums of the bucket columns.
     """
     extra = [F.sum(c).alias(n) for n, c in (sums or {}).items()]
-    hist = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"),
-                                         F.count(value).alias("_c"), *extra)
+    if weight is None:
+        counts = [F.count(F.lit(1)).alias("_rows"), F.count(value).alias("_c")]
+    else:
+        known = F.when(F.col(value).isNotNull(), F.col(weight)).otherwise(0)
+        counts = [F.sum(weight).alias("_rows"), F.sum(known).alias("_c")]
+    hist = df.groupBy(*keys, value).agg(*counts, *extra)
     upto = Window.partitionBy(*keys).orderBy(value).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     return hist.select("*", F.sum("_c").over(upto).alias("_cum"),

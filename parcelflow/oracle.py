@@ -410,6 +410,37 @@ def sql_for(names: str | list[str], select: str | None = None, extra: str = "")
     return f"WITH {ctes}{more}\n{select or f'SELECT * FROM {names[0]}'}"
 
 
+# ---- upkeep of the snapshot between two drops --------------------------------------
+def snapshot_changes_sql() -> str:
+    """Pins by what the second drop of the live feed does to them: the rows of a pin in
+    both drops are compared as sorted lists."""
+    case = "casenumber::BIGINT"
+    drop1 = f"""
+earlier_drop AS (
+  SELECT * REPLACE (if({case} % 19 = 0, NULL, date_resolved) AS date_resolved)
+  FROM npd_violations WHERE {case} % 17 <> 0 OR violationid LIKE '%-1'
+  UNION ALL
+  SELECT * REPLACE ('x' || violationid AS violationid,
+                    if({case} % 2 = 0, 'x' || trim(pin), pin) AS pin)
+  FROM npd_violations WHERE {case} % 23 = 0 AND violationid LIKE '%-1'),
+earlier_staged AS ({_project(_CURRENT, 'earlier_drop', 'violationid IS NOT NULL')}),
+earlier_rows AS (SELECT {_HISTORY} FROM earlier_staged),
+later_rows AS (SELECT {_HISTORY} FROM stg_violations_current),
+earlier_pins AS (
+  SELECT pin, list(row ORDER BY row) AS rows FROM (
+    SELECT pin, to_json(r) AS row FROM (SELECT * EXCLUDE (days_open) FROM earlier_rows) r
+    WHERE length(pin) > 0) GROUP BY pin),
+later_pins AS (
+  SELECT pin, list(row ORDER BY row) AS rows FROM (
+    SELECT pin, to_json(r) AS row FROM (SELECT * EXCLUDE (days_open) FROM later_rows) r
+    WHERE length(pin) > 0) GROUP BY pin)"""
+    return sql_for(["npd_violations", "stg_violations_current"], """
+SELECT CASE WHEN e.rows IS NULL THEN 'new' WHEN l.rows IS NULL THEN 'gone'
+            WHEN e.rows = l.rows THEN 'same' ELSE 'changed' END AS change,
+  count(*) AS pins, coalesce(sum(len(l.rows)), 0)::BIGINT AS live_rows
+FROM earlier_pins e FULL JOIN later_pins l ON e.pin = l.pin GROUP BY 1""", extra=drop1)
+
+
 # ---- dashboard metrics on the wide table (L1-L10) -------------------------------
 def _scope(scope) -> str:
     district, first, last = scope if isinstance(scope, tuple) else (scope, None, None)

@@ -13,10 +13,10 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from parcelflow.functions import SPINE_START
-from parcelflow.plans import dims, facts, history, marts, staging
+from parcelflow.plans import dims, distributions, facts, history, marts, pin_bitmaps, staging
+from parcelflow.sources.publish import Draft, Manifest, Published
 
 # Build order with the layer of each materialized table; the two
 # intermediates are stored too, because several models read each of them.
@@ -33,6 +33,11 @@ LAYERS = {
     "mart_blight_hotspots": "marts",
     "mart_council_district": "marts",
     "mart_dashboard": "marts",
+    "pin_numbers": "serving",
+    "pin_days": "serving",
+    "pin_months": "serving",
+    "pin_flags": "serving",
+    "days_distribution": "serving",
     "mart_property_points": "marts",
     "mart_resolution_time": "marts",
     "mart_top_violation_types": "marts",
@@ -40,14 +45,22 @@ LAYERS = {
 }
 
 
-# Layout of stored tables: (directory column, sort column).  The wide serving
+# Layout of stored tables: (directory column or None, sort column).  The wide serving
 # table is read with a date range and a council-district filter.  Years are
 # bounded by the fact's date window, so they make the directories; district is
 # free text of the feeds, so it only orders the rows inside the files, where
 # row-group statistics prune it.  Rows are rebalanced by both before the write:
 # AQE splits a hot district's partition and joins small ones, which bounds the
 # number of files.
-LAYOUT = {"mart_dashboard": ("year", "council_district")}
+# The fact is ordered by found date inside the files its DISTINCT leaves, so that a date
+# window prunes row groups without a shuffle of its own.
+LAYOUT = {
+    "mart_dashboard": ("year", "council_district"),
+    "pin_days": ("month", "council_district"),
+    "pin_months": ("month", "council_district"),
+    "days_distribution": ("year", "council_district_sk"),
+    "fact_violation": (None, "date_found"),
+}
 
 
 # Models kept lazy, like views: computed inside whatever reads them.
@@ -56,30 +69,50 @@ VIEWS = ["stg_violations_current", "stg_violations_historical", "stg_dangerous_b
 
 
 class TableStore:
-    """Parquet tables under ``root/<target>/<layer>/<name>``."""
+    """The tables of one target (A8, A11, A12), below ``root/<target>``.
+
+    What a run writes goes into a version of its own, at ``<layer>/<name>`` there, and is
+    read back from it; :meth:`publish` makes the whole set visible at once.  A store that
+    has written nothing reads the set published when it read its first table, to the end.
+    """
 
     def __init__(self, spark: SparkSession, root: str, target: str = "dev"):
         self.spark, self.root, self.target = spark, root.rstrip("/"), target
+        self.published = Published(spark, f"{self.root}/{target}")
+
+    @cached_property
+    def _draft(self) -> Draft:
+        return self.published.draft()
+
+    @cached_property
+    def _manifest(self) -> Manifest:
+        return self.published.manifest()
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{self.target}/{LAYERS.get(name, 'misc')}/{name}"
+        """Where this run writes ``name``."""
+        return self._draft.path(name, f"{LAYERS.get(name, 'misc')}/{name}")
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
-        layout = LAYOUT.get(name)
-        if layout:
-            laid = df.hint("rebalance", *layout).sortWithinPartitions(*layout)
-            laid.write.mode("overwrite").partitionBy(layout[0]).parquet(self.path(name))
+        place = f"{LAYERS.get(name, 'misc')}/{name}"
+        folder, order = LAYOUT.get(name, (None, None))
+        if folder:
+            laid = df.hint("rebalance", folder, order).sortWithinPartitions(folder, order)
+            laid.write.partitionBy(folder).parquet(self.path(name))
         else:
-            df.write.mode("overwrite").parquet(self.path(name))
+            laid = df.sortWithinPartitions(order) if order else df
+            laid.write.parquet(self.path(name))
+        self._draft.add(name, df, place)
         # Read back with the written schema: partition values keep their
         # type (no inference) and the column order is the model's.
         return self.spark.read.schema(df.schema).parquet(self.path(name)).select(*df.columns)
 
+    def publish(self) -> Manifest:
+        """Switch readers of the target to the tables of this run."""
+        return self._draft.publish()
+
     def read(self, name: str) -> DataFrame:
-        """A stored table; a directory column is a whole number."""
-        df = self.spark.read.parquet(self.path(name))
-        layout = LAYOUT.get(name)
-        return df.withColumn(layout[0], F.col(layout[0]).cast("bigint")) if layout else df
+        """A published table."""
+        return self.published.read(name, self._manifest)
 
 
 class Models:
@@ -155,6 +188,33 @@ class Models:
         return self._keep("fact_property_lifecycle", facts.fact_property_lifecycle(
             self.int_property_rollup, self.int_dangerous_building_by_pin))
 
+    # serving tables
+    @cached_property
+    def pin_numbers(self) -> DataFrame:
+        return self._keep("pin_numbers", pin_bitmaps.pin_numbers(
+            self.dim_property, self.fact_property_lifecycle))
+
+    @cached_property
+    def pin_days(self) -> DataFrame:
+        return self._keep("pin_days", pin_bitmaps.pin_days(self.mart_dashboard, self.pin_numbers))
+
+    @cached_property
+    def pin_months(self) -> DataFrame:
+        return self._keep("pin_months", pin_bitmaps.pin_months(self.pin_days))
+
+    @cached_property
+    def pin_flags(self) -> DataFrame:
+        return self._keep("pin_flags", pin_bitmaps.pin_flags(self.pin_numbers))
+
+    @cached_property
+    def pin_sets(self) -> pin_bitmaps.PinSets:
+        return pin_bitmaps.PinSets(self.pin_months, self.pin_days, self.pin_flags)
+
+    @cached_property
+    def days_distribution(self) -> DataFrame:
+        return self._keep("days_distribution",
+                          distributions.days_distribution(self.fact_violation))
+
     # marts
     @cached_property
     def mart_blight_funnel(self) -> DataFrame:
@@ -168,8 +228,9 @@ class Models:
 
     @cached_property
     def mart_council_district(self) -> DataFrame:
-        return self._keep("mart_council_district", marts.mart_council_district(
-            self.fact_violation, self.fact_property_lifecycle, self.dim_council_district))
+        return self._keep("mart_council_district", distributions.council_district(
+            self.days_distribution, self.pin_sets.by_district(), self.fact_property_lifecycle,
+            self.dim_council_district))
 
     @cached_property
     def mart_dashboard(self) -> DataFrame:
@@ -184,8 +245,8 @@ class Models:
 
     @cached_property
     def mart_resolution_time(self) -> DataFrame:
-        return self._keep("mart_resolution_time", marts.mart_resolution_time(
-            self.fact_violation, self.dim_council_district))
+        return self._keep("mart_resolution_time", distributions.resolution_time(
+            self.days_distribution, self.dim_council_district))
 
     @cached_property
     def mart_top_violation_types(self) -> DataFrame:
@@ -194,8 +255,8 @@ class Models:
 
     @cached_property
     def mart_violations_trend(self) -> DataFrame:
-        return self._keep("mart_violations_trend",
-                          marts.mart_violations_trend(self.fact_violation))
+        return self._keep("mart_violations_trend", distributions.violations_trend(
+            self.days_distribution, self.as_of))
 
     @cached_property
     def calendar_violations(self) -> DataFrame:
@@ -208,10 +269,12 @@ class Models:
 
 def build(raw: dict[str, DataFrame], as_of: dt.date, root: str, target: str = "dev",
           start: dt.date = SPINE_START, checks=None) -> Models:
-    """Materialize every table in dependency order (the ordered build).
+    """Materialize every table in dependency order (the ordered build), then publish them
+    at once.
 
     ``checks`` (see ``parcelflow.operators.checks``) runs after each table;
-    an error-severity failure stops the build before downstream tables.
+    an error-severity failure stops the build before downstream tables.  A build that
+    stops, for whatever reason, leaves the target's published tables as they were.
     """
     spark = next(iter(raw.values())).sparkSession
     m = Models(raw, as_of, start, TableStore(spark, root, target))
@@ -222,4 +285,5 @@ def build(raw: dict[str, DataFrame], as_of: dt.date, root: str, target: str = "d
         getattr(m, name)
         if checks is not None:
             checks(m, name)
+    m.store.publish()
     return m

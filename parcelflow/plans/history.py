@@ -25,7 +25,11 @@ def int_violations_unioned(current: DataFrame, historical: DataFrame,
     ``as_of`` stands in for the build day.  ``is_resolved`` is recomputed
     from the dates alone and is NULL when the found date is unknown.
     """
-    u = current.unionByName(historical)
+    return reconciled(current.unionByName(historical), as_of)
+
+
+def reconciled(u: DataFrame, as_of: dt.date) -> DataFrame:
+    """Rows of one or more feeds as the history has them."""
     found, res = F.col("date_found"), F.col("date_resolved")
     valid = res >= found
     keep = [c for c in u.columns if c not in ("date_resolved", "is_resolved")]

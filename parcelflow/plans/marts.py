@@ -1,7 +1,7 @@
-"""Analytic marts.
+"""Analytic marts (K13-K21); the district, resolution and trend marts are in
+``distributions``.
 
-Shapes chosen for scale: exact medians from a spread value histogram
-(``operators.median_by``), aggregate before joining to a dimension, take the
+Shapes chosen for scale: aggregate before joining to a dimension, take the
 top-k before joining its attributes (the k rows are then a broadcast of a
 proven size), join the two property-grain tables to each other before the
 violation fact meets them, and salt the fact's hot properties.
@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parcelflow.functions import lat_lng, safe_divide, year_of
-from parcelflow.operators import (
-    median_by, median_of, salted_lookup_join, top_k, unpivot, value_histogram,
-)
+from parcelflow.operators import salted_lookup_join, top_k, unpivot
 
 
 def mart_blight_funnel(lifecycle: DataFrame) -> DataFrame:
@@ -69,47 +67,6 @@ def adhoc_repeat_offenders(lifecycle: DataFrame, dim_property: DataFrame, n: int
                     "current_stage", "ever_dangerous_building")
 
 
-def mart_council_district(fact: DataFrame, lifecycle: DataFrame,
-                          dim_district: DataFrame) -> DataFrame:
-    """Volume, properties, escalation and resolution time per district."""
-    f = fact.select("council_district_sk", "property_sk",
-                    F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
-    v = (f.groupBy("council_district_sk").agg(
-             F.count(F.lit(1)).alias("total_violations"),
-             F.countDistinct("property_sk").alias("distinct_properties"))
-         .join(median_by(f, ["council_district_sk"], "resolved_days", "median_days_to_resolve"),
-               "council_district_sk", "left"))
-    lc = lifecycle.groupBy("council_district_sk").agg(
-        F.count_if("ever_dangerous_building").alias("dangerous_building_count"),
-        safe_divide(F.count_if("ever_dangerous_building"), F.count(F.lit(1)))
-        .alias("pct_escalated_to_dangerous"))
-    d = dim_district.select("council_district_sk", "council_district", "district_label")
-    return (d.join(v, "council_district_sk", "left").join(lc, "council_district_sk", "left")
-            .select("council_district", "district_label", "total_violations",
-                    "distinct_properties", "dangerous_building_count",
-                    "pct_escalated_to_dangerous", "median_days_to_resolve"))
-
-
-def mart_resolution_time(fact: DataFrame, dim_district: DataFrame) -> DataFrame:
-    """Median and mean days to resolve per year and district, resolved only.
-
-    Grouping by the district key equals grouping by the district (the key is
-    a hash of it), so the aggregate runs before the join.
-    """
-    f = fact.select(year_of("date_found").alias("year"), "council_district_sk",
-                    F.when(F.col("is_resolved"), F.col("days_open")).alias("resolved_days"))
-    keys = ["year", "council_district_sk"]
-    # Both measures come off one (key, day) histogram: no second aggregate.
-    h = value_histogram(f, keys, "resolved_days",
-                        {"_days": F.col("resolved_days")})
-    per = h.groupBy(*keys).agg(
-        median_of("resolved_days").alias("median_days_to_resolve"),
-        F.try_divide(F.sum("_days").cast("double"), F.sum("_c")).alias("avg_days_to_resolve"))
-    d = dim_district.select("council_district_sk", "council_district")
-    return per.join(d, "council_district_sk").select(
-        "year", "council_district", "median_days_to_resolve", "avg_days_to_resolve")
-
-
 def mart_top_violation_types(fact: DataFrame, dim_type: DataFrame, n: int = 20) -> DataFrame:
     """The 20 most common codes, share of all violations, mean age."""
     counts = fact.groupBy("violation_type_sk").agg(
@@ -124,20 +81,6 @@ def mart_top_violation_types(fact: DataFrame, dim_type: DataFrame, n: int = 20)
     return top_k(j, n, [F.col("violation_count").desc(), F.col("violation_code").asc()])
 
 
-def mart_violations_trend(fact: DataFrame) -> DataFrame:
-    """Violations, resolved count and median age per year and feed."""
-    f = fact.select(year_of("date_found").alias("year"), "source_system", "is_resolved",
-                    "days_open")
-    keys = ["year", "source_system"]
-    # Counts and the median come off one (key, day) histogram.
-    h = value_histogram(f, keys, "days_open",
-                        {"_resolved": F.when(F.col("is_resolved"), 1).otherwise(0)})
-    return h.groupBy(*keys).agg(
-        F.sum("_rows").alias("total_violations"),
-        F.sum("_resolved").cast("bigint").alias("resolved_violations"),
-        median_of("days_open").alias("median_days_open"))
-
-
 def mart_property_points(lifecycle: DataFrame, dim_property: DataFrame) -> DataFrame:
     """Geocoded properties with their snapshot weight for the map."""
     pr = dim_property.where(F.col("latitude").isNotNull() & F.col("longitude").isNotNull())

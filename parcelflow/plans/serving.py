@@ -123,19 +123,21 @@ def _one_row_pair(a: DataFrame, b: DataFrame) -> DataFrame:
 
 # Presentation order of the stored marts (F4): applied when a mart is read for
 # display, not before writing it, so no range shuffle is spent on storage.
+# Column and direction.
 PRESENTATION_ORDER = {
-    "mart_council_district": [F.desc_nulls_last, "total_violations", F.asc, "council_district"],
-    "mart_resolution_time": [F.asc, "year", F.asc, "council_district"],
-    "mart_violations_trend": [F.asc, "year", F.asc, "source_system"],
-    "mart_blight_funnel": [F.asc, "stage_order"],
-    "mart_blight_hotspots": [F.desc, "total_violations", F.asc, "pin"],
-    "mart_top_violation_types": [F.desc, "violation_count", F.asc, "violation_code"],
+    "mart_council_district": [("total_violations", "desc nulls last"), ("council_district", "asc")],
+    "mart_resolution_time": [("year", "asc"), ("council_district", "asc")],
+    "mart_violations_trend": [("year", "asc"), ("source_system", "asc")],
+    "mart_blight_funnel": [("stage_order", "asc")],
+    "mart_blight_hotspots": [("total_violations", "desc"), ("pin", "asc")],
+    "mart_top_violation_types": [("violation_count", "desc"), ("violation_code", "asc")],
 }
+DIRECTIONS = {"asc": F.asc, "desc": F.desc, "desc nulls last": F.desc_nulls_last}
 
 
 def display_order(name: str) -> list[Column]:
-    spec = PRESENTATION_ORDER.get(name, [])
-    return [way(column) for way, column in zip(spec[::2], spec[1::2], strict=True)]
+    return [DIRECTIONS[direction](column)
+            for column, direction in PRESENTATION_ORDER.get(name, [])]
 
 
 def presented(name: str, mart: DataFrame) -> DataFrame:

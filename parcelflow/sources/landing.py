@@ -1,48 +1,52 @@
 """Land newline-delimited JSON feeds as all-text tables.
 
-Two passes, both distributed:
+A feed is read twice, each time distributed:
 
-1. key discovery — every line parsed as ``map<string,string>``, keys
-   exploded and de-duplicated (one shuffle of key names only; the result is
-   the table's column list, so its size is the schema width, not the data);
+1. survey — every line parsed as ``map<string,string>``, keys exploded and
+   de-duplicated (one shuffle of key names only; the result is the table's
+   column list, so its size is the schema width, not the data).  The number of
+   lines and of broken ones are observed on the way;
 2. load — the files read again with an explicit all-``string`` schema built
-   from those keys, so no value is type-guessed: ``1.50`` stays ``1.50``,
-   nested objects and lists stay JSON text, absent keys become NULL, and
-   unknown fields are ignored.
+   from those keys and written, so no value is type-guessed: ``1.50`` stays
+   ``1.50``, nested objects and lists stay JSON text, absent keys become NULL,
+   and unknown fields are ignored.  The rows written are observed on the way.
 
 Column names are sanitized; two keys that sanitize to the same name are an
-error.  A feed with no rows aborts before the target table is touched.
+error.  Broken lines or a feed with no rows stop the run after the first read,
+and whatever stops it, the tables published before stay as they are: all feeds
+of a run become visible at once (:mod:`parcelflow.sources.publish`).
 """
 
 from __future__ import annotations
 
-import uuid
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from parcelflow.functions.columns import whole_object
+from parcelflow.sources.publish import Draft, Published
 
 
 class LandingError(RuntimeError):
     pass
 
 
-# Fixed value: the characters a column name may have.
-NAME_CHARACTERS = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_"
-#: Distinct keys a feed may have; more means data in key names.
+# Fixed value: the characters that a column name cannot have.
+NOT_IN_NAMES = re.compile("[^0-9a-zA-Z_]")
+#: Distinct keys a feed may have (a parameter of each entry point); more means data
+#: in key names, and stops the landing.
 MOST_KEYS = 5_000
 
 
-def sanitize_key(key: str) -> str:
-    """Feed field name → column name (A3): lower case, other characters than
-    :data:`NAME_CHARACTERS` as ``_``, none of those at the ends, and a ``_``
-    before a leading digit."""
-    kept = "".join(c if c in NAME_CHARACTERS else "_" for c in key)
-    kept = kept.lower().strip("_")
-    return f"_{kept}" if kept and kept[0] in "0123456789" else kept
+def column_name(key: str) -> str:
+    """Feed field name → column name (A3): each character that is no ASCII letter, digit
+    or ``_`` becomes ``_``, those at the ends go, letters are lowered, and a leading digit
+    gets a ``_`` before it."""
+    name = NOT_IN_NAMES.sub("_", key).strip("_").lower()
+    return f"_{name}" if name[:1].isdigit() else name
 
 
 def _records(spark: SparkSession, path: str) -> DataFrame:
@@ -52,23 +56,35 @@ def _records(spark: SparkSession, path: str) -> DataFrame:
     return lines.select("value", whole_object("value", "map<string,string>").alias("record"))
 
 
-def refuse_broken_lines(spark: SparkSession, path: str, sample: int = 3) -> None:
-    """Raise :class:`LandingError` with the number of broken lines and a few of
-    them; a feed lands whole or not at all."""
-    broken = _records(spark, path).where("record is null").select("value")
-    shown = [r.value[:80] for r in broken.limit(sample).collect()]
-    if shown:
-        raise LandingError(f"{path}: {broken.count()} lines are no JSON object, such as {shown}")
+@dataclass(frozen=True)
+class Survey:
+    """What the first read of a feed finds: its keys, sorted, its lines and broken lines."""
+    keys: list[str]
+    lines: int
+    broken: int
+
+
+def survey(spark: SparkSession, path: str, most_keys: int = MOST_KEYS) -> Survey:
+    """One read of the feed: the union of the keys of every record (A5), and how many
+    lines it has, blank ones apart, and how many of them are no JSON object."""
+    seen = Observation()
+    records = _records(spark, path).observe(
+        seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("record").isNull()).alias("broken"))
+    keys = (records.select(F.explode(F.map_keys("record")).alias("k")).distinct()
+            .limit(most_keys + 1))
+    found = sorted(r.k for r in keys.collect())
+    if len(found) > most_keys:
+        raise LandingError(f"{path}: over {most_keys} different keys, such as {found[:3]}")
+    return Survey(found, seen.get["lines"], seen.get["broken"])
 
 
-def discover_keys(spark: SparkSession, path: str) -> list[str]:
-    """Union of the keys of every record, sorted (A5, pass 1)."""
-    keys = (_records(spark, path).select(F.explode(F.map_keys("record")).alias("k")).distinct()
-            .limit(MOST_KEYS + 1))
-    found = sorted(r.k for r in keys.collect())
-    if len(found) > MOST_KEYS:
-        raise LandingError(f"{path}: over {MOST_KEYS} different keys, such as {found[:3]}")
-    return found
+def refuse_broken(spark: SparkSession, path: str, found: Survey, shown: int = 3) -> None:
+    """Raise :class:`LandingError` with the number of broken lines and a few of them; a
+    feed lands whole or not at all.  Only a refused feed is read again, for these few."""
+    if found.broken:
+        some = _records(spark, path).where("record is null").limit(shown).collect()
+        raise LandingError(f"{path}: {found.broken} lines are no JSON object, such as "
+                           f"{[r.value[:80] for r in some]}")
 
 
 def column_names(keys: list[str]) -> dict[str, str]:
@@ -76,7 +92,7 @@ def column_names(keys: list[str]) -> dict[str, str]:
     out: dict[str, str] = {}
     seen: dict[str, str] = {}
     for k in keys:
-        name = sanitize_key(k)
+        name = column_name(k)
         if not name:
             raise LandingError(f"key {k!r} has no usable characters")
         if name in seen:
@@ -88,7 +104,7 @@ def column_names(keys: list[str]) -> dict[str, str]:
 
 def read_all_text(spark: SparkSession, path: str, keys: list[str] | None = None) -> DataFrame:
     """The feed as an all-``string`` DataFrame with sanitized, sorted columns."""
-    keys = discover_keys(spark, path) if keys is None else keys
+    keys = survey(spark, path).keys if keys is None else keys
     names = column_names(keys)
     schema = StructType([StructField(k, StringType(), True) for k in keys])
     df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
@@ -96,39 +112,6 @@ def read_all_text(spark: SparkSession, path: str, keys: list[str] | None = None)
     return df.select(*[F.col(f"`{k}`").alias(n) for k, n in cols])
 
 
-def land(spark: SparkSession, path: str, target: str) -> DataFrame:
-    """Truncate-and-load ``target`` from the NDJSON under ``path``.
-
-    The new table is written beside the target and takes its place by a rename
-    only when it is whole; any failure before that leaves the target as it was.
-    """
-    refuse_broken_lines(spark, path)
-    df = read_all_text(spark, path)
-    if df.isEmpty():
-        raise LandingError(f"{path}: feed has no rows; {target} left as it was")
-    replace_table(df, target)
-    return spark.read.parquet(target)
-
-
-def replace_table(df: DataFrame, target: str) -> None:
-    """Write ``df`` beside ``target``, then swap the folders."""
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    target = target.rstrip("/")
-    fresh, old = f"{target}.new-{mark}", f"{target}.old-{mark}"
-    df.write.parquet(fresh)
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    fs = folder(target).getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(folder(target)):
-        _rename(fs, folder(target), folder(old))
-    _rename(fs, folder(fresh), folder(target))
-    fs.delete(folder(old), True)
-
-
-def _rename(fs, source, target) -> None:
-    if not fs.rename(source, target):
-        raise LandingError(f"{source} could not take the place of {target}")
-
-
 @dataclass(frozen=True)
 class Feed:
     """One registered feed (A7): where its drops land and whether it still changes."""
@@ -137,12 +120,31 @@ class Feed:
     mode: str = "live"  # "frozen" feeds are loaded once, skipped on refresh
 
 
+def land(spark: SparkSession, feed: Feed, draft: Draft, most_keys: int = MOST_KEYS) -> int:
+    """Load a feed into a version that is not published yet (A8, A9); its rows."""
+    found = survey(spark, feed.source, most_keys)
+    refuse_broken(spark, feed.source, found)
+    if not found.lines:
+        raise LandingError(f"{feed.source}: feed has no rows; {feed.table} left as it was")
+    written = Observation()
+    df = read_all_text(spark, feed.source, found.keys).observe(
+        written, F.count(F.lit(1)).alias("rows"))
+    df.write.parquet(draft.path(feed.table))
+    if written.get["rows"] != found.lines:
+        raise LandingError(f"{feed.source}: {found.lines} lines, then {written.get['rows']} rows: "
+                           f"the feed changed while it was read; {feed.table} left as it was")
+    draft.add(feed.table, df)
+    return found.lines
+
+
 def land_registry(spark: SparkSession, feeds: list[Feed], raw_root: str,
-                  include_frozen: bool = False) -> dict[str, DataFrame]:
-    """Land every live feed (and the frozen ones when asked) under ``raw_root``."""
-    out = {}
-    for feed in feeds:
-        if feed.mode == "frozen" and not include_frozen:
-            continue
-        out[feed.table] = land(spark, feed.source, f"{raw_root.rstrip('/')}/{feed.table}")
-    return out
+                  include_frozen: bool = False, most_keys: int = MOST_KEYS) -> dict[str, DataFrame]:
+    """Land every live feed (and the frozen ones when asked) under ``raw_root``, and
+    publish them at once; tables of other feeds stay as they are."""
+    published = Published(spark, raw_root)
+    draft = published.draft()
+    landed = [f for f in feeds if include_frozen or f.mode != "frozen"]
+    for feed in landed:
+        land(spark, feed, draft, most_keys)
+    manifest = draft.publish(carry=True)
+    return {f.table: published.read(f.table, manifest) for f in landed}

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from parcelflow.functions import AS_OF_DEFAULT
-from parcelflow.plans import dims, facts, history, marts, serving
+from parcelflow.plans import dims, distributions, facts, history, marts, pin_bitmaps, serving
 
 
 def plan_of(df) -> str:
@@ -30,13 +30,26 @@ def test_no_window_no_cartesian(small_models):
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_medians_use_the_spread_histogram(small_models):
-    # the only window is over the (key, value) histogram, after its partial aggregate
+def test_medians_use_the_stored_distribution(small_models):
+    # no fact scan; the only window is over the (key, value) histogram
     m = small_models
-    p = plan_of(marts.mart_council_district(m.fact_violation, m.fact_property_lifecycle,
-                                            m.dim_council_district))
-    assert "percentile_disc" not in p
-    assert "Window [sum(_c#" in p
+    for df in (distributions.council_district(
+                   m.days_distribution, m.pin_sets.by_district(), m.fact_property_lifecycle,
+                   m.dim_council_district),
+               distributions.resolution_time(m.days_distribution, m.dim_council_district),
+               distributions.violations_trend(m.days_distribution, AS_OF_DEFAULT)):
+        p = plan_of(df)
+        assert "percentile_disc" not in p and "violation_pk" not in p
+        assert "Window [sum(_c#" in p and "fact_violation" not in p
+
+
+def test_bitmaps_read_whole_months_and_only_the_odd_days(small_models):
+    m = small_models
+    months, odd = m.pin_sets.parts(("3", dt.date(2006, 3, 17), dt.date(2008, 6, 11)))
+    assert "(month#" in (p := plan_of(months)) and ">= 200604" in p and "<= 200805" in p
+    assert sorted({r.month for r in odd.select("month").distinct().collect()}) == [200603, 200806]
+    assert "mart_dashboard" not in plan_of(pin_bitmaps.funnel(m.pin_sets))
+    assert m.pin_sets.parts((None, dt.date(2006, 3, 1), dt.date(2008, 5, 31)))[1] is None
 
 
 def test_dashboard_is_salted_and_broadcasts_only_the_hot_keys(small_models):
