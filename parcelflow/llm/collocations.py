@@ -287,27 +287,27 @@ def answers(sent: DataFrame, layout: Layout) -> DataFrame:
     return sent.groupBy("part").applyInArrow(run, "chunk long, frequent binary")
 
 
+#: Ranges whose phrases one task counts by their text.
+RANGES_AT_ONCE = 4
+
+
 def materialised(texts: DataFrame, returned: DataFrame, layout: Layout) -> DataFrame:
-    """lang, phrase, size, n: each chunk's counts of the phrases whose fingerprint is
-    frequent, and with size 0 the words of a language."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()),
-                        ("n", pa.int64())])
+    """part, lang, phrases, sizes, counts (lists): each chunk's counts of the phrases whose
+    fingerprint is frequent, and under the empty phrase the words of a language.  One row
+    holds what a chunk has of a language in a few ranges of fingerprints."""
+    schema = pa.schema([("part", pa.int32()), ("lang", pa.string()),
+                        ("phrases", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())),
+                        ("counts", pa.list_(pa.int64()))])
+    low = np.array(layout.low[::RANGES_AT_ONCE], np.uint64)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         langs = _column(left, "lang").dictionary_encode()
         words = Words(_column(left, "text"))
         lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[words.text]
         names = langs.dictionary.cast(pa.string())
-        out = []
-
-        def emit(codes, phrases, size, counts):
-            out.append(arrow_batch(schema, lang=names.take(pa.array(codes)), phrase=phrases,
-                                   size=np.full(len(codes), size, np.int32),
-                                   n=counts.astype(np.int64)))
-
-        if len(lang):
-            counted = np.bincount(lang, minlength=len(names))
-            emit(np.arange(len(names)), pa.array([""] * len(names)), 0, counted)
+        found = [(np.zeros(len(names), np.int64), np.arange(len(names)),
+                  pa.array([""] * len(names), pa.string()), 0,
+                  np.bincount(lang, minlength=len(names)))]
         wanted = np.sort(np.concatenate([np.zeros(0, np.uint64)] + [
             np.frombuffer(f.as_py(), "<u8") for f in right.column("frequent")]))
         if len(wanted) and len(lang):
@@ -318,7 +318,8 @@ def materialised(texts: DataFrame, returned: DataFrame, layout: Layout) -> DataF
                 begin = words.runs(size)
                 value = prints.of(begin, size)
                 place = np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)
-                begin = begin[wanted[place] == value]
+                hit = wanted[place] == value
+                begin, value = begin[hit], value[hit]
                 if not len(begin):
                     continue
                 same = lang[begin]  # one number for each different run of words
@@ -330,11 +331,46 @@ def materialised(texts: DataFrame, returned: DataFrame, layout: Layout) -> DataF
                 each = [words.names.take(pa.array(words.code[at + k])) for k in range(size)]
                 phrases = (pc.binary_join_element_wise(*each, pa.scalar(" ", pa.large_string()))
                            if size > 1 else each[0])
-                emit(lang[at], phrases.cast(pa.string()), size, counts)
-        return pa.Table.from_batches(out, schema)
+                part = np.searchsorted(low, value[first], "right") - 1
+                found.append((part, lang[at], phrases.cast(pa.string()), size, counts))
+        part, code = (np.concatenate([f[i] for f in found]) for i in (0, 1))
+        order = np.lexsort((code, part))
+        key = part[order] * len(names) + code[order]
+        cuts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else key
+        offsets = pa.array(np.r_[cuts, len(key)], pa.int32())
+        lists = lambda values: pa.ListArray.from_arrays(offsets, values)
+        sizes = np.concatenate([np.full(len(f[1]), f[3], np.int32) for f in found])
+        counts = np.concatenate([f[4] for f in found]).astype(np.int64)
+        return pa.Table.from_batches([arrow_batch(
+            schema, part=part[order][cuts].astype(np.int32),
+            lang=names.take(pa.array(code[order][cuts])),
+            phrases=lists(pa.concat_arrays([f[2] for f in found]).take(pa.array(order))),
+            sizes=lists(pa.array(sizes[order])), counts=lists(pa.array(counts[order])))])
+
+    return (texts.groupBy("chunk").cogroup(returned.groupBy("chunk")).applyInArrow(
+        run, "part int, lang string, phrases array<string>, sizes array<int>, "
+             "counts array<long>"))
+
+
+def counted(held: DataFrame, layout: Layout) -> DataFrame:
+    """lang, phrase, size, f: the sums over all chunks by text, where they reach the least
+    frequency; the words of a language always."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()),
+                        ("f", pa.int64())])
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        lengths = pc.list_value_length(rows.column("phrases")).to_numpy()
+        flat = pa.table({
+            "lang": rows.column("lang").take(pa.array(np.repeat(np.arange(len(lengths)), lengths))),
+            "phrase": pc.list_flatten(rows.column("phrases")),
+            "size": pc.list_flatten(rows.column("sizes")),
+            "f": pc.list_flatten(rows.column("counts"))})
+        summed = flat.group_by(["lang", "phrase", "size"]).aggregate([("f", "sum")])
+        summed = summed.rename_columns([n.removesuffix("_sum") for n in summed.column_names])
+        return summed.filter(pc.or_(pc.greater_equal(summed["f"], layout.least),
+                                    pc.equal(summed["size"], 0))).select(schema.names)
 
-    return (texts.groupBy("chunk").cogroup(returned.groupBy("chunk"))
-            .applyInArrow(run, "lang string, phrase string, size int, n long"))
+    return held.groupBy("part").applyInArrow(run, "lang string, phrase string, size int, f long")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST,
@@ -348,9 +384,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     layout = Layout(total, chunk_bytes, longest, least, spare_bits)
     returned = stored(answers(packs(texts, layout), layout), "answers")
-    return stored(materialised(texts, returned, layout).groupBy("lang", "phrase", "size")
-                  .agg(F.sum("n").alias("f"))
-                  .filter((F.col("f") >= least) | (F.col("size") == 0)), "phrases")
+    return stored(counted(materialised(texts, returned, layout), layout), "phrases")
 
 
 def _part(first: Column | int, size: Column) -> Column:
