@@ -169,10 +169,10 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     names = sorted(r.token for r in known.collect())
     used = F.array(*map(F.lit, names)).cast("array<string>")
     urls = urls.withColumn("used", F.array_sort(F.array_intersect("tokens", used)))
-    index = rules.join(known.select("token", "n").withColumnRenamed("n", "spread"),
-                       F.array_contains("items", F.col("token"))).groupBy(
-        "items", "label", "confidence", "n").agg(
-        F.min_by("token", F.struct("spread", "token")).alias("token"))
+    index = (rules.select("*", F.explode("items").alias("token"))
+             .join(known.withColumnRenamed("n", "spread"), "token")
+             .groupBy("items", "label", "confidence", "n")
+             .agg(F.min_by("token", F.struct("spread", "token")).alias("token")))
     sets = urls.filter(F.size("used") > 0).select("used").distinct()
     order = F.struct(F.negative("confidence"), F.negative("n"), F.negative(F.size("items")), "label",
                      "items")

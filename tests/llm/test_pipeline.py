@@ -71,6 +71,44 @@ def test_awkward_rows_pass_every_stage(spark):
                                                    None: 1})
 
 
+WORDS = [f"w{k}" for k in range(400)]
+A, B, D = (" ".join(random.Random(k).choices(WORDS, k=60)) for k in (1, 2, 3))
+NEAR_A = A.rsplit(" ", 1)[0] + " other"
+
+
+@pytest.mark.parametrize("rows,kept", [
+    ([(5, B), (5, D), (6, A)], [(5, B), (5, D), (6, A)]),  # one id, two texts
+    ([(1, A), (2, A), (2, B)], [(1, A), (2, B)]),  # the copy goes, the other text of its id stays
+    ([(None, A), (None, A), (1, A)], [(1, A)]),
+    ([(None, A), (None, A), (None, B)], [(None, A), (None, B)]),
+    ([(3, A), (3, A), (3, NEAR_A), (7, B)], [(3, None), (7, B)]),
+    ([(2, NEAR_A), (None, A), (9, A)], [(2, NEAR_A)]),
+    ([(4, ""), (4, ""), (5, ""), (None, None), (None, None), (6, " ")],
+     [(4, ""), (5, ""), (None, None), (6, " ")]),
+])
+def test_near_duplicates_are_told_by_text_not_by_id(spark, rows, kept):
+    given = documents(spark, [(i, t, "en", "a") for i, t in rows])
+    found = [(r[0], r[1]) for r in rows_of(C.near_duplicate_stage(spark, given, SF_SMALL))]
+    loose = {i for i, t in kept if t is None and i is not None}  # either of two near copies
+    assert sorted(((i, None if i in loose else t) for i, t in found), key=repr) == sorted(
+        kept, key=repr)
+    again = [(r[0], r[1]) for r in rows_of(C.near_duplicate_stage(
+        spark, given.repartition(7), SF_SMALL))]
+    assert sorted(again, key=repr) == sorted(found, key=repr)
+
+
+def test_every_text_is_kept_or_near_a_kept_one(spark):
+    rnd = random.Random(4)
+    texts = [" ".join(rnd.choices(WORDS, k=rnd.randint(3, 40))) for _ in range(40)]
+    texts += [t.rsplit(" ", 1)[0] + " x" for t in texts if len(t.split()) > 30]
+    rows = [(rnd.choice([None, *range(12)]), rnd.choice(texts), "en", "a") for _ in range(150)]
+    kept = rows_of(C.near_duplicate_stage(spark, documents(spark, rows), SF_SMALL))
+    # the brute force on one id a distinct text
+    number = {t: i for i, t in enumerate(dict.fromkeys(t for _, t, *_ in rows))}
+    group = {r[0]: r[1] for r in near_brute([(i, t, "en", "a") for t, i in number.items()])}
+    assert Counter(group[number[t]] for _, t, *_ in kept) == Counter(set(group.values()))
+
+
 def test_run_returns_the_last_stage_and_leaves_nothing_else(spark, steps):
     folder = scratch_path(spark).rstrip("/").removeprefix("file:")
     before = set(os.listdir(folder))
@@ -81,14 +119,14 @@ def test_run_returns_the_last_stage_and_leaves_nothing_else(spark, steps):
 
 
 def test_registry():
-    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.QUERIES] == [f"op{k}" for k in range(1, 14)]
     assert set(registry.ORACLE_SQL) <= set(registry.QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_ORACLE}/{t}.parquet'")
     df = registry.QUERIES[name](spark, SF_ORACLE)
     found = con.execute(registry.ORACLE_SQL[name])
