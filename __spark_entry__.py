@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from parcelflow import oracle
 from parcelflow.operators import checks
 from parcelflow.plans import (
-    cleaning, distributions, events, faults, history, pin_bitmaps, serving, staging, upkeep,
+    cleaning, copartitioned, distributions, events, faults, history, pin_bitmaps, serving, staging, upkeep,
 )
-from parcelflow.functions import AS_OF_DEFAULT
+from parcelflow.functions import AS_OF_DEFAULT, surrogate_key
 from parcelflow.plans.build import Models, TableStore
 from parcelflow.session import apply_engine_conf, input_state, scratch_path, stored
 from parcelflow.sources import landing, testdata
@@ -71,7 +71,31 @@ def _snapshot_after_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _second_drop(spark, sf_dir).snapshot(m.int_dangerous_building_by_pin, m.as_of)
 
 
+def _copartitioned(third_in_one: bool):
+    """The wide table off the stored archive and live parts of the fact (C5); or with a
+    third of the rows and more under one property."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = models(spark, sf_dir)
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = scratch_path(spark, "buckets", uuid.uuid4().hex)
+        fact = m.fact_violation
+        if third_in_one:
+            fact = fact.withColumn("property_sk", F.when(
+                F.col("violation_id").rlike("-[12]$"), surrogate_key(F.lit("UNKNOWN")))
+                .otherwise(F.col("property_sk")))
+        parts = [copartitioned.StoredFact.write(fact.where(test), f"{path}/{name}", buckets)
+                 for name, test in (("archive", "source_system = 'historical'"),
+                                    ("live", "source_system <> 'historical'"))]
+        attributes = copartitioned.stored_attributes(
+            m.dim_property, m.fact_property_lifecycle, f"{path}/attributes", buckets)
+        return copartitioned.wide_table(parts, attributes, m.dim_violation_type,
+                                        m.dim_council_district)
+    return run
+
+
 UPKEEP_QUERIES = {
+    "wide_off_buckets": _copartitioned(False),
+    "wide_off_buckets_hot_property": _copartitioned(True),
     "snapshot_after_refresh": _snapshot_after_refresh,
     "rollup_after_refresh": lambda spark, sf_dir: _second_drop(spark, sf_dir).rollup(AS_OF_DEFAULT),
     "snapshot_changes": lambda spark, sf_dir: _second_drop(spark, sf_dir).change_report(),
@@ -309,6 +333,8 @@ def oracle_sql() -> dict[str, str]:
     out["marts_presented"] = oracle.presented_sql()
     out["snapshot_after_refresh"] = oracle.sql_for("fact_property_lifecycle")
     out["rollup_after_refresh"] = oracle.sql_for("int_property_rollup")
+    out["wide_off_buckets"] = oracle.sql_for("mart_dashboard")
+    out["wide_off_buckets_hot_property"] = oracle.hot_property_sql()
     out["snapshot_changes"] = oracle.snapshot_changes_sql()
     out.update(oracle.EVENTS_SQL)
     out["listed_without_violations"] = oracle.listed_without_violations_sql()

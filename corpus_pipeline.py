@@ -9,13 +9,16 @@ the written table to the next one.
    background (random letters, unlearned scripts) go; a missing ``lang`` is filled in.
    Where no row has a ``lang``, nothing is learned and only letterless documents go.
 2. line dedup: cross-site boilerplate lines go out of the texts.
-3. n-gram Jaccard join: of each group of near duplicates the document with the
-   smallest id stays, of repeated rows with that id one.
+3. n-gram Jaccard join: of each group of near duplicate texts one row stays, that with
+   the smallest id (a missing one comes last; then by hashes of text and row).  Rows are
+   judged by their texts, whatever their ids: of rows with one id and texts that don't
+   resemble each other each stays, of copies with clashing or missing ids one.  Of texts
+   without a word only rows that repeat id and text go.
 4. mixing: documents fill the token budgets of their sources; a document that the
    mix holds several times appears in as many rows.
 5. BPE: token counts and digests of the ids and of the decoded text.
 
-Rows with a NULL id pass stages 1 to 4 like any other row.
+Rows with a NULL id go through stages 1 to 4 like any other row.
 """
 
 from __future__ import annotations
@@ -50,13 +53,20 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = (near_duplicates(docs).filter("doc_id = class_id and doc_id = copy_of")
-            .select(F.col("doc_id").alias("_kept")).distinct())
-    found = docs.join(kept, docs["doc_id"] == F.col("_kept"), "left_semi")
-    row = F.struct(*[docs[c] for c in docs.columns])
-    single = found.groupBy("doc_id").agg(
-        F.min_by(row, F.struct(F.col("text").isNull(), "text", F.xxhash64(row))).alias("_row"))
-    return single.select("_row.*").unionByName(docs.filter("doc_id is null"))
+    # rows are told apart by a number of their own: ids may clash or be missing
+    numbered = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+                      .withColumn("at", F.monotonically_increasing_id()), "numbered")
+    one, text = F.col("row").getField("doc_id"), F.col("row").getField("text").cast("string")
+    classes = near_duplicates(numbered.select(F.col("at").alias("doc_id"), text.alias("text")))
+    keys = numbered.select("at", one.cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"),
+                           F.xxhash64(F.lit("second"), text).alias("k2"),
+                           F.xxhash64("row").alias("k3"))
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "k3", "at")
+    best = (classes.select(F.col("doc_id").alias("at"), "class_id").join(keys, "at")
+            .groupBy("class_id").agg(F.min(rank).alias("best")).select("best.*"))
+    # texts without a word link with nothing: of those only repeated rows go
+    kept = best.groupBy("doc_id", "k1", "k2").agg(F.min_by("at", F.struct("k3", "at")).alias("at"))
+    return (numbered.join(stored(kept.select("at"), "kept"), "at", "left_semi").select("row.*"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@
 A check yields offending rows (for unique and accepted_values: one row per
 offending value); zero rows passes.  ``warn`` failures are
 reported, ``error`` failures stop a build.  For the summary, every
-not_null and accepted_values test of one table runs in one aggregate pass;
-unique is a grouped count; relationships is an anti join.
+not_null and accepted_values test of one table runs in one aggregate pass, and
+all unique and relationships tests together in one grouped count of key hashes
+(:func:`key_failures`).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -92,51 +93,110 @@ def failing_rows(test: ColumnTest, df: DataFrame, parent: DataFrame | None = Non
     raise ValueError(test.kind)
 
 
-def _summary_row(model: str, column: str, kind: str, severity: str, failures) -> DataFrame:
-    return failures.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                           F.lit(kind).alias("test"), F.lit(severity).alias("severity"),
-                           F.col("failures").cast("bigint"))
+def _scan_failures(df: DataFrame, tests: list[ColumnTest]) -> list[int]:
+    """Failures of a table's not_null and accepted_values tests, in one pass."""
+    aggs = []
+    for i, t in enumerate(tests):
+        c = F.col(t.column)
+        if t.kind == "not_null":  # failing rows
+            aggs.append(F.count_if(c.isNull()).alias(f"f{i}"))
+        else:  # failing distinct values
+            aggs.append(F.count_distinct(F.when(~c.isin(*t.values), c)).alias(f"f{i}"))
+    return list(df.agg(*aggs).first())
+
+
+Key = tuple[str, str]
+#: Bits of the hash that keys are grouped by (fewer only in tests).
+KEY_BITS = 64
+
+
+def _hashes(column: str, bits: int = KEY_BITS) -> tuple[Column, Column]:
+    """The hash that keys are grouped by, and one that tells collisions apart."""
+    c = F.col(column).cast("string")
+    return F.shiftrightunsigned(F.xxhash64(c), 64 - bits), F.xxhash64(F.lit("second"), c)
+
+
+def _domains(tests: list[ColumnTest]) -> dict[Key, list[Key]]:
+    """For each column that is unique or a parent: itself, then the columns whose values
+    must be among its own."""
+    out: dict[Key, list[Key]] = {}
+    for t in tests:
+        own = (t.model, t.column) if t.kind == "unique" else t.parent
+        held = out.setdefault(own, [own])
+        if t.kind == "relationships" and (t.model, t.column) not in held:
+            held.append((t.model, t.column))
+    return out
+
+
+def key_failures(tables: Callable[[str], DataFrame], tests: list[ColumnTest],
+                 bits: int = KEY_BITS) -> list[int]:
+    """Failures of unique and relationships tests: all of them by one exchange of keys.
+
+    Every table is read once and gives a (domain, slot, hash) row for each of its tested
+    keys; the rows of all tables are stacked and counted by domain and hash, with
+    partial aggregates, so a key of a third of all rows arrives as one row a task.  A
+    hash that a domain's own column has twice is a repeated key, one that it lacks is
+    an orphan of the slots that have it.  Where two keys share a hash (a second one
+    tells), the tests of their domain count these keys again by value."""
+    if not tests:
+        return []
+    domains = _domains(tests)
+    number = {d: i for i, d in enumerate(domains)}
+    slots = max(map(len, domains.values()))
+    rows = []
+    for model in {m: None for held in domains.values() for m, _ in held}:
+        emitted = [F.struct(F.lit(number[d]).alias("domain"), F.lit(slot).alias("slot"),
+                            F.col(c).isNotNull().alias("known"), _hashes(c, bits)[0].alias("h"),
+                            _hashes(c, bits)[1].alias("h2"))
+                   for d, held in domains.items() for slot, (m, c) in enumerate(held) if m == model]
+        rows.append(tables(model).select(F.inline(F.array(*emitted))).where("known"))
+    counted = reduce(DataFrame.unionByName, rows).groupBy("domain", "h").agg(
+        *[F.count_if(F.col("slot") == s).alias(f"n{s}") for s in range(slots)],
+        (F.min("h2") != F.max("h2")).alias("mixed"))
+    aggs = []
+    for i, t in enumerate(tests):
+        own = (t.model, t.column) if t.kind == "unique" else t.parent
+        here = (F.col("domain") == number[own]) & ~F.col("mixed")
+        if t.kind == "unique":
+            aggs.append(F.count_if(here & (F.col("n0") > 1)).alias(f"f{i}"))
+        else:
+            n = F.col(f"n{domains[own].index((t.model, t.column))}")
+            aggs.append(F.coalesce(F.sum(F.when(here & (F.col("n0") == 0), n)), F.lit(0))
+                        .alias(f"f{i}"))
+    shared = F.collect_set(F.when(F.col("mixed"), F.col("domain"))).alias("shared")  # of few domains
+    found = counted.agg(*aggs, shared).first()
+    out = list(found)[:-1]
+    for i, t in enumerate(tests):
+        own = (t.model, t.column) if t.kind == "unique" else t.parent
+        if number[own] in found.shared:
+            clash = counted.where(F.col("mixed") & (F.col("domain") == number[own])).select("h")
+            some = lambda df, c: df.where(F.col(c).isNotNull()).withColumn(
+                "h", _hashes(c, bits)[0]).join(clash, "h", "left_semi").drop("h")  # noqa: B023
+            parent = some(tables(t.parent[0]), t.parent[1]) if t.parent else None
+            out[i] += failing_rows(t, some(tables(t.model), t.column), parent).count()
+    return out
 
 
 def test_summary(tables: Callable[[str], DataFrame], tests: list[ColumnTest] = COLUMN_TESTS,
                  models: list[str] | None = None) -> DataFrame:
     """One row per test: model, column_name, test, severity, failures."""
     pick = [t for t in tests if models is None or t.model in models]
-    parts: list[DataFrame] = []
-    by_model: dict[str, list[ColumnTest]] = {}
-    for t in pick:
-        by_model.setdefault(t.model, []).append(t)
-    for model, ts in by_model.items():
-        df = tables(model)
-        scans = [t for t in ts if t.kind in ("not_null", "accepted_values")]
-        if scans:
-            aggs = []
-            for i, t in enumerate(scans):
-                c = F.col(t.column)
-                if t.kind == "not_null":  # failing rows
-                    aggs.append(F.count_if(c.isNull()).alias(f"f{i}"))
-                else:  # failing distinct values
-                    aggs.append(F.count_distinct(F.when(~c.isin(*t.values), c)).alias(f"f{i}"))
-            one = df.agg(*aggs)
-            stack = unpivot_counts(one, len(scans))
-            meta = df.sparkSession.createDataFrame(
-                [(i, t.model, t.column, t.kind, t.severity) for i, t in enumerate(scans)],
-                "i int, model string, column_name string, test string, severity string")
-            parts.append(meta.join(stack, "i").select(
-                "model", "column_name", "test", "severity", "failures"))
-        for t in ts:
-            if t.kind in ("unique", "relationships"):
-                parent = tables(t.parent[0]) if t.parent else None
-                n = failing_rows(t, df, parent).agg(F.count(F.lit(1)).alias("failures"))
-                parts.append(_summary_row(t.model, t.column, t.kind, t.severity, n))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def unpivot_counts(one_row: DataFrame, n: int) -> DataFrame:
-    args = [F.lit(n)]
-    for i in range(n):
-        args.extend([F.lit(i), F.col(f"f{i}")])
-    return one_row.select(F.stack(*args)).toDF("i", "failures")
+    spark = tables(pick[0].model).sparkSession
+    return spark.createDataFrame(
+        [(t.model, t.column, t.kind, t.severity, n) for t, n in failures_of(tables, pick)],
+        "model string, column_name string, test string, severity string, failures bigint")
+
+
+def failures_of(tables: Callable[[str], DataFrame],
+                tests: list[ColumnTest]) -> list[tuple[ColumnTest, int]]:
+    """Each test with its failures; what comes to the driver is one number a test."""
+    scans = [t for t in tests if t.kind in ("not_null", "accepted_values")]
+    keys = [t for t in tests if t.kind in ("unique", "relationships")]
+    found = dict(zip(keys, key_failures(tables, keys), strict=True))
+    for model in {t.model: None for t in scans}:
+        here = [t for t in scans if t.model == model]
+        found |= zip(here, _scan_failures(tables(model), here), strict=True)
+    return [(t, found[t]) for t in tests]
 
 
 # ---- singular assertions (Q5-Q7) --------------------------------------------
@@ -170,23 +230,33 @@ class CheckFailed(RuntimeError):
     pass
 
 
-def build_checks(report: list | None = None):
-    """A callback for ``plans.build.build``: run a table's tests after it is
-    written; raise on error-severity failures, record warnings."""
-    def run(models, name: str) -> None:
-        tests = [t for t in COLUMN_TESTS if t.model == name]
-        singular = [(k, fn, sev) for k, (m, fn, sev) in SINGULAR.items() if m == name]
-        if not tests and not singular:
-            return
-        rows = []
-        if tests:
-            rows += [(r["test"] + ":" + name + "." + r["column_name"], r["severity"], r["failures"])
-                     for r in test_summary(lambda m: getattr(models, m), tests).collect()]
-        for key, fn, sev in singular:
-            rows.append((key, sev, fn(getattr(models, name)).count()))
-        if report is not None:
-            report.extend(rows)
+class build_checks:  # noqa: N801 - called like a function
+    """What ``plans.build.build`` calls with each table after it is written: the tests of
+    its values and its assertions; and, once all tables are there and before they are
+    published, :meth:`finish`, the key tests of all tables in one exchange.  An
+    error-severity failure stops the build, warnings are recorded."""
+
+    def __init__(self, report: list | None = None, tests: list[ColumnTest] = COLUMN_TESTS):
+        self.report, self.tests = [] if report is None else report, tests
+
+    def _record(self, name: str, rows: list[tuple[str, str, int]]) -> None:
+        self.report.extend(rows)
         errors = [r for r in rows if r[2] and r[1] == "error"]
         if errors:
             raise CheckFailed(f"{name}: {errors}")
-    return run
+
+    def _run(self, models, tests: list[ColumnTest]) -> list[tuple[str, str, int]]:
+        return [(t.name, t.severity, n)
+                for t, n in failures_of(lambda m: getattr(models, m), tests)]
+
+    def __call__(self, models, name: str) -> None:
+        values = [t for t in self.tests if t.model == name
+                  and t.kind in ("not_null", "accepted_values")]
+        rows = self._run(models, values) if values else []
+        rows += [(key, sev, fn(getattr(models, name)).count())
+                 for key, (model, fn, sev) in SINGULAR.items() if model == name]
+        self._record(name, rows)
+
+    def finish(self, models) -> None:
+        self._record("keys", self._run(models, [t for t in self.tests
+                                                if t.kind in ("unique", "relationships")]))

@@ -441,6 +441,16 @@ SELECT CASE WHEN e.rows IS NULL THEN 'new' WHEN l.rows IS NULL THEN 'gone'
 FROM earlier_pins e FULL JOIN later_pins l ON e.pin = l.pin GROUP BY 1""", extra=drop1)
 
 
+def hot_property_sql() -> str:
+    """The wide table where the first two violations of a case have no property."""
+    dashboard = MODELS["mart_dashboard"][1].replace(
+        "RIGHT JOIN fact_violation", "RIGHT JOIN moved_fact")
+    return sql_for(MODELS["mart_dashboard"][0], dashboard, extra=f"""
+moved_fact AS (SELECT * REPLACE (
+  if(violation_id LIKE '%-1' OR violation_id LIKE '%-2', {sk("'UNKNOWN'")}, property_sk)
+  AS property_sk) FROM fact_violation)""")
+
+
 # ---- dashboard metrics on the wide table (L1-L10) -------------------------------
 def _scope(scope) -> str:
     district, first, last = scope if isinstance(scope, tuple) else (scope, None, None)

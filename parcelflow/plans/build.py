@@ -272,8 +272,9 @@ def build(raw: dict[str, DataFrame], as_of: dt.date, root: str, target: str = "d
     """Materialize every table in dependency order (the ordered build), then publish them
     at once.
 
-    ``checks`` (see ``parcelflow.operators.checks``) runs after each table;
-    an error-severity failure stops the build before downstream tables.  A build that
+    ``checks`` (see ``parcelflow.operators.checks``) runs after each table; an
+    error-severity failure stops the build before downstream tables.  The key tests of
+    all tables run at the end, in one exchange, before anything is published.  A build that
     stops, for whatever reason, leaves the target's published tables as they were.
     """
     spark = next(iter(raw.values())).sparkSession
@@ -285,5 +286,7 @@ def build(raw: dict[str, DataFrame], as_of: dt.date, root: str, target: str = "d
         getattr(m, name)
         if checks is not None:
             checks(m, name)
+    if checks is not None:
+        checks.finish(m)
     m.store.publish()
     return m

@@ -104,12 +104,22 @@ def mart_dashboard(fact: DataFrame, dim_type: DataFrame, dim_district: DataFrame
     build, so Spark broadcasts them by their file size or, beyond that, splits
     a hot code's partition.
     """
+    f = salted_lookup_join(fact, property_attributes(dim_property, lifecycle), "property_sk",
+                           salt_from="violation_pk", partitions=partitions, how="left")
+    return wide_rows(f, dim_type, dim_district)
+
+
+def property_attributes(dim_property: DataFrame, lifecycle: DataFrame) -> DataFrame:
+    """What the wide table tells of a property."""
     prop = dim_property.select("property_sk", "pin", "street_address", "neighborhood",
                                "latitude", "longitude")
     lc = lifecycle.select("property_sk", "current_stage", "ever_dangerous_building",
                           "total_violations")
-    f = salted_lookup_join(fact, prop.join(lc, "property_sk", "left"), "property_sk",
-                           salt_from="violation_pk", partitions=partitions, how="left")
+    return prop.join(lc, "property_sk", "left")
+
+
+def wide_rows(f: DataFrame, dim_type: DataFrame, dim_district: DataFrame) -> DataFrame:
+    """The wide rows of fact rows that have their property's attributes."""
     vt = dim_type.select("violation_type_sk", "violation_code", "short_label", "chapter",
                          "violation_description")
     cd = dim_district.select("council_district_sk", "council_district", "district_label")
