@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from parcelflow import oracle
 from parcelflow.operators import checks
 from parcelflow.plans import (
-    cleaning, copartitioned, distributions, events, faults, history, pin_bitmaps, serving, staging, upkeep,
+    cleaning, copartitioned, distributions, events, faults, history, pin_bitmaps, serving, staging, tiles,
+    top_types, upkeep,
 )
 from parcelflow.functions import AS_OF_DEFAULT, surrogate_key
 from parcelflow.plans.build import Models, TableStore
@@ -93,6 +94,16 @@ def _copartitioned(third_in_one: bool):
     return run
 
 
+MAP_BOX = tiles.Box(south=39.05, west=-94.62, north=39.31, east=-94.405)
+MAP_ZOOMS = [4, 7, 10]
+MAP_QUERIES = {
+    "heatmap_tiles": lambda spark, sf_dir: tiles.heatmap(
+        models(spark, sf_dir).point_tiles, MAP_ZOOMS),
+    "points_in_box": lambda spark, sf_dir: tiles.in_box(
+        models(spark, sf_dir).clustered_points, MAP_BOX).drop("code"),
+}
+
+
 UPKEEP_QUERIES = {
     "wide_off_buckets": _copartitioned(False),
     "wide_off_buckets_hot_property": _copartitioned(True),
@@ -157,6 +168,9 @@ STORED_QUERIES = {
     "stored_funnel_no_whole_month": (pin_bitmaps.funnel, "funnel", (None, *SHORT_RANGE)),
     "stored_stages": (pin_bitmaps.stage_distribution, "stages", None),
     "stored_stages_district_5": (pin_bitmaps.stage_distribution, "stages", "5"),
+    "stored_top_types": (top_types.top_types, "top_types", None),
+    "stored_top_types_district_3": (top_types.top_types, "top_types", "3"),
+    "stored_top_types_odd_days": (top_types.top_types, "top_types", (None, *ODD_RANGE)),
     "stored_resolution": (distributions.live_resolution, "resolution", None),
     "stored_resolution_district_4_odd_days": (distributions.live_resolution, "resolution",
                                               ("4", *ODD_RANGE)),
@@ -194,6 +208,8 @@ def _stored_query(fn, scope):
         m = models(spark, sf_dir)
         if fn is distributions.live_resolution:
             return fn(m.days_distribution, m.mart_dashboard, m.as_of, scope)
+        if fn is top_types.top_types:
+            return fn(m.type_cells, m.mart_dashboard, scope, first_depth=4).rows
         return fn(m.pin_sets, scope)
     return run
 
@@ -304,7 +320,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out["land_registry_twice"] = _land_registry_twice
     out["numeric_texts"] = _cleaning("numeric_texts")
     out["marts_presented"] = _marts_presented
-    out |= UPKEEP_QUERIES
+    out |= UPKEEP_QUERIES | MAP_QUERIES
     for key, fn in EVENT_QUERIES.items():
         out[key] = _events_query(fn)
     out["listed_without_violations"] = _listed_without_violations
@@ -333,6 +349,8 @@ def oracle_sql() -> dict[str, str]:
     out["marts_presented"] = oracle.presented_sql()
     out["snapshot_after_refresh"] = oracle.sql_for("fact_property_lifecycle")
     out["rollup_after_refresh"] = oracle.sql_for("int_property_rollup")
+    out["heatmap_tiles"] = oracle.heatmap_tiles_sql(MAP_ZOOMS)
+    out["points_in_box"] = oracle.points_in_box_sql(MAP_BOX)
     out["wide_off_buckets"] = oracle.sql_for("mart_dashboard")
     out["wide_off_buckets_hot_property"] = oracle.hot_property_sql()
     out["snapshot_changes"] = oracle.snapshot_changes_sql()

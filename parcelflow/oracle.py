@@ -10,9 +10,7 @@ the checker; it plans and executes nothing.
 
 from __future__ import annotations
 
-from parcelflow.functions.columns import (
-    AS_OF_DEFAULT, NUMBER_TEXT, SPINE_START, SURROGATE_NULL,
-)
+from parcelflow.functions.columns import AS_OF_DEFAULT, SPINE_START, SURROGATE_NULL
 from parcelflow.plans import faults
 from parcelflow.sources.seeds import VIOLATION_LABELS
 from parcelflow.sources.testdata import DATE_SHIFT_DAYS
@@ -32,8 +30,12 @@ def to_date(x: str) -> str:
             f"THEN TRY_CAST({h} AS DATE) END")
 
 
+# A plain decimal number with an optional exponent, white space around it.
+_NUMBER = r"[ \t\n\r\f\v]*[-+]?(\d+\.?\d*|\.\d+)([eE][-+]?\d+)?[ \t\n\r\f\v]*"
+
+
 def to_double(x: str) -> str:
-    number = (f"CASE WHEN regexp_full_match({x}, '{NUMBER_TEXT}') "
+    number = (f"CASE WHEN regexp_full_match({x}, '{_NUMBER}') "
               f"THEN TRY_CAST({trim_ws(x)} AS DOUBLE) END")
     return f"CASE WHEN isfinite({number}) THEN {number} END"
 
@@ -451,6 +453,23 @@ moved_fact AS (SELECT * REPLACE (
   AS property_sk) FROM fact_violation)""")
 
 
+# ---- the map ------------------------------------------------------------------------
+def heatmap_tiles_sql(zooms: list[int]) -> str:
+    place = "least(floor(({} - {}) / ({}) * 2.0::DOUBLE ** zoom), 2.0::DOUBLE ** zoom - 1)::BIGINT".format
+    return sql_for("mart_property_points", f"""
+SELECT zoom, {place('longitude', '-94.9::DOUBLE', '-94.3::DOUBLE - -94.9::DOUBLE')} AS tile_x,
+  {place('latitude', '38.8::DOUBLE', '39.5::DOUBLE - 38.8::DOUBLE')} AS tile_y,
+  count(*) AS properties, sum(total_violations)::BIGINT AS violations,
+  count_if(ever_dangerous_building)::BIGINT AS dangerous
+FROM mart_property_points, (SELECT unnest({zooms})::INTEGER AS zoom) GROUP BY ALL""")
+
+
+def points_in_box_sql(box) -> str:
+    return sql_for("mart_property_points", f"""
+SELECT * FROM mart_property_points
+WHERE latitude BETWEEN {box.south} AND {box.north} AND longitude BETWEEN {box.west} AND {box.east}""")
+
+
 # ---- dashboard metrics on the wide table (L1-L10) -------------------------------
 def _scope(scope) -> str:
     district, first, last = scope if isinstance(scope, tuple) else (scope, None, None)

@@ -15,7 +15,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from parcelflow.functions import SPINE_START
-from parcelflow.plans import dims, distributions, facts, history, marts, pin_bitmaps, staging
+from parcelflow.plans import (
+    dims, distributions, facts, history, marts, pin_bitmaps, staging, tiles, top_types,
+)
 from parcelflow.sources.publish import Draft, Manifest, Published
 
 # Build order with the layer of each materialized table; the two
@@ -38,7 +40,9 @@ LAYERS = {
     "pin_months": "serving",
     "pin_flags": "serving",
     "days_distribution": "serving",
+    "type_cells": "serving",
     "mart_property_points": "marts",
+    "point_tiles": "serving",
     "mart_resolution_time": "marts",
     "mart_top_violation_types": "marts",
     "mart_violations_trend": "marts",
@@ -52,13 +56,14 @@ LAYERS = {
 # row-group statistics prune it.  Rows are rebalanced by both before the write:
 # AQE splits a hot district's partition and joins small ones, which bounds the
 # number of files.
-# The fact is ordered by found date inside the files its DISTINCT leaves, so that a date
+# The points lie in ranges of their Morton code (``tiles``).  The fact is ordered by found date inside the files its DISTINCT leaves, so that a date
 # window prunes row groups without a shuffle of its own.
 LAYOUT = {
     "mart_dashboard": ("year", "council_district"),
     "pin_days": ("month", "council_district"),
     "pin_months": ("month", "council_district"),
     "days_distribution": ("year", "council_district_sk"),
+    "type_cells": ("year", "place"),
     "fact_violation": (None, "date_found"),
 }
 
@@ -215,6 +220,20 @@ class Models:
         return self._keep("days_distribution",
                           distributions.days_distribution(self.fact_violation))
 
+    @cached_property
+    def type_cells(self) -> DataFrame:
+        return self._keep("type_cells", top_types.type_cells(self.mart_dashboard))
+
+    @cached_property
+    def clustered_points(self) -> DataFrame:
+        """The property points with their Morton code, as they are stored."""
+        return self._keep("mart_property_points", tiles.clustered_points(
+            marts.mart_property_points(self.fact_property_lifecycle, self.dim_property)))
+
+    @cached_property
+    def point_tiles(self) -> DataFrame:
+        return self._keep("point_tiles", tiles.tile_rollup(self.clustered_points))
+
     # marts
     @cached_property
     def mart_blight_funnel(self) -> DataFrame:
@@ -240,8 +259,7 @@ class Models:
 
     @cached_property
     def mart_property_points(self) -> DataFrame:
-        return self._keep("mart_property_points", marts.mart_property_points(
-            self.fact_property_lifecycle, self.dim_property))
+        return self.clustered_points.drop("code")
 
     @cached_property
     def mart_resolution_time(self) -> DataFrame:

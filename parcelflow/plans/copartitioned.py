@@ -74,13 +74,11 @@ class StoredFact:
         return cls(cold, spark.read.parquet(f"{path}/hot"), keys)
 
 
-def wide_table(facts: list[StoredFact], attributes: Buckets, dim_type: DataFrame,
-               dim_district: DataFrame) -> DataFrame:
-    """The wide table (K16) of several stored parts of the fact, such as the archive and
-    the live feed, with attributes in as many buckets."""
-    spark = dim_type.sparkSession
+def joined(facts: list[StoredFact], attributes: Buckets) -> DataFrame:
+    """The rows of several stored parts of the fact with their property's attributes."""
+    spark = facts[0].hot.sparkSession
     about = attributes.read(spark)
-    joined = None
+    out = None
     for fact in facts:
         if fact.cold.number != attributes.number:
             raise ValueError(f"{fact.cold.number} buckets of the fact, "
@@ -88,8 +86,15 @@ def wide_table(facts: list[StoredFact], attributes: Buckets, dim_type: DataFrame
         some = about.join(F.broadcast(fact.hot_keys), KEY, "left_semi")
         rows = fact.cold.read(spark).join(about, KEY, "left").unionByName(
             fact.hot.join(F.broadcast(some), KEY, "left"))
-        joined = rows if joined is None else joined.unionByName(rows)
-    return wide_rows(joined, dim_type, dim_district)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def wide_table(facts: list[StoredFact], attributes: Buckets, dim_type: DataFrame,
+               dim_district: DataFrame) -> DataFrame:
+    """The wide table (K16) of several stored parts of the fact, such as the archive and
+    the live feed, with attributes in as many buckets."""
+    return wide_rows(joined(facts, attributes), dim_type, dim_district)
 
 
 def stored_attributes(dim_property: DataFrame, lifecycle: DataFrame, path: str,
