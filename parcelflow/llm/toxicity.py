@@ -1,13 +1,25 @@
 """Operator 10: toxicity by a weighted finite-state pattern grammar.
 
-Words are read as symbols (insult, threat, target, negation, report, boundary,
-other).  Five small transducers follow them: insult and threat give a match its
-weight, target raises it when the clause addresses somebody, negation lowers it
-within a few words, reported speech lowers it to the end of the clause.
-:func:`compose` builds their product once, one table of (state, symbol) ->
-(state, factor); a clause's score is the sum of its matches' weights times the
-factors on its path.  A document's score is a logistic function of its clause
-scores (their sum, the highest, how many and how dense), never of single words.
+Words and marks are read as symbols (insult, threat verb, subject, modal, copula, target,
+negation, report, quote, colon, ends of clauses and lines, other).  Five transducers
+follow them, each over what it needs to know of a clause:
+
+- insult: an insult counts by its weight, more as a predicate of a target ("you are an
+  idiot"); a target within a few words behind it adds to it ("an idiot like you",
+  "idiot, you are");
+- threat: a threat verb counts once a target follows within a few words, more after a
+  subject, most after subject and modal ("i will kill you"); without a target ("kill
+  time", "the frost will kill the plants") it counts nothing;
+- target: a target before a match raises it;
+- negation: lowers the matches of the next words;
+- reported speech: a report verb lowers what follows in the clause, over a colon too
+  ("he said: you idiot"), and what was quoted just before it ('"you idiot!" he said');
+  a sentence that ends inside quotation marks does not end the clause.
+
+:func:`compose` builds their product once: one table of (state, symbol) -> (state,
+outputs); a clause's score is the sum of what its path puts out.  A document's score is a
+logistic function of its clause scores (their sum, the highest, how many and how dense),
+never of single words.
 
 Learning uses a bounded sample of the labelled rows: on one half, the words and
 word stems that stand in toxic documents far more often enter the insult lexicon
@@ -16,9 +28,9 @@ and function are small by their parameters.
 
 Defined results: NULL, empty and unmatched texts get the score of no clause;
 texts are read whole; without a labelled row the seed words and a default
-function serve; labels of one document that differ count as toxic; repeated rows
-give equal rows; an empty table gives an empty table.  Only the id, text and
-label columns are read.
+function serve; a label over 0 is toxic, labels of one document that differ count as
+toxic; repeated rows give equal rows; an empty table gives an empty table.  Only the id,
+text and label columns are read.
 """
 
 from __future__ import annotations
@@ -26,7 +38,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from itertools import product
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,76 +57,139 @@ LEAST_DOCUMENTS, LEAST_ODDS = 6, 6.0
 STEMS = range(4, 9)
 PREDICT_AT = 0.7
 
-BOUNDARY, OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT = range(7)
+(BOUNDARY, OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, SUBJECT, MODAL, PROMISE, COPULA,
+ QUOTE, COLON, LINE) = range(14)
 # The hand-written part of the lexicon.
 WORDS = {
     INSULT: "idiot idiots stupid moron morons loser losers scum trash pathetic worthless "
             "disgusting clown fool dumb imbecile coward creep",
     THREAT: "kill hurt destroy beat shoot burn stab attack punch töten tuer matar",
-    TARGET: "you your yours yourself he she they them him her these those people du dich dein "
-            "ihr euch sie tu toi ton vous votre usted ustedes ellos",
-    NEGATION: "not never no nobody isn't aren't don't doesn't nicht kein keine niemals pas "
+    TARGET: "you your yours yourself he she they him her these those people du dich dein "
+            "ihr euch sie tu toi ton vous votre usted ustedes ellos them everyone",
+    NEGATION: "not never no nobody isn't aren't don't doesn't won't nicht kein keine niemals pas "
               "jamais nunca tampoco",
     REPORT: "said says wrote writes claimed claims called quoted quote reported according "
             "sagte schrieb dit écrit dijo escribió",
+    SUBJECT: "i we ich wir je nous yo nosotros",
+    MODAL: "will shall gonna going must should werde werden vais allons voy vamos",
+    PROMISE: "i'll we'll they'll he'll she'll",
+    COPULA: "are is am was were be you're they're he's she's bist seid ist sind es êtes sont eres son",
 }
+MARKS = {".": BOUNDARY, "!": BOUNDARY, "?": BOUNDARY, ";": BOUNDARY, "|": BOUNDARY, ":": COLON,
+         "\n": LINE} | dict.fromkeys('"“”«»', QUOTE)
+#: Contracted words that name their target themselves.
+TARGET_COPULA = frozenset(("you're", "they're", "he's", "she's"))
 SEED_WEIGHT, THREAT_WEIGHT = 2.0, 1.0
-NEGATED, REPORTED, AIMED = 0.3, 0.5, 1.3
-NEGATION_REACH = 3
-TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:|\n]")
+NEGATED, REPORTED, AIMED, PREDICATED = 0.3, 0.5, 1.3, 1.2
+#: What a target behind an insult adds of it; what subject and modal add to a threat.
+BEHIND, SUBJECT_GAIN, MODAL_GAIN = 0.3, 1.2, 1.5
+NEGATION_REACH, TARGET_REACH, PREDICATE_REACH, REPORT_REACH = 3, 3, 3, 3
+TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?;:|\n\"“”«»]")
 MATCHED = (INSULT, THREAT)
+ENDS = (BOUNDARY, LINE)
 
 
+@dataclass(frozen=True)
 class Transducer:
-    """``step(state, symbol)`` gives the next state and a factor for a match."""
+    """``step(state, symbol)`` gives the next state and what the step puts out, by name:
 
-    def __init__(self, states: int, step):
-        self.states, self.step = states, step
+    ``now``, a factor of the symbol's own weight; ``behind``, a factor of the last match;
+    ``add``, a weight of its own; ``times``, a factor of all three; ``total``, a factor
+    of the clause so far; ``runs_on``, that the clause does not end here."""
+    start: object
+    step: Callable
 
 
 def insult(state, symbol):
-    return 0, 1.0 if symbol == INSULT else None
+    """(kind, words left): a target, a target with its copula, an insult that has none
+    before it."""
+    kind, left = state
+    if symbol in ENDS:
+        return ("", 0), {}
+    if symbol == INSULT:
+        aimed = kind in ("target", "predicate")  # whom it is for stands before it
+        return (("", 0) if aimed else ("seen", TARGET_REACH),
+                {"now": PREDICATED if kind == "predicate" else 1.0})
+    if symbol == TARGET:
+        return ("target", 1), {"behind": BEHIND} if kind == "seen" else {}
+    if symbol == COPULA and kind in ("target", ""):
+        return (("predicate", PREDICATE_REACH) if kind else ("", 0)), {}
+    return ((kind, left - 1) if left > 1 else ("", 0)), {}
 
 
 def threat(state, symbol):
-    return 0, THREAT_WEIGHT if symbol == THREAT else None
+    """(kind, words left): subject, subject with modal, verb by what stood before it."""
+    kind, left = state
+    if symbol in ENDS:
+        return ("", 0), {}
+    if symbol == TARGET:
+        out = {"verb": 1.0, "subject verb": SUBJECT_GAIN, "modal verb": MODAL_GAIN}.get(kind)
+        return ("subject", 2), {"add": SEED_WEIGHT * THREAT_WEIGHT * out} if out else {}
+    if symbol == THREAT:
+        return ({"subject": "subject verb", "modal": "modal verb"}.get(kind, "verb"), TARGET_REACH), {}
+    if symbol == SUBJECT:
+        return ("subject", 2), {}
+    if symbol == PROMISE or (symbol == MODAL and kind in ("subject", "modal")):
+        return ("modal", 3), {}
+    return ((kind, left - 1) if left > 1 else ("", 0)), {}
 
 
 def target(state, symbol):
-    after = 0 if symbol == BOUNDARY else 1 if symbol == TARGET else state
-    return after, AIMED if state else 1.0
+    after = 0 if symbol in ENDS else 1 if symbol == TARGET else state
+    return after, {"times": AIMED} if state and symbol == INSULT else {}
 
 
 def negation(state, symbol):
-    after = (0 if symbol == BOUNDARY else NEGATION_REACH if symbol == NEGATION
+    after = (0 if symbol in ENDS else NEGATION_REACH if symbol == NEGATION
              else max(state - 1, 0))
-    return after, NEGATED if state else 1.0
+    return after, {"times": NEGATED} if state else {}
 
 
 def report(state, symbol):
-    after = 0 if symbol == BOUNDARY else 1 if symbol == REPORT else state
-    return after, REPORTED if state else 1.0
-
-
-EMITTERS = (Transducer(1, insult), Transducer(1, threat))
-MODIFIERS = (Transducer(2, target), Transducer(NEGATION_REACH + 1, negation),
-             Transducer(2, report))
-
-
-def compose(emitters=EMITTERS, modifiers=MODIFIERS) -> list[list[tuple[int, float]]]:
-    """The product machine: for each state and symbol the next state and the
-    factor of a match (0: the symbol matches nothing).  State 0 is the start."""
-    machines = (*emitters, *modifiers)
-    states = list(product(*(range(m.states) for m in machines)))
-    number = {s: i for i, s in enumerate(states)}
-    rows = []
-    for s in states:
+    """(reported, quotation): no quotation, an open one, or one closed k words ago."""
+    reported, quoted = state
+    out = {"times": REPORTED} if reported else {}
+    if symbol == LINE:
+        return (False, 0), {}
+    if symbol == BOUNDARY:
+        return ((reported, quoted), {"runs_on": True}) if quoted == "open" else ((False, 0), {})
+    if symbol == COLON:  # what is reported goes on behind a colon
+        return ((reported, quoted), {"runs_on": True}) if reported or quoted == "open" else (
+            (False, 0), {})
+    if symbol == QUOTE:
+        return (reported, REPORT_REACH if quoted == "open" else "open"), out
+    if symbol == REPORT:
+        back = quoted != "open" and quoted > 0 and not reported
+        return (True, quoted if quoted == "open" else 0), {"total": REPORTED} if back else out
+    return (reported, quoted if quoted == "open" else max(quoted - 1, 0)), out
+
+
+TRANSDUCERS = (Transducer(("", 0), insult), Transducer(("", 0), threat), Transducer(0, target),
+               Transducer(0, negation), Transducer((False, 0), report))
+#: next state, now, behind, add, total, whether the clause ends
+Move = tuple[int, float, float, float, float, bool]
+
+
+@cache  # once a process
+def compose(machines: tuple[Transducer, ...] = TRANSDUCERS) -> list[list[Move]]:
+    """The product machine: the moves of every state that can be reached, by symbol.
+    State 0 is the start."""
+    start = tuple(m.start for m in machines)
+    number, rows, states = {start: 0}, [], [start]
+    for state in states:  # grows while it is read
         row = []
-        for symbol in range(7):
-            moves = [m.step(x, symbol) for m, x in zip(machines, s, strict=True)]
-            emitted = sum(f for _, f in moves[:len(emitters)] if f is not None)
-            row.append((number[tuple(x for x, _ in moves)],
-                        emitted * math.prod(f for _, f in moves[len(emitters):])))
+        for symbol in range(len(WORDS) + 5):
+            moves = [m.step(x, symbol) for m, x in zip(machines, state, strict=True)]
+            after = tuple(x for x, _ in moves)
+            if after not in number:
+                number[after] = len(states)
+                states.append(after)
+            put = lambda name, f=moves: [o[name] for _, o in f if name in o]
+            times = math.prod(put("times"))
+            runs_on = any(put("runs_on"))
+            row.append((number[after], sum(put("now")) * times, sum(put("behind")) * times,
+                        sum(put("add")) * times, math.prod(put("total")),
+                        symbol in (*ENDS, COLON) and not runs_on))
         rows.append(row)
     return rows
 
@@ -123,19 +200,22 @@ class Grammar:
     def __init__(self, learned: dict[str, float]):
         self.machine = compose()
         self.learned = learned
-        self.known: dict[str, tuple[int, float]] = {c: (BOUNDARY, 0.0) for c in ".!?;:|\n"}
+        self.known: dict[str, tuple[tuple[int, float], ...]] = {
+            c: ((symbol, 0.0),) for c, symbol in MARKS.items()}
         for symbol, words in WORDS.items():
             for w in words.split():
-                self.known[w] = (symbol, SEED_WEIGHT if symbol in MATCHED else 0.0)
-        self.known |= {w: (INSULT, x) for w, x in learned.items() if not w.endswith("*")}
-        self.symbols: dict[str, tuple[int, float]] = {}
-
-    def symbol(self, word: str) -> tuple[int, float]:
-        found = self.known.get(word)
+                read = (symbol, SEED_WEIGHT if symbol in MATCHED else 0.0)
+                self.known[w] = ((TARGET, 0.0), read) if w in TARGET_COPULA else (read,)
+        self.known |= {w: ((INSULT, x),) for w, x in learned.items() if not w.endswith("*")}
+        self.symbols: dict[str, tuple[tuple[int, float], ...]] = {}
+
+    def symbol(self, word: str) -> tuple[tuple[int, float], ...]:
+        """What a word is read as: a symbol with its weight (a contraction: two)."""
+        found = self.known.get(word.replace("’", "'"))
         if not found:  # the longest learned stem
             stem = next((self.learned[s] for k in reversed(STEMS) if len(word) > k
                          and (s := word[:k] + "*") in self.learned), None)
-            found = (OTHER, 0.0) if stem is None else (INSULT, stem)
+            found = ((OTHER, 0.0) if stem is None else (INSULT, stem),)
         if len(self.symbols) > 500_000:
             self.symbols.clear()
         self.symbols[word] = found
@@ -143,19 +223,27 @@ class Grammar:
 
     def clause_scores(self, text: str) -> tuple[list[float], int]:
         """The scores of the matched clauses, and the number of all clauses."""
-        get, symbol = self.symbols.get, self.symbol
-        read = [get(w) or symbol(w) for w in TOKEN.findall(text.lower())]
-        clauses = 1 + sum(s == BOUNDARY for s, _ in read)
+        get, symbol, machine = self.symbols.get, self.symbol, self.machine
+        read = [x for w in TOKEN.findall(text.lower()) for x in get(w) or symbol(w)]
+        clauses = 1 + sum(s in ENDS for s, _ in read)
         if not any(s in MATCHED for s, _ in read):
             return [], clauses
-        scores, state, score = [], 0, 0.0
-        for s, weight in [*read, (BOUNDARY, 0.0)]:
-            state, factor = self.machine[state][s]
-            score += weight * factor
-            if s == BOUNDARY:
+        scores, state, score, last = [], 0, 0.0, 0.0
+        for s, weight in read:
+            state, now, behind, add, total, ends = machine[state][s]
+            if total != 1.0:
+                score *= total
+                last *= total
+            score += behind * last + add
+            if now:
+                last = weight * now
+                score += last
+            if ends:
                 if score > 0:
                     scores.append(score)
-                state, score = 0, 0.0
+                score = last = 0.0
+        if score > 0:
+            scores.append(score)
         return scores, clauses
 
     def features(self, text: str | None) -> tuple[float, ...]:
@@ -190,7 +278,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample: int) -> DataFram
     The sampled labels are bounded by ``sample``, so they may be broadcast.  Rows
     that share an id count once, with the text that sorts first."""
     marked = (labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id")
-              .agg(F.max("toxic").alias("toxic"))
+              .agg((F.max("toxic") > 0).cast("int").alias("toxic"))
               .filter(F.pmod(doc_crc(), F.lit(3)) != 1))
     sizes = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     hashed = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
@@ -246,7 +334,7 @@ def learn(docs: DataFrame, labels: DataFrame,
                .filter(F.col("odds") >= LEAST_ODDS)
                .orderBy(F.desc("odds"), F.desc("toxic_n"), "feature").limit(LEXICON))
     lexicon = {r.feature: math.log(r.odds) for r in counted.select("feature", "odds").collect()
-               if r.feature not in ".!?;:|\n"}
+               if r.feature not in MARKS}
     graded = grade(second.select(F.col("toxic").alias("row"), "text"), lexicon).select(
         "row", "features").toPandas()
     y = (graded["row"].to_numpy() > 0).astype(float)
