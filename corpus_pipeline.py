@@ -53,20 +53,25 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # rows are told apart by a number of their own: ids may clash or be missing
-    numbered = stored(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
-                      .withColumn("at", F.monotonically_increasing_id()), "numbered")
-    one, text = F.col("row").getField("doc_id"), F.col("row").getField("text").cast("string")
-    classes = near_duplicates(numbered.select(F.col("at").alias("doc_id"), text.alias("text")))
-    keys = numbered.select("at", one.cast("long").alias("doc_id"), F.xxhash64(text).alias("k1"),
-                           F.xxhash64(F.lit("second"), text).alias("k2"),
-                           F.xxhash64("row").alias("k3"))
+    # rows are told apart by a number of their own: ids may clash or be missing.  The
+    # columns go by their place, so that no name of theirs meets one used here.
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    text = docs["text"].cast("string")
+    numbered = stored(docs.select(
+        *[docs[c].alias(n) for c, n in place.items()],
+        F.monotonically_increasing_id().alias("at"), F.xxhash64(text).alias("k1"),
+        F.xxhash64(F.lit("second"), text).alias("k2"),
+        F.xxhash64(*[docs[c] for c in docs.columns]).alias("k3")), "numbered")
+    classes = near_duplicates(numbered.select(
+        F.col("at").alias("doc_id"), F.col(place["text"]).cast("string").alias("text")))
+    keys = numbered.select("at", F.col(place["doc_id"]).cast("long").alias("doc_id"), "k1", "k2", "k3")
     rank = F.struct(F.col("doc_id").isNull(), "doc_id", "k1", "k2", "k3", "at")
     best = (classes.select(F.col("doc_id").alias("at"), "class_id").join(keys, "at")
             .groupBy("class_id").agg(F.min(rank).alias("best")).select("best.*"))
     # texts without a word link with nothing: of those only repeated rows go
     kept = best.groupBy("doc_id", "k1", "k2").agg(F.min_by("at", F.struct("k3", "at")).alias("at"))
-    return (numbered.join(stored(kept.select("at"), "kept"), "at", "left_semi").select("row.*"))
+    return (numbered.join(stored(kept.select("at"), "kept"), "at", "left_semi")
+            .select(*[F.col(n).alias(c) for c, n in place.items()]))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
