@@ -8,7 +8,7 @@ from parcelflow.llm.language_id import op6_language_mixture
 from parcelflow.llm.line_dedup import OP1_SQL, op1_line_dedup
 from parcelflow.llm.mixing import OP9_SQL, op9_mixing
 from parcelflow.llm.pii import op3_pii
-from parcelflow.llm.secrets import op8_secret_scan
+from parcelflow.llm.secrets import OP8_SQL, op8_secret_scan
 from parcelflow.llm.topk_search import OP4_SQL, op4_exact_topk
 from parcelflow.llm.toxicity import op10_toxicity
 from parcelflow.llm.url_rules import op12_url_rules
@@ -35,6 +35,7 @@ ORACLE_SQL = {
     "op4_exact_topk": OP4_SQL,
     "op5_ngram_jaccard_join": OP5_SQL,
     "op7_embedding_near_dedup": OP7_SQL,
+    "op8_secret_scan": OP8_SQL,
     "op9_mixing": OP9_SQL,
     "op11_collocations": OP11_SQL,
 }
