@@ -1,13 +1,16 @@
 """Operator 5: near-duplicate join on word n-grams by MinHash banding.
 
 1. One pass over the texts gives each document a 128-bit digest of its word
-   sequence and the hash of each MinHash band.  Band and row counts follow from
-   the target recall at the threshold (:func:`choose_bands`).
+   sequence and its MinHashes.  Band and row counts follow from the target
+   recall at the threshold (:func:`choose_bands`).
 2. Documents with one digest form a class; its smallest id stands for it, so
    thousands of copies cost one candidate.
-3. The representatives are shuffled on (band, band hash).  A bucket with two or
-   more hangs its members on its smallest; the components of these edges hold
-   every candidate pair.
+3. The representatives are shuffled on (band, band hash).  In a bucket of two or
+   more, in blocks, the MinHashes of its members are compared: a pair is a candidate
+   when so many are equal that a pair at the threshold has fewer only with
+   probability LOST (:func:`least_equal`).  So documents that share a template, whose
+   bands collide by the thousand, end here and move no text.  A block pair returns a
+   forest of its candidate pairs, not the pairs; its components hold all of them.
 4. Each component is dealt into blocks of a fixed size, and every pair of blocks
    is a task of its own: it rebuilds the full n-gram sets from the texts, takes
    the pairs that share a band, and verifies the Jaccard similarity exactly.  It
@@ -47,6 +50,10 @@ RECALL = 0.9999
 #: Representatives in one block of a component, and n-grams at most on average.
 BLOCK = 128
 BLOCK_GRAMS = 500_000
+#: Probability that a pair at the threshold is no candidate though it shares a band.
+LOST = 1e-6
+#: Members of a bucket in one block of signatures, and of small buckets in one task.
+BUCKET_BLOCK, BUCKET_ROWS = 1024, 20_000
 #: Text that one MinHash step holds: its arrays stay in the processor's cache.
 SIGN_BYTES = 1 << 20
 
@@ -65,6 +72,17 @@ def choose_bands(threshold: float, recall: float, most_hashes: int = 96) -> tupl
     return best
 
 
+def least_equal(threshold: float, hashes: int, lost: float = LOST) -> int:
+    """The most equal MinHashes to ask of a pair, of ``hashes``, so that one at the
+    threshold has fewer with probability ``lost`` at most."""
+    below, p = 0.0, threshold
+    for k in range(hashes + 1):
+        below += math.comb(hashes, k) * p ** k * (1 - p) ** (hashes - k)
+        if below > lost:
+            return k
+    return hashes
+
+
 class Signer:
     def __init__(self, words: int, bands: int, rows: int, seed: int = 1):
         rng = np.random.default_rng(seed)
@@ -73,51 +91,110 @@ class Signer:
         self.plus = rng.integers(0, 2**32, bands * rows, dtype=np.uint32)
         self.salt = rng.integers(0, 2**63, bands * rows, dtype=np.uint64) | np.uint64(1)
 
-    def band_hashes(self, gram: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """A row for each text that has grams, a column for each band."""
+    def signatures(self, gram: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A row for each text that has grams, a column for each MinHash."""
         start = (np.cumsum(size) - size)[size > 0]
         x = (gram >> np.uint64(32)).astype(np.uint32)
         y = np.empty_like(x)
-        out = np.zeros((len(start), self.bands), np.uint64)
+        out = np.zeros((len(start), self.bands * self.rows), np.uint32)
         if len(start):
             with np.errstate(over="ignore"):
                 for j in range(self.bands * self.rows):
                     np.multiply(x, self.times[j], out=y)
                     np.add(y, self.plus[j], out=y)
-                    low = np.minimum.reduceat(y, start).astype(np.uint64)
-                    band = out[:, j // self.rows]
-                    band[:] = mixed(band + (low + np.uint64(1)) * self.salt[j])
+                    out[:, j] = np.minimum.reduceat(y, start)
+        return out
+
+    def band_hashes(self, gram: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A row for each text that has grams, a column for each band."""
+        low = self.signatures(gram, size).astype(np.uint64)
+        out = np.zeros((len(low), self.bands), np.uint64)
+        with np.errstate(over="ignore"):
+            for j in range(self.bands * self.rows):
+                band = out[:, j // self.rows]
+                band[:] = mixed(band + (low[:, j] + np.uint64(1)) * self.salt[j])
         return out.view(np.int64)
 
 
 def sign(docs: DataFrame, signer: Signer) -> DataFrame:
-    """doc_id, h1, h2 (digest), grams (their number), bands array<long>."""
+    """doc_id, h1, h2 (digest), grams (their number), hashes array<int> (MinHashes)."""
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-                        ("grams", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                        ("grams", pa.int64()), ("hashes", pa.list_(pa.int32()))])
 
     def run(batches):
         for b in text_slices(batches, limit=SIGN_BYTES):
             gram, size = gram_values(b.column("text"), signer.words)
             h1, h2 = sequence_digest(gram, size)
-            hashes = signer.band_hashes(gram, size)
-            offsets = np.r_[0, np.cumsum(np.where(size > 0, signer.bands, 0))]
+            found = signer.signatures(gram, size).view(np.int32)
+            offsets = np.r_[0, np.cumsum(np.where(size > 0, found.shape[1], 0))]
             yield arrow_batch(schema, doc_id=b.column("doc_id"), h1=h1, h2=h2, grams=size,
-                              bands=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                             pa.array(hashes.ravel())))
+                              hashes=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                                              pa.array(found.ravel())))
 
     return on_executors(docs).mapInArrow(
-        run, "doc_id long, h1 long, h2 long, grams long, bands array<long>")
+        run, "doc_id long, h1 long, h2 long, grams long, hashes array<int>")
 
 
-def candidate_components(reps: DataFrame) -> DataFrame:
-    """node, component over the representatives that share a band bucket."""
-    dealt = reps.select("node", F.posexplode("bands").alias("band", "value"))
-    buckets = stored(dealt.groupBy("band", "value")
-                     .agg(F.min("node").alias("first"), F.count("*").alias("n"))
-                     .filter("n > 1").drop("n"), "buckets")
-    return connected_components(
-        dealt.join(buckets, ["band", "value"]).filter("node != first")
-        .select(F.col("node").alias("src"), F.col("first").alias("dst")))
+def similar_signatures(least: int):
+    """The task over small buckets, or over one pair of blocks of a large one: a forest of
+    the pairs of a bucket with ``least`` equal MinHashes."""
+    schema = pa.schema([("src", pa.int64()), ("dst", pa.int64())])
+
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        lo, hi = key[3].as_py(), key[4].as_py()
+        rows = rows.sort_by([("band", "ascending"), ("value", "ascending"), ("node", "ascending")])
+        band, value, node, block = (rows.column(c).to_numpy() for c in
+                                    ("band", "value", "node", "block"))
+        hashes = rows.column("hashes").combine_chunks()
+        hashes = hashes.flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1)
+        nodes, at = np.unique(node, return_inverse=True)
+        left, right = [], []
+        if lo == hi:
+            for step in range(1, len(node)):  # pairs that stand `step` apart in a bucket
+                i = np.flatnonzero((band[step:] == band[:-step]) & (value[step:] == value[:-step]))
+                if not len(i):
+                    break
+                i = i[(hashes[i] == hashes[i + step]).sum(axis=1) >= least]
+                left += at[i].tolist()
+                right += at[i + step].tolist()
+        else:
+            first, second = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+            for i in first:
+                j = second[(hashes[second] == hashes[i]).sum(axis=1) >= least]
+                left += [int(at[i])] * len(j)
+                right += at[j].tolist()
+        roots = _roots(len(nodes), left, right)
+        out = roots != np.arange(len(nodes))
+        return pa.Table.from_batches([arrow_batch(schema, src=nodes[out], dst=nodes[roots[out]])])
+
+    return run
+
+
+def candidate_components(reps: DataFrame, signer: Signer, least: int) -> DataFrame:
+    """node, component over the representatives (node, h1, h2, hashes) that share a band
+    bucket and have ``least`` equal MinHashes."""
+    rows = F.lit(signer.rows)
+    bands = F.transform(F.sequence(F.lit(0), F.lit(signer.bands - 1)),
+                        lambda b: F.xxhash64(F.slice("hashes", b * rows + 1, rows)))
+    dealt = reps.select("node", "h1", "h2", F.posexplode(bands).alias("band", "value"))
+    buckets = stored(dealt.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
+                     .select("band", "value", F.ceil(F.col("n") / F.lit(BUCKET_BLOCK)).cast("int")
+                             .alias("blocks")), "buckets")
+    members = stored(dealt.join(buckets, ["band", "value"]), "bucket-members")
+    tasks = max(1, members.count() // BUCKET_ROWS)
+    small = F.col("blocks") == 1
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    blocks = (members.join(reps.select("node", "h1", "h2", "hashes"), ["node", "h1", "h2"])
+              .withColumn("block", F.pmod(F.xxhash64("node", "h1"), "blocks").cast("int"))
+              .select("*", other.alias("other"))
+              .select("band", "value", "node", "block", "hashes",
+                      F.when(small, F.pmod(F.xxhash64("band", "value"), F.lit(tasks)))
+                      .otherwise(-1).alias("task"),
+                      F.when(small, 0).otherwise(F.col("band")).alias("b"),
+                      F.when(small, 0).otherwise(F.col("value")).alias("v"),
+                      F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+    return connected_components(blocks.groupBy("task", "b", "v", "lo", "hi").applyInArrow(
+        similar_signatures(least), "src long, dst long"))
 
 
 def _roots(n: int, left: list[int], right: list[int]) -> np.ndarray:
@@ -200,10 +277,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     signed = stored(sign(docs, signer), "signed")
     classes = stored(signed.filter("doc_id is not null and grams > 0").groupBy("h1", "h2")
                      .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"),
-                          F.max("grams").alias("grams"), F.first("bands").alias("bands")),
+                          F.max("grams").alias("grams"), F.first("hashes").alias("hashes")),
                      "classes")
-    within = candidate_components(classes)
-    members = classes.drop("bands").join(within, "node")
+    within = candidate_components(classes, signer, least_equal(threshold, signer.bands * signer.rows))
+    members = classes.drop("hashes").join(within, "node")
     sizes = stored(members.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("grams") / F.lit(BLOCK_GRAMS)))
         .cast("int").alias("blocks")), "sizes")

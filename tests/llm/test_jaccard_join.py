@@ -44,6 +44,8 @@ def test_awkward_rows(spark):
 @pytest.mark.parametrize("block", [128, 4])
 def test_against_all_pairs(spark, monkeypatch, block):
     monkeypatch.setattr(J, "BLOCK", block)  # 4: a group's block pairs go to many tasks
+    monkeypatch.setattr(J, "BUCKET_BLOCK", 8 * block)
+    monkeypatch.setattr(J, "BUCKET_ROWS", 100 * block)
     rnd = random.Random(9)
     vocabulary = [f"w{i}" for i in range(60)]
     rows = []
@@ -69,6 +71,30 @@ def test_bands_reach_the_recall():
     assert J.choose_bands(J.THRESHOLD, J.RECALL) == (18, 4)
 
 
+def test_least_equal_hashes():
+    for threshold, hashes in ((0.8, 72), (0.5, 60)):
+        least = J.least_equal(threshold, hashes, 1e-6)
+        below = lambda k: sum(J.math.comb(hashes, i) * threshold ** i * (1 - threshold) ** (hashes - i)  # noqa: E731,B023
+                              for i in range(k))
+        assert below(least) <= 1e-6 < below(least + 1)
+    assert 36 <= J.least_equal(0.8, 72) <= 45
+
+
+def test_a_shared_template_moves_no_text(spark, monkeypatch):
+    """Documents that share half their words collide in bands and are no candidates."""
+    rnd = random.Random(3)
+    header = [f"h{i}" for i in range(100)]
+    rows = [(i, " ".join(header + [f"w{rnd.randrange(10**6)}" for _ in range(100)]), "en", "a")
+            for i in range(1500)]
+    seen = {}
+    real = J.candidate_components
+    monkeypatch.setattr(J, "candidate_components", lambda reps, signer, least: seen.setdefault(
+        "found", real(reps, signer, least)))
+    got = J.near_duplicates(documents(spark, rows)).collect()
+    assert seen["found"].count() == 0
+    assert all(r.n_links == 0 and r.class_id == r.doc_id for r in got) and len(got) == 1500
+
+
 def test_components(spark):
     from parcelflow.llm.graph import connected_components
 
