@@ -60,38 +60,55 @@ def people():
     return rows + [(100 + k, rows[0][1], "en", "a") for k in range(5)]  # copies say no more
 
 
-def brute_terms(rows, terms=P.TERMS, least=P.MIN_CONTEXTS, disclosed=P.DISCLOSED,
-                identifying=P.IDENTIFYING):
-    frequency, together, contexts = Counter(), defaultdict(set), defaultdict(set)
-    mentions, near = defaultdict(set), defaultdict(list)
+def by_documents(rows, prior=P.PRIOR, disclosed=P.DISCLOSED, identifying=P.IDENTIFYING):
+    """id -> (kind, start, end) of the telling terms, counted by whole distinct texts."""
+    texts = sorted({t or "" for _, t, *_ in rows})
+    words, held, near, often = [], [], [], []
+    for t in texts:
+        taken = [s[1:3] for s in P.base_spans(t)]
+        free = [m for m in P.TERM.finditer(t) if not any(a < m.end() and m.start() < b for a, b in taken)]
+        words.append(free)
+        held.append({(s[0], s[3]) for s in P.base_spans(t)})
+        often.append(Counter(m[0].lower() for m in free))
+        beside = defaultdict(set)
+        for kind, a, _, entity in P.base_spans(t):
+            before = [m[0].lower() for m in free if m.start() < a][-P.NEAR:]
+            after = [m[0].lower() for m in free if m.start() >= a][:P.NEAR]
+            beside[kind, entity] |= {*before, *after}
+        near.append(beside)
+    frequency = Counter(w for t in texts for w in {m.lower() for m in P.TERM.findall(t)})
+    inside = Counter(w for t, h in zip(texts, held, strict=True) if h
+                     for w in {m.lower() for m in P.TERM.findall(t)})
+    mentions = Counter(e for h in held for e in h)
+    both = Counter((w, e) for o, h in zip(often, held, strict=True) for w in o for e in h)
+    evident = {(w, e) for o, h, n in zip(often, held, near, strict=True) for w in o for e in h
+               if o[w] > 1 or w in n[e]}
+    total = len(texts) + sum(map(bool, held))
+    out = {}
     for i, text, *_ in rows:
-        text = text or ""
-        frequency.update(set(P.TERM.findall(text.lower())))
-        spans = [(k, a, b, P.base_spans(text)[n][3]) for n, (k, a, b) in
-                 enumerate(s[:3] for s in P.base_spans(text))]
-        for term, a, b, e, c in P.contexts(text, spans, terms):
-            together[term, e].add(c)
-            contexts[e].add(c)
-            mentions[e].add((i, text))
-            near[i].append((term, a, b, e))
-    out = defaultdict(dict)
-    for i, found in near.items():
-        for term, a, b, e in found:
-            k = len(together[term, e])
-            if k >= least and len(contexts[e]) >= least:
-                information = math.log2(len(rows) / len(mentions[e]))
-                reveals = math.log2(k / len(contexts[e]) * len(rows) / frequency[term])
-                if information > 0 and reveals >= disclosed * information:
-                    kind = 5 if reveals >= identifying * information else 4
-                    out[i][a, b] = max(kind, out[i].get((a, b), 0))
-    return {i: sorted((k, a, b) for (a, b), k in f.items()) for i, f in out.items()}
+        k = texts.index(text or "")
+        for m in words[k]:
+            w = m[0].lower()
+            for e in held[k]:
+                q, most = (frequency[w] + inside[w]) / total, P.most_bits(
+                    mentions[e], len(texts), total - len(texts), prior)
+                reveals = math.log2((both[w, e] + prior * q) / (mentions[e] + prior) / q)
+                if most > 0 and reveals >= disclosed * most and (
+                        both[w, e] > 1 or (w, e) in evident):
+                    kind = 5 if reveals >= identifying * most else 4
+                    spot = out.setdefault(i, {})
+                    spot[m.span()] = max(kind, spot.get(m.span(), 0))
+    return {i: sorted((k, *at) for at, k in f.items()) for i, f in out.items()}
+
+
+def spans_of(spark, rows, **shares):
+    return {r.doc_id: [tuple(s)[:3] for s in r.found] for r in
+            P.find(documents(spark, rows), **shares).select("doc_id", "found").collect()}
 
 
 def test_telling_terms(spark):
     rows = people()
-    found = {r.doc_id: [tuple(s) for s in r.found] for r in
-             P.find(documents(spark, rows)).select("doc_id", "found").collect()}
-    want = brute_terms(rows)
+    found, want = spans_of(spark, rows), by_documents(rows)
     assert any(want.values())
     for i, text, *_ in rows:
         assert found[i] == sorted(given_spans(text) + want.get(i, []))
@@ -114,29 +131,6 @@ def test_entities_with_one_context_are_scored(spark):
     assert not any(found[i] for i in range(len(rows) - 1))
 
 
-def by_documents(rows, prior=P.PRIOR, disclosed=P.DISCLOSED, identifying=P.IDENTIFYING):
-    """id -> (kind, start, end) of the telling terms, counted by whole distinct texts."""
-    texts = sorted({t for _, t, *_ in rows})
-    terms = [{m.lower() for m in P.TERM.findall(t)} for t in texts]
-    held = [{(s[0], s[3]) for s in P.base_spans(t)} for t in texts]
-    frequency, mentions = Counter(w for d in terms for w in d), Counter(e for d in held for e in d)
-    both = Counter((w, e) for d, h in zip(terms, held, strict=True) for w in d for e in h)
-    n, out = len(texts), {}
-    for i, text, *_ in rows:
-        h, taken = held[texts.index(text)], [s[1:3] for s in P.base_spans(text)]
-        for m in P.TERM.finditer(text):
-            w = m[0].lower()
-            for e in h:
-                p, information = frequency[w] / n, math.log2(n / mentions[e])
-                reveals = math.log2((both[w, e] + prior * p) / (mentions[e] + prior) / p)
-                if information > 0 and reveals >= disclosed * information and not any(
-                        a < m.end() and m.start() < b for a, b in taken):
-                    kind = 5 if reveals >= identifying * information else 4
-                    spot = out.setdefault(i, {})
-                    spot[m.span()] = max(kind, spot.get(m.span(), 0))
-    return {i: sorted((k, *at) for at, k in f.items()) for i, f in out.items()}
-
-
 def test_whole_documents_against_plain_python(spark):
     rnd = random.Random(4)
     words = [f"{a}{b}{c}" for a in "bdfkl" for b in "aeiou" for c in "mnrst"]
@@ -149,12 +143,11 @@ def test_whole_documents_against_plain_python(spark):
         rows.append((i, " ".join(text), "en", "a"))
     rows[7] = (7, "+1 (407) 555-7710 5.6.7.8 " + rows[7][1], "en", "a")
     rows += [(500 + i, rows[7][1], "en", "a") for i in range(9)]
-    found = {r.doc_id: [tuple(s) for s in r.found] for r in
-             P.find(documents(spark, rows)).select("doc_id", "found").collect()}
-    want = by_documents(rows)
+    for shares in ({}, {"disclosed": 0.25, "identifying": 0.8}):
+        found, want = spans_of(spark, rows, **shares), by_documents(rows, **shares)
+        for i, text, *_ in rows:
+            assert found[i] == sorted(given_spans(text) + want.get(i, [])), text
     assert {k for f in want.values() for k, _, _ in f} == {4, 5}
-    for i, text, *_ in rows:
-        assert found[i] == sorted(given_spans(text) + want.get(i, [])), text
 
 
 def test_telling_terms_go_wherever_the_document_holds_them(spark):
@@ -183,6 +176,58 @@ def test_lists_of_entities_stay_linear(spark, monkeypatch):
     assert sizes["entities"].count() == 601 and sizes["pairs"].count() < 1300
 
 
+def test_planted_disclosures_and_little_else(spark):
+    """Each of 40 people has a code name that meets the address in three texts, elsewhere in
+    the text; every text has rare words of its own, which tell nobody."""
+    rnd = random.Random(8)
+    letters = "bcdfghklmnprst"
+    word = lambda: "".join(rnd.choice(letters) + rnd.choice("aeiou") for _ in range(4))
+    common = [word() for _ in range(60)]
+    names = [f"codename{word()}" for _ in range(40)]
+    rows = []
+    for i in range(900):
+        text = [rnd.choice(common) for _ in range(120)]
+        for _ in range(12):  # rare words
+            text.insert(rnd.randrange(len(text)), word())
+        if i < 120:
+            text.insert(60, f"person{i % 40}@club.org")
+            text.insert(rnd.choice([5, 110]), names[i % 40])
+        rows.append((i, " ".join(text), "en", "a"))
+    found = spans_of(spark, rows)
+    marked, told = Counter(), 0
+    for i, text, *_ in rows[:120]:
+        for k, a, b in found[i]:
+            if k > 3:
+                marked[text[a:b]] += 1
+                told += text[a:b] == names[i % 40]
+    assert told == 120  # every planted one, wherever it stands
+    all_words = sum(len(P.TERM.findall(t)) for _, t, *_ in rows[:120])
+    assert sum(marked.values()) < 0.03 * all_words
+    assert told > 0.4 * sum(marked.values())  # the others are rare words near an address
+    assert not any(s[0] > 3 for i in range(120, 900) for s in found[i])
+
+
+def test_both_kinds_can_be_reached_at_every_size(spark):
+    for n in (6, 40, 400):
+        rows = [(i, f"common letter {'often ' * (i % 2)}", "en", "a") for i in range(n - 2)]
+        rows = [(i, f"{t}{'x' * i}", "en", "a") for i, t, *_ in rows]
+        rows += [(n, "common letter mongolfier eve@club.org", "en", "a"),
+                 (n + 1, "common letter mongolfier eve@club.org again", "en", "a")]
+        found = spans_of(spark, rows)
+        text = rows[-2][1]
+        assert {(k, text[a:b]) for k, a, b in found[n]} == {(0, "eve@club.org"), (5, "mongolfier")}
+
+
+def test_broader_terms(spark):
+    names = [f"mont{x}" for x in "abcdefghij"] + ["montgolfier", "monday", "zeppelin", "mo"]
+    table = spark.createDataFrame([(w,) for w in names], "term string")
+    asked = spark.createDataFrame([("montgolfier",), ("zeppelin",), ("mo",)], "term string")
+    assert [tuple(r) for r in P.broader_terms(asked, table).collect()] == [("montgolfier", "mont")]
+    assert P.broader_terms(asked, table, wide=13).count() == 0
+    assert [tuple(r) for r in P.broader_terms(asked, table, wide=12).collect()] == [
+        ("montgolfier", "mon")]
+
+
 def test_sanitise(spark):
     docs = documents(spark, people())
     clean = {r.doc_id: r.text for r in P.sanitise(docs, P.find(docs)).collect()}
