@@ -39,6 +39,8 @@ from parcelflow.llm.common import arrow_batch, on_executors, table, text_slices
 VOCABULARY = "byte_bpe_50k.json"
 #: Distinct pre-tokens a Python worker remembers between batches.
 REMEMBERED = 300_000
+#: Text whose pre-tokens a step holds at once, as Python strings.
+STEP_BYTES = 2 << 20
 NEVER = np.int64(2**62)
 
 # Fixed value: the pre-token pattern of the vocabulary.
@@ -275,7 +277,7 @@ def encode(docs: DataFrame, path: str | None = None, doc_id: str = "doc_id",
 
     def run(batches):
         c = codec(path)
-        for b in text_slices(batches):
+        for b in text_slices(batches, limit=STEP_BYTES):
             ids, counts = c.encode(_texts(b))
             lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)], pa.int32()),
                                              pa.array(ids, pa.int32()))
@@ -311,7 +313,7 @@ def round_trip_digests(docs: DataFrame, path: str | None = None, doc_id: str = "
 
     def run(batches):
         c = codec(path)
-        for b in text_slices(batches):
+        for b in text_slices(batches, limit=STEP_BYTES):
             ids, counts = c.encode(_texts(b))
             raw = ids.astype("<u4").tobytes()
             upto = (4 * np.r_[0, np.cumsum(counts)]).tolist()
