@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -27,7 +29,9 @@ def on_executors(df: DataFrame) -> DataFrame:
     context = df.sparkSession.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
-        archive = Path(tempfile.mkdtemp(prefix="parcelflow-code-")) / f"{package.name}-code.zip"
+        folder = tempfile.mkdtemp(prefix="parcelflow-code-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        archive = Path(folder) / f"{package.name}-code.zip"
         with zipfile.ZipFile(archive, "w") as z:
             for file in sorted(package.rglob("*.py")):
                 z.write(file, file.relative_to(package.parent))

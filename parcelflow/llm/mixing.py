@@ -18,7 +18,7 @@ the budget runs out is sorted.
 Defined results: NULL domain, language and source are values of their own, named
 ''; a token is a run of characters other than white space; a document without
 tokens is taken when its place in the last epoch lies in the prefix; a leaf without tokens receives no
-budget; weights below 0 are an error; repeated rows are documents of their own;
+budget; documents of one id and one text have one place and go by their tokens; weights below 0 are an error; repeated rows are documents of their own;
 an empty table gives an empty table.  Budgets are whole tokens, rounded down at
 each division.
 """
@@ -51,6 +51,13 @@ def hash32(name: Column) -> Column:
     return F.conv(F.substring(F.md5(name.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
+def ticket_name(doc_id: Column, text: Column) -> Column:
+    """What a document's place in an epoch is drawn by: its id and its text, so that the
+    documents of one id, or of none, are spread over a leaf's buckets like others."""
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.substring(
+        F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")), 1, 8))
+
+
 def domain_of(source: Column) -> Column:
     """The production domain: sources are dealt to four domains by a hash."""
     return F.concat(F.lit("web"),
@@ -120,7 +127,7 @@ def mix(docs: DataFrame, domain: Column, targets: dict[str, dict[str, int]] | No
         named(docs[source]).alias("site"),
         F.coalesce(F.regexp_count(docs[text].cast("string"), F.lit(r"\S+")), F.lit(0))
         .cast("long").alias("n_tokens"),
-        F.coalesce(docs[doc_id].cast("string"), F.lit("")).alias("name"),
+        ticket_name(docs[doc_id], docs[text]).alias("name"),
         F.xxhash64(docs[text]).alias("tie")), "tokens")
     leaves = stored(rows.groupBy(*LEVELS).agg(F.count("*").alias("docs"),
                                               F.sum("n_tokens").alias("tokens")), "leaves")
@@ -192,7 +199,8 @@ OP9_SQL = f"""
 WITH docs AS (
   SELECT doc_id, 'web' || (('0x' || substr(md5(coalesce(source, '')), 1, 8))::BIGINT
          % {DOMAINS}) AS domain, coalesce(lang, '') AS language, coalesce(source, '') AS site,
-         len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n_tokens FROM documents),
+         len(regexp_extract_all(coalesce(text, ''), '\\S+')) AS n_tokens,
+         doc_id || ':' || substr(md5(coalesce(text, '')), 1, 8) AS name FROM documents),
 leaves AS (SELECT {', '.join(LEVELS)}, sum(n_tokens) AS tokens FROM docs GROUP BY ALL),
 dealt0 AS (SELECT least(floor(sum(tokens) * {BUDGET_SHARE}::DOUBLE), sum(tokens) * {MAX_EPOCHS})
            ::BIGINT AS budget FROM leaves),
@@ -202,7 +210,7 @@ plan AS (SELECT l.*, d.budget // greatest(tokens, 1)::BIGINT AS epochs,
          FROM leaves l JOIN dealt3 d USING ({', '.join(LEVELS)})),
 placed AS (
   SELECT d.*, p.epochs, p.rest, sum(d.n_tokens) OVER (PARTITION BY domain, language, site
-      ORDER BY md5('{SEED}:' || p.epochs || ':' || d.doc_id) ROWS UNBOUNDED PRECEDING) AS upto
+      ORDER BY md5('{SEED}:' || p.epochs || ':' || d.name) ROWS UNBOUNDED PRECEDING) AS upto
   FROM docs d JOIN plan p USING ({', '.join(LEVELS)}))
 SELECT doc_id, {', '.join(LEVELS)}, n_tokens, (epochs + (upto <= rest)::BIGINT)::BIGINT AS copies
 FROM placed WHERE epochs > 0 OR upto <= rest

@@ -57,6 +57,65 @@ def test_single_language_shortcut_is_exact(spark, model):
             assert -2 * best + np.log(c.sum()) >= -2 * alone - 1e-6
 
 
+def plain_mixture(grams, like):
+    """EM and the choice of the language set, gram by gram, for one document: ``grams`` is
+    bucket -> count, ``like`` a likelihood by language and bucket."""
+    n = sum(grams.values())
+
+    def em(languages):
+        pi = {k: 1 / len(languages) for k in languages}
+        for _ in range(L.ROUNDS):
+            new = dict.fromkeys(languages, 0.0)
+            for b, c in grams.items():
+                total = sum(pi[k] * like[k][b] for k in languages)
+                for k in languages:
+                    new[k] += c * pi[k] * like[k][b] / total / n
+            moved = max(abs(new[k] - pi[k]) for k in languages)
+            pi = new
+            if moved < 1e-3:
+                break
+        log = sum(c * np.log(sum(pi[k] * like[k][b] for k in languages)) for b, c in grams.items())
+        return pi, -2 * log + (len(languages) - 1) * np.log(max(n, 2))
+
+    chosen = list(range(len(like)))
+    pi, bic = em(chosen)
+    while len(chosen) > 1:
+        least = max(chosen, key=lambda k: (-pi[k], k))
+        fewer = [k for k in chosen if k != least]
+        new, score = em(fewer)
+        if score > bic:
+            break
+        chosen, pi, bic = fewer, new, score
+    return pi, bic
+
+
+def test_whole_method_against_plain_python(spark, model):
+    _, loglik = model
+    rows = [r.text for r in spark.read.parquet(f"{SF_ORACLE}/documents.parquet").limit(40).collect()]
+    texts = [t[:400] for t in rows] + [f"{a[:300]} {b[:500]}" for a, b in zip(rows, rows[7:], strict=False)]
+    doc, bucket, count = L.gram_counts(pa.array(texts))
+    weight = L.mixtures(doc, bucket, count, len(texts), loglik)
+    several = 0
+    for d in range(len(texts)):
+        own = doc == d
+        grams = dict(zip(bucket[own].tolist(), count[own].tolist(), strict=True))
+        if not grams:
+            assert not weight[d].any()
+            continue
+        like = [{b: float(np.exp(loglik[k, b] - loglik[:, b].max())) for b in grams}
+                for k in range(len(loglik))]
+        pi, bic = plain_mixture(grams, like)
+        got = {k: weight[d, k] for k in np.flatnonzero(weight[d])}
+        if set(got) != set(pi):  # settled without rounds: at least as good
+            assert len(got) == 1
+            log = sum(c * np.log(like[next(iter(got))][b]) for b, c in grams.items())
+            assert -2 * log <= bic + 1e-6
+            continue
+        several += len(got) > 1
+        assert all(abs(got[k] - pi[k]) < 1e-6 for k in got)
+    assert several >= 10
+
+
 def test_equal_grams_in_any_batch():
     texts = [f"word {chr(97 + i % 26) * (i % 9)} é{i}" for i in range(700)]
     whole = L.gram_counts(pa.array(texts))

@@ -32,7 +32,8 @@ def fill(budget, children):
 
 def brute(rows, domain, targets, share, epochs, seed):
     weight = lambda level, n: targets.get(level, {}).get(n, M.OTHER_WEIGHT)
-    docs = [(domain[s or ""], lang or "", s or "", len(re.findall(r"\S+", t or "")), i)
+    docs = [(domain[s or ""], lang or "", s or "", len(re.findall(r"\S+", t or "")), i,
+             f"{'' if i is None else i}:{md5((t or '').encode()).hexdigest()[:8]}")
             for i, t, lang, s in rows]
     capacity = lambda p: epochs * sum(d[3] for d in docs if d[:len(p)] == p)
     budgets = {(): min(int(sum(d[3] for d in docs) * share), capacity(()))}
@@ -48,8 +49,7 @@ def brute(rows, domain, targets, share, epochs, seed):
     for leaf, budget in budgets.items():
         own = [d for d in docs if d[:3] == leaf]
         times, rest = divmod(budget, max(1, sum(d[3] for d in own)))
-        key = lambda d: (md5(f"{seed}:{times}:{'' if d[4] is None else d[4]}".encode())
-                         .hexdigest(), d[3])
+        key = lambda d: (md5(f"{seed}:{times}:{d[5]}".encode()).hexdigest(), d[3])
         held = 0
         for d in sorted(own, key=key):
             held += d[3]
@@ -78,6 +78,18 @@ def test_against_plain_python(spark, share, epochs):
     assert sorted(map(repr, got)) == sorted(map(repr, want))
 
 
+def test_a_leaf_of_missing_or_equal_ids_is_spread(spark):
+    rnd = random.Random(5)
+    for one in (None, 7):
+        rows = [(one, " ".join(rnd.choices("abcdefg", k=rnd.randint(1, 9))) + f" {i}", "en", "a")
+                for i in range(600)]
+        docs, got = run(spark, rows, {}, 0.5, 1)
+        want = brute(rows, {"a": "d1"}, {}, 0.5, 1, 3)
+        assert sorted(map(repr, got)) == sorted(map(repr, want))
+        spots = docs.select(M.hash32(M.ticket_name(docs["doc_id"], docs["text"])).alias("s"))
+        assert spots.distinct().count() == 600
+
+
 def test_shortage_goes_to_siblings_first(spark):
     # language x of domain d1 has little: its sibling y takes the rest, not d2
     rows = [(i, "t t", "x", "a") for i in range(5)] + [(100 + i, "t t", "y", "b") for i in range(100)]

@@ -5,7 +5,7 @@ import random
 import subprocess
 import sys
 from collections import Counter
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import duckdb
 import pytest
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
+from parcelflow.llm import mixing as M
 from parcelflow.llm import registry
 from parcelflow.llm.bpe import vocabulary_path
 from parcelflow.session import scratch_path, stored
@@ -20,6 +21,7 @@ from tests.conftest import SF_ORACLE, SF_SMALL
 from tests.llm.cases import DOCUMENTS, documents, empty
 from tests.llm.test_jaccard_join import brute as near_brute
 from tests.llm.test_line_dedup import brute as line_brute
+from tests.llm.test_mixing import brute as mix_brute
 
 
 def rows_of(df):
@@ -49,8 +51,12 @@ def test_stages_against_brute_force(spark, steps):
     kept = {r[0] for r in near_brute(rows_of(lines)) if r[0] == r[1]}
     assert Counter(r[0] for r in rows_of(single)) == Counter(kept)
     # 4: rows of the single documents, unchanged, as often as the mix holds them
-    assert set(rows_of(mixed)) <= set(rows_of(single))
-    assert mixed.count() > 0.5 * single.count()
+    rows = rows_of(single)
+    domain = {s or "": f"web{int(md5((s or '').encode()).hexdigest()[:8], 16) % M.DOMAINS}"
+              for *_, s in rows}
+    held = mix_brute(rows, domain, M.TARGETS, M.BUDGET_SHARE, M.MAX_EPOCHS, M.SEED)
+    copies = {r[0]: r[-1] for r in held}
+    assert Counter(rows_of(mixed)) == Counter({r: copies[r[0]] for r in rows if r[0] in copies})
     # 5: one row each, tokenised like the library
     library = Tokenizer.from_file(vocabulary_path())
     got = Counter((r.doc_id, r.n_tokens, r.decoded_sha256) for r in coded.collect())
