@@ -6,9 +6,11 @@ its most similar centroid.  Two vectors with cosine t are at most
 e = sqrt(2 - 2t) apart on the unit sphere, and so the home centroid u of one is
 beaten for the other by another centroid v by at most e |u - v|: a vector is also
 shown to every cell before its home that it could have such a neighbour in, and no
-link across a cell border is lost.  Inside a cell, blocks of a fixed size are
-compared pairwise by products in double precision; a pair counts where one of the
-two is at home, and so in one cell only.  A block pair returns link counts and a
+link across a cell border is lost.  As the centroids that go to every task are bounded,
+cells outgrow their size on large tables: such a cell is cut again, by centroids fitted on
+a bounded sample of its own and known to its tasks only, in the same way.  Inside a cell,
+blocks of a fixed size are compared pairwise by products in double precision; a pair
+counts where, on each level, one of the two is at home, and so in one cell only.  A block pair returns link counts and a
 forest of the links, not the pairs.  The components of the forests are the groups;
 the smallest id of each is kept.
 
@@ -34,8 +36,11 @@ from parcelflow.session import stored
 THRESHOLD = 0.98
 #: Vectors the centroids are fitted on, at most; vectors a cell should hold.
 FIT_SAMPLE, CELL = 10_000, 8_192
-#: Centroids at most: their table goes to every task.
+#: Centroids at most, of the table and of a cell that is cut again: they go to every
+#: task of these.
 MOST_CELLS = 1_024
+#: Vectors of a cell that one task deals to the cells within it.
+DEALT = 100_000
 ROUNDS = 10
 BLOCK = 4_096
 STEP = 256
@@ -92,14 +97,68 @@ def cells(reps: DataFrame, centroids: dict[int, np.ndarray], reach: float) -> Da
         run, f"label long, dim int, cell long, node long, copies long, home boolean, v {kind}")
 
 
+def inner_cells(placed: DataFrame, cell_size: int, reach: float) -> DataFrame:
+    """The rows of :func:`cells` with ``inner``, ``at_home``: those of cells of more than
+    twice ``cell_size`` in cells within the cell, dealt like the cells themselves."""
+    keys = ["label", "dim", "cell"]
+    sizes = stored(placed.groupBy(*keys).agg(F.count("*").alias("n"))
+                   .filter(F.col("n") > 2 * cell_size), "large-cells")
+    whole = placed.withColumns({"inner": F.lit(0).cast("long"), "at_home": F.lit(True)})
+    if sizes.isEmpty():
+        return whole
+    picked = F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1 << 30)) < F.lit(FIT_SAMPLE) / F.col("n") * (1 << 30)
+    points = F.transform("v", lambda x: x.cast("double"))
+    fitted = pa.schema([("label", pa.int64()), ("dim", pa.int32()), ("cell", pa.int64()),
+                        ("centroids", pa.list_(pa.list_(pa.float64())))])
+
+    def fit(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("node")
+        k = min(MOST_CELLS, -(-rows.column("n")[0].as_py() // cell_size))
+        found = spherical_kmeans(unit(matrix(rows.column("v"))), k)
+        return pa.table([[key[0].as_py()], [key[1].as_py()], [key[2].as_py()], [found.tolist()]],
+                        schema=fitted)
+
+    centroids = stored(placed.join(sizes, keys).filter(picked).select(
+        *keys, "node", "n", points.alias("v")).groupBy(*keys).applyInArrow(
+        fit, "label long, dim int, cell long, centroids array<array<double>>"), "inner-centroids")
+    parts = F.ceil(F.col("n") / F.lit(DEALT)).cast("int")
+    rows = placed.join(sizes, keys).withColumn("part", F.pmod(F.xxhash64("node", "home"), parts)
+                                               .cast("int")).drop("n")
+    known = centroids.join(sizes, keys).select(*keys, "centroids", F.explode(
+        F.sequence(F.lit(0), parts - 1)).alias("part"))
+
+    def deal(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.drop_columns(["part"])
+        if right.num_rows:
+            c = np.array(right.column("centroids")[0].as_py())
+            apart = np.linalg.norm(c[:, None] - c[None], axis=2)
+            sims = unit(matrix(left.column("v"))) @ c.T
+            first = sims.argmax(axis=1)
+            lead = sims[np.arange(len(first)), first][:, None] - sims
+            shown = lead <= reach * apart[first] + 1e-9
+            row, inner = np.nonzero(shown & (np.arange(len(c)) <= first[:, None]))
+            at_home = inner == first[row]
+        else:  # no vector of the cell fell into the sample
+            row = np.arange(left.num_rows)
+            inner, at_home = np.zeros(len(row), np.int64), np.ones(len(row), bool)
+        return (left.take(pa.array(row)).append_column("inner", pa.array(inner, pa.int64()))
+                .append_column("at_home", pa.array(at_home)))
+
+    kind = placed.schema["v"].dataType.simpleString()
+    cut = rows.groupBy(*keys, "part").cogroup(known.groupBy(*keys, "part")).applyInArrow(
+        deal, f"label long, dim int, cell long, node long, copies long, home boolean, v {kind}, "
+              "inner long, at_home boolean")
+    return whole.join(sizes.select(*keys), keys, "left_anti").select(*cut.columns).unionByName(cut)
+
+
 def compare_blocks(threshold: float):
     schema = pa.schema([("node", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
-        lo, hi = key[3].as_py(), key[4].as_py()
+        lo, hi = key[4].as_py(), key[5].as_py()
         rows = rows.sort_by("node")
-        node, copies, home, block = (rows.column(c).to_numpy() for c in
-                                     ("node", "copies", "home", "block"))
+        node, copies, home, at_home, block = (rows.column(c).to_numpy() for c in (
+            "node", "copies", "home", "at_home", "block"))
         u = unit(matrix(rows.column("v")))
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         links, group = np.zeros(len(node), np.int64), np.arange(len(node))
@@ -107,6 +166,7 @@ def compare_blocks(threshold: float):
             some = left[at:at + STEP]
             close = u[some] @ u[right].T >= threshold
             close &= home[some][:, None] | home[right]
+            close &= at_home[some][:, None] | at_home[right]
             if lo == hi:
                 close &= some[:, None] != right
             links[some] += close @ copies[right]
@@ -144,15 +204,17 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, cell_size:
     centroids = {m: spherical_kmeans(unit(np.array(p, np.float64)), k)
                  for m, p in by_length.items()}
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold)))
-    placed = stored(cells(classes, centroids, reach), "cells")
-    sizes = stored(placed.groupBy("label", "dim", "cell").agg(
+    placed = stored(inner_cells(stored(cells(classes, centroids, reach), "cells"), cell_size,
+                                reach), "inner-cells")
+    keys = ["label", "dim", "cell", "inner"]
+    sizes = stored(placed.groupBy(*keys).agg(
         F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks")), "sizes")
-    dealt = (placed.join(sizes, ["label", "dim", "cell"])
+    dealt = (placed.join(sizes, keys)
              .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
-             .select("label", "dim", "cell", "lo", "hi", "block", "node", "copies", "home", "v"))
-    found = stored(dealt.groupBy("label", "dim", "cell", "lo", "hi").applyInArrow(
+             .select(*keys, "lo", "hi", "block", "node", "copies", "home", "at_home", "v"))
+    found = stored(dealt.groupBy(*keys, "lo", "hi").applyInArrow(
         compare_blocks(threshold), "node long, links long, root long"), "links")
     linked = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = connected_components(found.select(F.col("node").alias("src"),

@@ -118,6 +118,19 @@ def test_near_duplicates_are_exact(spark, cell, block):
     assert sorted(repr(tuple(r)) for r in got.collect()) == want
 
 
+def test_cells_that_outgrow_the_bound_are_cut_again(spark, monkeypatch):
+    monkeypatch.setattr(V, "MOST_CELLS", 3)
+    monkeypatch.setattr(V, "DEALT", 25)
+    rows = vectors()
+    sizes = []
+    real = V.inner_cells
+    monkeypatch.setattr(V, "inner_cells", lambda placed, size, reach: sizes.append(
+        real(placed, size, reach)) or sizes[-1])
+    got = V.near_duplicates(frame(spark, rows), cell_size=10, block=16)
+    assert sorted(repr(tuple(r)) for r in got.collect()) == brute_near(rows)
+    assert sizes[0].agg({"inner": "max"}).first()[0] > 0  # some are cut
+
+
 def test_near_duplicates_of_nothing(spark):
     assert V.near_duplicates(frame(spark, [])).count() == 0
     got = [tuple(r) for r in V.near_duplicates(frame(spark, [(3, None, 1), (4, [2.0], 1)])).collect()]
