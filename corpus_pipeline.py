@@ -70,7 +70,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
             .groupBy("class_id").agg(F.min(rank).alias("best")).select("best.*"))
     # texts without a word link with nothing: of those only repeated rows go
     kept = best.groupBy("doc_id", "k1", "k2").agg(F.min_by("at", F.struct("k3", "at")).alias("at"))
-    return (numbered.join(stored(kept.select("at"), "kept"), "at", "left_semi")
+    # by shuffle at every size: what is kept grows with the documents
+    return (numbered.join(stored(kept.select("at"), "kept").hint("merge"), "at", "left_semi")
             .select(*[F.col(n).alias(c) for c, n in place.items()]))
 
 
