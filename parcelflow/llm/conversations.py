@@ -70,19 +70,31 @@ def best_edits(turns: list[tuple[str, int]]) -> tuple[int, str, list[tuple[int,
     letters = (1 << high) - 1
     top = high - DIGIT_BITS
 
-    def edge(edit: int, cost: int, rest: int) -> int:
-        """The weight of a path that begins with ``edit`` and goes on as ``rest``."""
+    def moved(rest: int) -> int:
+        """The weight of a path with its letters one place further back."""
         low = rest & letters
-        return rest - low + (cost << high) + (edit << top) + (low >> DIGIT_BITS)
+        return rest - low + (low >> DIGIT_BITS)
+
+    def edge(edit: int, cost: int) -> int:
+        """What an edit in the first place adds to the moved weight of the path behind."""
+        return (cost << high) + (edit << top)
+
+    insert = edge(INSERT, INSERT_COST)
+    delete = edge(DELETE, DELETE_COST)
+    kept = [edge(KEEP, KEEP_COST), edge(KEEP, KEEP_COST + TRUNCATED_COST)]
+    reroled = [edge(REROLE, REROLE_COST), edge(REROLE, REROLE_COST + TRUNCATED_COST)]
 
     def with_inserts(least: list[int | None], edits: list[int]) -> tuple[list[int | None], bytes]:
         out, chosen = [], bytearray()
         for state in range(4):
             options, at = [], state
             for k in range(MOST_INSERTS + 1):
-                if (value := least[at]) is not None:
+                value = least[at]
+                # inserts that cost more than what is there already cannot win
+                if value is not None and not (options and (value >> high) + INSERT_COST * k
+                                              > options[0][0] >> high):
                     for _ in range(k):
-                        value = edge(INSERT, INSERT_COST, value)
+                        value = moved(value) + insert
                     options.append((value, k << 4 | edits[at]))
                 at = FITTING[at]
             value, choice = min(options) if options else (None, 0)
@@ -94,18 +106,19 @@ def best_edits(turns: list[tuple[str, int]]) -> tuple[int, str, list[tuple[int,
     least, final = with_inserts(least, [0] * 4)
     chosen = []
     for initial, fault in reversed(turns):
-        extra = TRUNCATED_COST if fault == TRUNCATED else 0
+        extra = fault == TRUNCATED
+        behind = [None if v is None else moved(v) for v in least]
         here, edits = [], []
         for state in range(4):
             options = []
-            if least[state] is not None:
-                options.append((edge(DELETE, DELETE_COST, least[state]), DELETE))
+            if behind[state] is not None:
+                options.append((behind[state] + delete, DELETE))
             if fault != MUST_GO:
                 after = NEXT[initial][state] if initial in NEXT else None
-                if after is not None and least[after] is not None:
-                    options.append((edge(KEEP, KEEP_COST + extra, least[after]), KEEP))
-                if least[FITTING[state]] is not None:
-                    options.append((edge(REROLE, REROLE_COST + extra, least[FITTING[state]]), REROLE))
+                if after is not None and behind[after] is not None:
+                    options.append((behind[after] + kept[extra], KEEP))
+                if behind[FITTING[state]] is not None:
+                    options.append((behind[FITTING[state]] + reroled[extra], REROLE))
             value, edit = min(options) if options else (None, 0)
             here.append(value)
             edits.append(edit)
