@@ -4,8 +4,8 @@ A feed is read twice, each time distributed:
 
 1. survey — every line parsed as ``map<string,string>``, keys exploded and
    de-duplicated (one shuffle of key names only; the result is the table's
-   column list, so its size is the schema width, not the data).  The number of
-   lines and of broken ones are observed on the way;
+   column list, so its size is the schema width, not the data).  The same
+   aggregate counts the lines and the broken ones;
 2. load — the files read again with an explicit all-``string`` schema built
    from those keys and written, so no value is type-guessed: ``1.50`` stays
    ``1.50``, nested objects and lists stay JSON text, absent keys become NULL,
@@ -66,16 +66,19 @@ class Survey:
 
 def survey(spark: SparkSession, path: str, most_keys: int = MOST_KEYS) -> Survey:
     """One read of the feed: the union of the keys of every record (A5), and how many
-    lines it has, blank ones apart, and how many of them are no JSON object."""
-    seen = Observation()
-    records = _records(spark, path).observe(
-        seen, F.count(F.lit(1)).alias("lines"), F.count_if(F.col("record").isNull()).alias("broken"))
-    keys = (records.select(F.explode(F.map_keys("record")).alias("k")).distinct()
-            .limit(most_keys + 1))
-    found = sorted(r.k for r in keys.collect())
-    if len(found) > most_keys:
-        raise LandingError(f"{path}: over {most_keys} different keys, such as {found[:3]}")
-    return Survey(found, seen.get["lines"], seen.get["broken"])
+    lines it has, blank ones apart, and how many of them are no JSON object: every line
+    has the key NULL besides its own, whose count is the lines."""
+    own = F.coalesce(F.map_keys("record"), F.array().cast("array<string>"))
+    counted = (_records(spark, path).select(
+        F.col("record").isNull().alias("broken"),
+        F.explode(F.concat(F.array(F.lit(None).cast("string")), own)).alias("k"))
+        .groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_if("broken").alias("broken"))
+        .limit(most_keys + 2).collect())
+    keys = sorted(r.k for r in counted if r.k is not None)
+    if len(keys) > most_keys:
+        raise LandingError(f"{path}: over {most_keys} different keys, such as {keys[:3]}")
+    lines = next((r for r in counted if r.k is None), None)
+    return Survey(keys, lines.n if lines else 0, lines.broken if lines else 0)
 
 
 def refuse_broken(spark: SparkSession, path: str, found: Survey, shown: int = 3) -> None:
@@ -126,6 +129,8 @@ def land(spark: SparkSession, feed: Feed, draft: Draft, most_keys: int = MOST_KE
     refuse_broken(spark, feed.source, found)
     if not found.lines:
         raise LandingError(f"{feed.source}: feed has no rows; {feed.table} left as it was")
+    if not found.keys:
+        raise LandingError(f"{feed.source}: no record has a key; {feed.table} left as it was")
     written = Observation()
     df = read_all_text(spark, feed.source, found.keys).observe(
         written, F.count(F.lit(1)).alias("rows"))

@@ -41,6 +41,11 @@ def test_survey_counts_lines_and_broken_ones(spark, scratch):
     assert (found.keys, found.lines, found.broken) == (["a", "b"], 4, 1)
     with pytest.raises(LandingError, match="over 1 different keys"):
         survey(spark, src, most_keys=1)
+    for i, (lines, counts) in enumerate((([" "], (0, 0)), (["nope"], (1, 1)), (["{}"], (1, 0)))):
+        none = survey(spark, write_lines(f"{scratch}/none{i}", lines))
+        assert none.keys == [] and (none.lines, none.broken) == counts
+    with pytest.raises(LandingError, match="no record has a key"):
+        land(spark, write_lines(f"{scratch}/blank", ["{}"]), f"{scratch}/raw")
 
 
 def test_all_text_landing(spark, scratch):

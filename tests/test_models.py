@@ -321,8 +321,11 @@ def test_build_stops_at_a_failed_check(small_models):
             return faults.faulty_fact_violation(table) if name == "fact_violation" else table
 
     report = []
+    checks = build_checks(report)
+    with pytest.raises(CheckFailed, match="not_null:fact_violation.property_sk"):
+        checks(Broken(), "fact_violation")  # values and assertions, with the table
     with pytest.raises(CheckFailed, match="unique:fact_violation.violation_pk"):
-        build_checks(report)(Broken(), "fact_violation")
+        checks.finish(Broken())  # keys, before anything is published
     failed = {name for name, _, n in report if n}
     assert {"unique:fact_violation.violation_pk", "not_null:fact_violation.property_sk",
             "relationships:fact_violation.council_district_sk",
