@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 8 << 20
 
 
+#: Rows that Spark hands to a Python step at once, at most: whole texts are large rows, and
+#: a batch is held by the JVM and by the Python worker, whatever slices it is read in.
+BATCH_ROWS = 1_000
+
 _SHIPPED: set[str] = set()
 
 
@@ -26,7 +30,10 @@ def on_executors(df: DataFrame) -> DataFrame:
     """``df``, for a Python step: the first time in an application, the package's
     code goes to the executors as a Python file (like ``--py-files``), so that
     they need neither an installed copy nor the driver's folders."""
-    context = df.sparkSession.sparkContext
+    context, conf = df.sparkSession.sparkContext, df.sparkSession.conf
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.isModifiable(rows):
+        conf.set(rows, str(BATCH_ROWS))
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).resolve().parents[1]
         folder = tempfile.mkdtemp(prefix="parcelflow-code-")

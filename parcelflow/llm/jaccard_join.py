@@ -53,7 +53,7 @@ BLOCK_GRAMS = 500_000
 #: Probability that a pair at the threshold is no candidate though it shares a band.
 LOST = 1e-6
 #: Members of a bucket in one block of signatures, and of small buckets in one task.
-BUCKET_BLOCK, BUCKET_ROWS = 1024, 20_000
+BUCKET_BLOCK, BUCKET_ROWS = 1024, 5_000
 #: Text that one MinHash step holds: its arrays stay in the processor's cache.
 SIGN_BYTES = 1 << 20
 
@@ -105,34 +105,42 @@ class Signer:
                     out[:, j] = np.minimum.reduceat(y, start)
         return out
 
-    def band_hashes(self, gram: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """A row for each text that has grams, a column for each band."""
-        low = self.signatures(gram, size).astype(np.uint64)
-        out = np.zeros((len(low), self.bands), np.uint64)
+    def bands_of(self, signatures: np.ndarray) -> np.ndarray:
+        """A row for each signature, a column for each band."""
+        out = np.zeros((len(signatures), self.bands), np.uint64)
         with np.errstate(over="ignore"):
             for j in range(self.bands * self.rows):
                 band = out[:, j // self.rows]
-                band[:] = mixed(band + (low[:, j] + np.uint64(1)) * self.salt[j])
+                band[:] = mixed(band + (signatures[:, j].astype(np.uint64) + np.uint64(1))
+                                * self.salt[j])
         return out.view(np.int64)
 
+    def band_hashes(self, gram: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """A row for each text that has grams, a column for each band."""
+        return self.bands_of(self.signatures(gram, size))
+
 
 def sign(docs: DataFrame, signer: Signer) -> DataFrame:
-    """doc_id, h1, h2 (digest), grams (their number), hashes array<int> (MinHashes)."""
+    """doc_id, h1, h2 (digest), grams (their number), bands array<long>, hashes (MinHashes,
+    4 bytes each)."""
     schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()),
-                        ("grams", pa.int64()), ("hashes", pa.list_(pa.int32()))])
+                        ("grams", pa.int64()), ("bands", pa.list_(pa.int64())),
+                        ("hashes", pa.binary())])
 
     def run(batches):
         for b in text_slices(batches, limit=SIGN_BYTES):
             gram, size = gram_values(b.column("text"), signer.words)
             h1, h2 = sequence_digest(gram, size)
-            found = signer.signatures(gram, size).view(np.int32)
-            offsets = np.r_[0, np.cumsum(np.where(size > 0, found.shape[1], 0))]
+            found = signer.signatures(gram, size)
+            offsets = np.r_[0, np.cumsum(np.where(size > 0, signer.bands, 0))]
+            each = iter(found)
             yield arrow_batch(schema, doc_id=b.column("doc_id"), h1=h1, h2=h2, grams=size,
-                              hashes=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
-                                                              pa.array(found.ravel())))
+                              bands=pa.ListArray.from_arrays(pa.array(offsets, pa.int32()),
+                                                             pa.array(signer.bands_of(found).ravel())),
+                              hashes=[next(each).tobytes() if n else None for n in size])
 
     return on_executors(docs).mapInArrow(
-        run, "doc_id long, h1 long, h2 long, grams long, hashes array<int>")
+        run, "doc_id long, h1 long, h2 long, grams long, bands array<long>, hashes binary")
 
 
 def similar_signatures(least: int):
@@ -145,8 +153,8 @@ def similar_signatures(least: int):
         rows = rows.sort_by([("band", "ascending"), ("value", "ascending"), ("node", "ascending")])
         band, value, node, block = (rows.column(c).to_numpy() for c in
                                     ("band", "value", "node", "block"))
-        hashes = rows.column("hashes").combine_chunks()
-        hashes = hashes.flatten().to_numpy(zero_copy_only=False).reshape(len(node), -1)
+        hashes = np.frombuffer(b"".join(rows.column("hashes").to_pylist()), np.uint32)
+        hashes = hashes.reshape(len(node), -1)
         nodes, at = np.unique(node, return_inverse=True)
         left, right = [], []
         if lo == hi:
@@ -170,13 +178,10 @@ def similar_signatures(least: int):
     return run
 
 
-def candidate_components(reps: DataFrame, signer: Signer, least: int) -> DataFrame:
-    """node, component over the representatives (node, h1, h2, hashes) that share a band
-    bucket and have ``least`` equal MinHashes."""
-    rows = F.lit(signer.rows)
-    bands = F.transform(F.sequence(F.lit(0), F.lit(signer.bands - 1)),
-                        lambda b: F.xxhash64(F.slice("hashes", b * rows + 1, rows)))
-    dealt = reps.select("node", "h1", "h2", F.posexplode(bands).alias("band", "value"))
+def candidate_components(reps: DataFrame, least: int) -> DataFrame:
+    """node, component over the representatives (node, h1, h2, bands, hashes) that share a
+    band bucket and have ``least`` equal MinHashes."""
+    dealt = reps.select("node", "h1", "h2", F.posexplode("bands").alias("band", "value"))
     buckets = stored(dealt.groupBy("band", "value").agg(F.count("*").alias("n")).filter("n > 1")
                      .select("band", "value", F.ceil(F.col("n") / F.lit(BUCKET_BLOCK)).cast("int")
                              .alias("blocks")), "buckets")
@@ -277,10 +282,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, threshold: float = THRE
     signed = stored(sign(docs, signer), "signed")
     classes = stored(signed.filter("doc_id is not null and grams > 0").groupBy("h1", "h2")
                      .agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"),
-                          F.max("grams").alias("grams"), F.first("hashes").alias("hashes")),
-                     "classes")
-    within = candidate_components(classes, signer, least_equal(threshold, signer.bands * signer.rows))
-    members = classes.drop("hashes").join(within, "node")
+                          F.max("grams").alias("grams"), F.first("bands").alias("bands"),
+                          F.first("hashes").alias("hashes")), "classes")
+    within = candidate_components(classes, least_equal(threshold, signer.bands * signer.rows))
+    members = classes.drop("bands", "hashes").join(within, "node")
     sizes = stored(members.groupBy("component").agg(F.greatest(
         F.ceil(F.count("*") / F.lit(BLOCK)), F.ceil(F.sum("grams") / F.lit(BLOCK_GRAMS)))
         .cast("int").alias("blocks")), "sizes")

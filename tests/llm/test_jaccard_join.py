@@ -88,8 +88,8 @@ def test_a_shared_template_moves_no_text(spark, monkeypatch):
             for i in range(1500)]
     seen = {}
     real = J.candidate_components
-    monkeypatch.setattr(J, "candidate_components", lambda reps, signer, least: seen.setdefault(
-        "found", real(reps, signer, least)))
+    monkeypatch.setattr(J, "candidate_components", lambda reps, least: seen.setdefault(
+        "found", real(reps, least)))
     got = J.near_duplicates(documents(spark, rows)).collect()
     assert seen["found"].count() == 0
     assert all(r.n_links == 0 and r.class_id == r.doc_id for r in got) and len(got) == 1500
