@@ -19,6 +19,13 @@ from tests.test_plans import plan_of
 from tests.test_upkeep import close, same
 
 
+@pytest.fixture()
+def fresh(spark, small_models, scratch):
+    """Models of which nothing is stored yet."""
+    store = TableStore(spark, scratch_path(spark, "scale", os.path.basename(scratch)))
+    return Models(small_models.raw, AS_OF_DEFAULT, store=store)
+
+
 def test_the_wide_rows_of_the_feeds_are_not_shuffled(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
@@ -27,3 +34,25 @@ def test_the_wide_rows_of_the_feeds_are_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     last = next(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
     assert "l_orderkey" in last  # the last join is that of line items and orders
+
+
+def test_stored_sets_and_district_mart_write_no_wide_table(fresh, small_models):
+    same(fresh.mart_council_district, small_models.mart_council_district)
+    assert fresh.pin_sets.by_flags().count()
+    written = set(fresh.store._draft.folders)
+    assert {"distinct_violations", "pin_months"} <= written
+    assert not written & {"mart_dashboard", "fact_violation"}
+
+
+def test_a_fact_key_is_shuffled_as_bytes(small_models):
+    rows = small_models.int_violations_unioned
+    distinct = facts.distinct_violations(rows, AS_OF_DEFAULT)
+    assert dict(distinct.dtypes)["violation_pk"] == "binary"
+    inside = rows.where(F.col("date_found").between(F.lit(dt.date(2005, 1, 1)), F.lit(AS_OF_DEFAULT)))
+    same(facts.fact_rows(distinct).select("violation_pk"), inside.select(
+        row_hash(history.HISTORY_COLUMNS).alias("violation_pk")).distinct())
+
+
+def test_rollup_takes_one_exchange(small_models):
+    plan = plan_of(history.int_property_rollup(small_models.int_violations_unioned))
+    assert plan.count("Exchange hashpartitioning") == 1

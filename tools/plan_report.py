@@ -55,7 +55,8 @@ def main() -> None:
         "mart_blight_funnel": lambda: marts.mart_blight_funnel(t("fact_property_lifecycle")),
         "mart_blight_hotspots": lambda: marts.mart_blight_hotspots(
             t("fact_property_lifecycle"), t("dim_property")),
-        "days_distribution": lambda: distributions.days_distribution(t("fact_violation")),
+        "days_distribution": lambda: distributions.days_distribution(
+            facts.fact_rows(t("distinct_violations"))),
         "mart_council_district": lambda: distributions.council_district(
             t("days_distribution"), sets().by_district(), t("fact_property_lifecycle"),
             t("dim_council_district")),
@@ -72,7 +73,7 @@ def main() -> None:
             t("days_distribution"), AS_OF_DEFAULT),
         "pin_numbers": lambda: pin_bitmaps.pin_numbers(
             t("dim_property"), t("fact_property_lifecycle")),
-        "pin_days": lambda: pin_bitmaps.pin_days(t("mart_dashboard"), t("pin_numbers")),
+        "pin_days": lambda: pin_bitmaps.pin_days(t("distinct_violations"), t("pin_numbers")),
         "pin_months": lambda: pin_bitmaps.pin_months(t("pin_days")),
         "type_cells": lambda: top_types.type_cells(t("mart_dashboard")),
         "point_tiles": lambda: tiles.tile_rollup(tiles.clustered_points(t("mart_property_points"))),
