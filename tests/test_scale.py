@@ -44,6 +44,27 @@ def test_stored_sets_and_district_mart_write_no_wide_table(fresh, small_models):
     assert not written & {"mart_dashboard", "fact_violation"}
 
 
+def test_stored_sets_of_hand_built_rows(spark):
+    twice = live(violationid="x", pin="P2")
+    m = build(spark, [live(), twice, twice, live(violationid="y", pin=" "),
+                      live(violationid="z", pin="P3", computed_region_9t2m_phkm=None)],
+              [arch(), arch(id="h2", pin=None, council_district="")], [])
+    for scope in (None, "3", "UNKNOWN", (None, dt.date(2020, 1, 2), dt.date(2020, 1, 2)),
+                  ("3", dt.date(2019, 5, 1), dt.date(2020, 1, 1))):
+        same(pin_bitmaps.kpis(m.pin_sets, scope), serving.live_kpis(m.mart_dashboard, scope))
+        same(pin_bitmaps.funnel(m.pin_sets, scope), serving.live_funnel(m.mart_dashboard, scope))
+        same(distributions.live_resolution(m.days_distribution, m.distinct_violations, m.as_of, scope),
+             serving.live_resolution(m.mart_dashboard, scope))
+
+
+@pytest.mark.parametrize("name", ["stored_resolution", "stored_resolution_district_4_odd_days"])
+def test_stored_resolution_writes_no_wide_table(spark, fresh, small_models, monkeypatch, name):
+    monkeypatch.setattr(entry, "models", lambda *_: fresh)
+    got = entry.queries()[name](spark, SF_SMALL)
+    same(got, serving.live_resolution(small_models.mart_dashboard, entry.STORED_QUERIES[name][2]))
+    assert not set(fresh.store._draft.folders) & {"mart_dashboard", "fact_violation"}
+
+
 def test_a_fact_key_is_shuffled_as_bytes(small_models):
     rows = small_models.int_violations_unioned
     distinct = facts.distinct_violations(rows, AS_OF_DEFAULT)
