@@ -56,17 +56,21 @@ def _cited(history: DataFrame) -> DataFrame:
 def pin_digests(history: DataFrame) -> DataFrame:
     """pin and DIGEST: the number of its rows and sums of their hashes, the same for
     the same rows in any order.  Fixed-width sums: partial on the map side."""
+    return _cited(history).groupBy("pin").agg(*_digest())
+
+
+def _digest() -> list[Column]:
     nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in HASHED])
     h = F.xxhash64(*HASHED, nulls)  # a NULL leaves the hash as it is
     piece = lambda k: F.sum(F.shiftrightunsigned(h, k * PIECE_BITS).bitwiseAND(
         F.lit((1 << PIECE_BITS) - 1)))
-    return _cited(history).groupBy("pin").agg(
-        F.count(F.lit(1)).alias("live_rows"), *[piece(k).alias(n) for k, n in
-                                                enumerate(DIGEST[1:])])
+    return [F.count(F.lit(1)).alias("live_rows"),
+            *[piece(k).alias(n) for k, n in enumerate(DIGEST[1:])]]
 
 
-def pin_states(history: DataFrame) -> DataFrame:
-    """The state (STATE_COLUMNS) of every pin of ``history``.
+def pin_states(history: DataFrame, digests: bool = False) -> DataFrame:
+    """The state (STATE_COLUMNS) of every pin of ``history``; with ``digests``, its DIGEST
+    too, in the same read.
 
     A pin's set of codes is bounded by the ordinance codes, whatever its rows."""
     closed = F.col("date_resolved").isNotNull()
@@ -85,7 +89,8 @@ def pin_states(history: DataFrame) -> DataFrame:
         F.max("neighborhood").alias("neighborhood"),
         F.max(F.struct(*_ORDER)).alias("recent"),
         F.array_sort(F.collect_set("violation_code")).alias("codes"),
-    ).select(*STATE_COLUMNS)
+        *(_digest() if digests else []),
+    ).select(*STATE_COLUMNS, *(DIGEST if digests else []))
 
 
 def absorbed(*states: DataFrame) -> DataFrame:
@@ -141,12 +146,13 @@ class SnapshotUpkeep:
     def start(cls, archive_rows: DataFrame, live_rows: DataFrame,
               keep: Callable[[DataFrame, str], DataFrame]) -> SnapshotUpkeep:
         archive = keep(pin_states(archive_rows), "archive_states")
-        live = keep(pin_states(live_rows), "live_states")
-        return cls(archive, live, keep(absorbed(archive, live), "total_states"),
-                   keep(pin_digests(live_rows), "live_digests"), keep)
+        live = keep(pin_states(live_rows, digests=True), "live_states")
+        return cls(archive, live.select(*STATE_COLUMNS), keep(absorbed(archive, live), "total_states"),
+                   live.select("pin", *DIGEST), keep)
 
     def refresh(self, live_rows: DataFrame) -> SnapshotUpkeep:
-        """The states after ``live_rows`` has replaced the live feed."""
+        """The states after ``live_rows`` has replaced the live feed.  They are read
+        twice; rows that are costly to derive are given stored."""
         changes = self.keep(compared(self.digests, pin_digests(live_rows)), "changes")
         touched = self.keep(changes.where("change != 'same'").select("pin", "change"), "touched")
         pins = touched.select("pin")

@@ -77,3 +77,25 @@ def test_a_fact_key_is_shuffled_as_bytes(small_models):
 def test_rollup_takes_one_exchange(small_models):
     plan = plan_of(history.int_property_rollup(small_models.int_violations_unioned))
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_live_states_and_digests_come_off_one_read(small_models):
+    rows = small_models.int_violations_unioned
+    drop = rows.where("source_system = 'energov'")
+    kept = []
+    start = upkeep.SnapshotUpkeep.start(rows.where("source_system = 'historical'"), drop,
+                                        lambda df, name: kept.append(name) or stored(df, name))
+    assert kept == ["archive_states", "live_states", "total_states"]
+    same(start.digests, upkeep.pin_digests(drop))
+    same(start.live, upkeep.pin_states(drop))
+
+
+def test_the_drop_is_stored_before_the_refresh_reads_it(spark, fresh, monkeypatch):
+    read = []
+    monkeypatch.setattr(entry, "models", lambda *_: fresh)
+    refresh = upkeep.SnapshotUpkeep.refresh
+    monkeypatch.setattr(upkeep.SnapshotUpkeep, "refresh",
+                        lambda self, rows: read.append(rows) or refresh(self, rows))
+    got = entry.queries()["rollup_after_refresh"](spark, SF_SMALL)
+    assert all("live-drop" in f for f in read[0].inputFiles())
+    same(close(got), close(history.int_property_rollup(fresh.int_violations_unioned)))
