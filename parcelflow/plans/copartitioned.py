@@ -15,6 +15,7 @@ bucketing in the session's catalog, which :meth:`Buckets.attach` tells a later s
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,10 +36,16 @@ class Buckets:
     table: str
 
     @classmethod
-    def write(cls, df: DataFrame, path: str, key: str, number: int) -> Buckets:
+    def write(cls, df: DataFrame, path: str, key: str, number: int,
+              digests: Sequence[str] = ()) -> Buckets:
+        """``digests``: columns of lower-case hex digits, which are shuffled as the bytes
+        they stand for.  The write sorts the buckets."""
         table = f"parcelflow_{uuid.uuid4().hex}"
-        (df.repartition(number, key).sortWithinPartitions(key).write.bucketBy(number, key)
-         .sortBy(key).option("path", path).format("parquet").saveAsTable(table))
+        digits = {c: F.lower(F.hex(c)) for c in digests}
+        dealt = (df.withColumns({c: F.unhex(c) for c in digests})
+                 .repartition(number, digits.get(key, F.col(key))).withColumns(digits))
+        (dealt.write.bucketBy(number, key).sortBy(key).option("path", path)
+         .option("compression", "zstd").format("parquet").saveAsTable(table))
         return cls(path, key, number, table)
 
     @classmethod
@@ -68,9 +75,10 @@ class StoredFact:
         spark = fact.sparkSession
         hot_keys(fact, KEY, buckets).select(KEY).write.parquet(f"{path}/hot_keys")
         keys = spark.read.parquet(f"{path}/hot_keys")  # fewer than `buckets` rows
-        fact.join(F.broadcast(keys), KEY, "left_semi").write.parquet(f"{path}/hot")
+        fact.join(F.broadcast(keys), KEY, "left_semi").write.option(
+            "compression", "zstd").parquet(f"{path}/hot")
         cold = Buckets.write(fact.join(F.broadcast(keys), KEY, "left_anti"), f"{path}/cold", KEY,
-                             buckets)
+                             buckets, ["violation_pk", KEY])
         return cls(cold, spark.read.parquet(f"{path}/hot"), keys)
 
 
@@ -99,4 +107,4 @@ def wide_table(facts: list[StoredFact], attributes: Buckets, dim_type: DataFrame
 
 def stored_attributes(dim_property: DataFrame, lifecycle: DataFrame, path: str,
                       buckets: int) -> Buckets:
-    return Buckets.write(property_attributes(dim_property, lifecycle), path, KEY, buckets)
+    return Buckets.write(property_attributes(dim_property, lifecycle), path, KEY, buckets, [KEY])

@@ -99,3 +99,15 @@ def test_the_drop_is_stored_before_the_refresh_reads_it(spark, fresh, monkeypatc
     got = entry.queries()["rollup_after_refresh"](spark, SF_SMALL)
     assert all("live-drop" in f for f in read[0].inputFiles())
     same(close(got), close(history.int_property_rollup(fresh.int_violations_unioned)))
+
+
+def test_buckets_move_digests_as_bytes(spark, small_models, scratch):
+    rows = small_models.fact_violation.select("property_sk", "violation_pk", "days_open")
+    plain, packed = (copartitioned.Buckets.write(rows, scratch_path(spark, os.path.basename(scratch), n),
+                                                 "property_sk", 4, digests)
+                     for n, digests in (("a", []), ("b", ["property_sk", "violation_pk"])))
+    same(packed.read(spark).select(*rows.columns), rows)
+    at = lambda b: sorted(
+        (r.file[-20:-15], r.n) for r in b.read(spark).groupBy(F.regexp_extract(
+            F.input_file_name(), r"(_\d{5})\.c\d+", 1).alias("file")).count().withColumnRenamed("count", "n").collect())
+    assert at(plain) == at(packed) and len(at(packed)) == 4
