@@ -101,6 +101,15 @@ def test_the_drop_is_stored_before_the_refresh_reads_it(spark, fresh, monkeypatc
     same(close(got), close(history.int_property_rollup(fresh.int_violations_unioned)))
 
 
+def test_a_point_is_parsed_once(spark):
+    points = spark.createDataFrame([('{"coordinates":[1,2]}',), ('{"coordinates":[1]} x',), ("[]",),
+                                    ('{"coordinates":"no"}',), (None,)], "p string")
+    found = points.select(point_coordinates("p").alias("c"))
+    assert [r.c for r in found.collect()] == [["1", "2"], None, None, None, None]
+    plan = points.select(point_coordinates("p").alias("c"))._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("from_json(") == 1
+
+
 def test_buckets_move_digests_as_bytes(spark, small_models, scratch):
     rows = small_models.fact_violation.select("property_sk", "violation_pk", "days_open")
     plain, packed = (copartitioned.Buckets.write(rows, scratch_path(spark, os.path.basename(scratch), n),
