@@ -134,7 +134,7 @@ def land(spark: SparkSession, feed: Feed, draft: Draft, most_keys: int = MOST_KE
     written = Observation()
     df = read_all_text(spark, feed.source, found.keys).observe(
         written, F.count(F.lit(1)).alias("rows"))
-    df.write.parquet(draft.path(feed.table))
+    df.write.parquet(draft.path(feed.table), compression="zstd")
     if written.get["rows"] != found.lines:
         raise LandingError(f"{feed.source}: {found.lines} lines, then {written.get['rows']} rows: "
                            f"the feed changed while it was read; {feed.table} left as it was")

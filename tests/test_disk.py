@@ -43,6 +43,15 @@ def test_a_written_feed_is_packed_in_short_files(spark, fresh, monkeypatch):
     same(landed.select(*feed.columns), feed)
 
 
+def test_landed_tables_are_packed(spark, fresh, scratch, monkeypatch):
+    monkeypatch.setattr(entry, "models", lambda *_: fresh)
+    path = entry._write_feed(spark, SF_SMALL)
+    landed = landing.land_registry(spark, [landing.Feed("npd_violations", path)], f"{scratch}/raw")
+    same(landed["npd_violations"].select(*fresh.raw["npd_violations"].columns),
+         fresh.raw["npd_violations"])
+    assert codecs(f"{scratch}/raw") == {"ZSTD"}
+
+
 def test_the_join_of_the_feeds_keeps_days_and_is_packed(spark):
     kinds = dict(testdata._violation_base(spark, SF_SMALL).dtypes)
     assert kinds["l_shipdate"] == kinds["o_orderdate"] == "date"
