@@ -6,14 +6,15 @@ import os
 
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from parcelflow.functions import AS_OF_DEFAULT
+from parcelflow.plans import serving, top_types
 from parcelflow.plans.build import Models, TableStore
-from parcelflow.session import scratch_path
+from parcelflow.session import scratch_path, stored
 from parcelflow.sources import landing, testdata
 from tests.conftest import SF_SMALL
+from tests.test_models import arch, build, listed, live
 from tests.test_upkeep import same
 
 
@@ -57,3 +58,35 @@ def test_the_join_of_the_feeds_keeps_days_and_is_packed(spark):
     assert kinds["l_shipdate"] == kinds["o_orderdate"] == "date"
     files = testdata.raw_feeds(spark, SF_SMALL)["npd_violations"].inputFiles()
     assert codecs(os.path.dirname(files[0])) == {"ZSTD"}
+
+
+@pytest.mark.parametrize("name", ["stored_top_types", "stored_top_types_odd_days"])
+def test_stored_top_types_write_no_wide_table(spark, fresh, small_models, monkeypatch, name):
+    monkeypatch.setattr(entry, "models", lambda *_: fresh)
+    got = entry.queries()[name](spark, SF_SMALL)
+    same(got, serving.live_top_types(small_models.mart_dashboard, entry.STORED_QUERIES[name][2]))
+    assert not set(fresh.store._draft.folders) & {
+        "mart_dashboard", "dim_property", "int_property_rollup", "fact_property_lifecycle"}
+
+
+def odd_models(spark, *, listing: bool):
+    """A property that is named as the added member, codes and pins of all kinds, copies."""
+    twice = live(violationid="x", pin="P2", ordinance="9-1")
+    named = [] if listing else [live(violationid="u", pin="UNKNOWN", ordinance="48-30")]
+    return build(spark, [live(), twice, twice, *named, live(violationid="y", pin=" "),
+                         live(violationid="z", pin=None, ordinance=" ", computed_region_9t2m_phkm=None),
+                         live(violationid="w", pin="P3", ordinance="UNKNOWN", incident_location=None)],
+                 [arch(), arch(id="h2", pin=None, council_district="", ordinance="7-7")],
+                 [listed(), *([listed(pin="UNKNOWN")] if listing else [])],
+                 labels=[("48-30", "Weeds"), ("48-30", "Tall weeds"), ("7-7", None)])
+
+
+@pytest.mark.parametrize("listing", [False, True])
+def test_top_types_of_a_property_named_unknown(spark, listing):
+    m = odd_models(spark, listing=listing)
+    m.__dict__["int_violations_unioned"] = stored(m.int_violations_unioned, "history")
+    wide, cells, rows = (stored(x, "odd") for x in (m.mart_dashboard, m.type_cells, m.labelled_violations))
+    assert wide.count() > m.fact_violation.count()  # its rows meet two properties
+    for scope in (None, ("UNKNOWN", dt.date(2019, 5, 1), dt.date(2020, 1, 1)),
+                  (None, dt.date(2020, 1, 2), dt.date(2020, 1, 2))):
+        same(top_types.top_types(cells, rows, scope).rows, serving.live_top_types(wide, scope))
